@@ -122,16 +122,13 @@ class FixedModels:
 
     def model_of_k(self, k: int) -> DataFrame:
         """Model table with one fixed k for every segment; needs no silhouettes."""
-        chosen = self.models.where(F.col("K") == k).select("SEGMENT_KEY", "CENTERS")
+        status = self.ready.withColumns({
+            "STATUS": F.when(F.col("STATUS") == "READY", "CLUSTERED").otherwise(F.col("STATUS")),
+            "BEST_K": F.lit(k), "BEST_SILHOUETTE": F.lit(None).cast("double")})
+        no_scores = self.models.where("K = 0").select("SEGMENT_KEY", "K", F.lit(0.0).alias("SILHOUETTE"))
         return stage(
-            self.ready.join(chosen, "SEGMENT_KEY", "left").join(self.scaler, "SEGMENT_KEY", "left").select(
-                F.lit(RUN_ID).alias("run_id"), F.lit(RUN_STAMP).alias("run_timestamp"),
-                F.col("SEGMENT_KEY").alias("segment_key"), F.col("INDUSTRY").alias("industry"),
-                F.col("SEGMENT").alias("segment"),
-                F.when(F.col("CENTERS").isNotNull(), "CLUSTERED").otherwise(F.col("STATUS")).alias("status"),
-                F.col("CUSTOMER_COUNT").alias("customer_count"), F.lit(k).alias("best_k"),
-                F.array(*[F.lit(f) for f in DEFAULT_FEATURES]).alias("features"),
-                F.col("CENTER").alias("center"), F.col("SCALE").alias("scale"), F.col("CENTERS").alias("centroids")),
+            selection.model_table(
+                status, no_scores, self.models, self.scaler, DEFAULT_FEATURES, RUN_ID, RUN_STAMP),
             "model-table")
 
 

@@ -222,13 +222,13 @@ CTES: dict[str, str] = {
                count(BEST_SILHOUETTE) as clustered_segments, avg(BEST_SILHOUETTE) as avg_silhouette
         from sizes left join best using (SEGMENT_KEY) group by 1""",
     "gate_status": """
-        select *, case when clustered_segments < 1 then 'fail' when avg_silhouette >= 0.25 then 'ok'
-                    when avg_silhouette >= 0.25 * 0.8 then 'warn' else 'fail' end as status from gates""",
+        select *, case when clustered_segments < 1 then 'fail' when avg_silhouette >= 0.2 then 'ok'
+                    when avg_silhouette >= 0.2 * 0.8 then 'warn' else 'fail' end as status from gates""",
     "labels3": "select SEGMENT_KEY, CUSTOMER_ID, LABEL from labels where K = 3",
     "edges": f"""
         select FEATURE, BASE_N, list_sort(list_distinct(q)) as EDGES
         from (select FEATURE, count(VALUE) as BASE_N,
-                     quantile_cont(VALUE, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) as q
+                     quantile_cont(VALUE, [{', '.join(f'cast({i * 0.1!r}e0 as double)' for i in range(10))}, 1e0]) as q
               from ({_long('earlier', '', ['GSAR', 'TAM', 'TIER_NUMERIC', 'FLAT', 'RARE'])})
               where VALUE is not null group by 1)""",
     "sides": f"""
