@@ -1,42 +1,43 @@
-"""Expressions on array<double> vectors and arrays of centroids."""
+"""SQL text for arithmetic on array<double> vectors and arrays of centroids, for F.expr.
+
+Text instead of nested Column calls, because the same expressions are built again in every k-means iteration
+and each Column call is a round trip to the JVM. Arguments are column names or lambda variables.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Sequence
 
 _UNROLL = 16
 
 
-def squared_distance(z: Column, c: Column, dims: int | None = None) -> Column:
+def squared_distance(z: str, c: str, dims: int | None = None) -> str:
     """Squared Euclidean distance. Short vectors of known length are unrolled to plain arithmetic."""
     if dims is not None and dims <= _UNROLL:
-        total = None
-        for j in range(dims):
-            d = z[j] - c[j]
-            total = d * d if total is None else total + d * d
-        return total
-    return F.aggregate(F.zip_with(z, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
+        return " + ".join(f"({z}[{j}] - {c}[{j}]) * ({z}[{j}] - {c}[{j}])" for j in range(dims))
+    return f"aggregate(zip_with({z}, {c}, (p, q) -> (p - q) * (p - q)), 0D, (total, term) -> total + term)"
 
 
-def nearest(z: Column, centroids: Column, dims: int | None = None) -> Column:
+def nearest(z: str, centroids: str, dims: int | None = None) -> str:
     """struct(d2, label) of the closest centroid; the first one wins a tie. NULL z gives NULL."""
-    pairs = F.transform(
-        centroids,
-        lambda c, i: F.struct(squared_distance(z, c, dims).alias("d2"), i.cast("int").alias("label")),
-    )
-    return F.when(z.isNotNull(), F.array_min(pairs))
+    return (
+        f"case when {z} is not null then array_min(transform({centroids}, (ctr, pos) -> "
+        f"struct({squared_distance(z, 'ctr', dims)} as d2, cast(pos as int) as label))) end")
 
 
-def scaled(x: Column, center: Column, scale: Column) -> Column:
+def scaled(x: str, center: str, scale: str) -> str:
     """(x - center) / scale; no center means no shift, no scale means no division."""
-    shifted = F.when(center.isNull(), x).otherwise(F.zip_with(x, center, lambda a, b: a - b))
-    return F.when(scale.isNull(), shifted).otherwise(F.zip_with(shifted, scale, lambda a, b: a / b))
+    shifted = f"case when {center} is null then {x} else zip_with({x}, {center}, (p, q) -> p - q) end"
+    return f"case when {scale} is null then {shifted} else zip_with({shifted}, {scale}, (p, q) -> p / q) end"
+
+
+def complete_vector(columns: Sequence[str]) -> str:
+    """array(columns), or NULL as soon as one entry is NULL."""
+    nulls = " or ".join(f"`{c}` is null" for c in columns)
+    return f"case when not ({nulls}) then array({', '.join(f'`{c}`' for c in columns)}) end"
 
 
-def complete_vector(*cols: Column) -> Column:
-    """array(cols), or NULL as soon as one entry is NULL."""
-    has_null = cols[0].isNull()
-    for c in cols[1:]:
-        has_null = has_null | c.isNull()
-    return F.when(~has_null, F.array(*cols))
+def vector_literal(values: Sequence[float] | None) -> str:
+    if values is None:
+        return "cast(null as array<double>)"
+    return f"array({', '.join(f'{float(v)!r}D' for v in values)})"

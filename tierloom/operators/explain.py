@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from tierloom.functions.columns import model_key
 from tierloom.functions.sampling import hash_order, in_fraction, uniform
-from tierloom.functions.vectors import nearest, scaled
-from tierloom.operators.scoring import NO_MODEL, feature_vector, label_rows
+from tierloom.functions.vectors import nearest
+from tierloom.operators.scoring import with_model
 from tierloom.operators.topn import top_n_per_group
 from tierloom.sources.staging import stage
-from tierloom.sources.tables import normalized_scan
 
 
 def select_segments(models: DataFrame, prefix: str = "") -> DataFrame:
@@ -26,15 +25,10 @@ def scaled_labelled(
     industry_col: str = "MOST_RECENT_INDUSTRY_CODE_DESC",
 ) -> DataFrame:
     """CUSTOMER_ID, SEGMENT_KEY, Z, CLUSTER_LABEL of the rows that have a model and all features."""
-    df = normalized_scan(rows)
-    table = models.where(F.col("status") == "CLUSTERED").select(
-        F.col("segment_key").alias("SEGMENT_KEY"), "features", "center", "scale", "centroids")
+    key = model_key(F.col(industry_col), F.col(segment_col))
     return (
-        df.withColumn("SEGMENT_KEY", model_key(F.col(industry_col), F.col(segment_col)))
-        .join(table, "SEGMENT_KEY")
-        .withColumn("Z", scaled(feature_vector(df, F.col("features")), F.col("center"), F.col("scale")))
-        .where(F.col("Z").isNotNull())
-        .withColumn("CLUSTER_LABEL", nearest(F.col("Z"), F.col("centroids"))["label"])
+        with_model(rows, models, key).where(F.col("Z").isNotNull())
+        .withColumn("CLUSTER_LABEL", F.expr(f"({nearest('Z', 'centroids')}).label"))
         .select("CUSTOMER_ID", "SEGMENT_KEY", "Z", "CLUSTER_LABEL")
     )
 
@@ -116,15 +110,20 @@ def cluster_shap_label(
         .drop("__bg")
     )
 
-    def hit(j: int, own: bool) -> Column:
-        r, z, b = F.col("__r"), F.col("Z"), F.col("__b")
-        mixed = F.array(*[
-            (z[i] if own else b[i]) if i == j else F.when(r[i] < r[j], z[i]).otherwise(b[i]) for i in range(dims)])
-        return (nearest(mixed, F.col("centroids"), dims)["label"] == F.col("CLUSTER_LABEL")).cast("int")
+    def mixed(j: int, own: str) -> str:
+        entries = [f"{own}[{j}]" if i == j else f"if(__r[{i}] < __r[{j}], Z[{i}], __b[{i}])" for i in range(dims)]
+        return f"array({', '.join(entries)})"
+
+    for j in range(dims):
+        drawn = drawn.withColumns({
+            f"__on{j}": F.expr(mixed(j, "Z")), f"__off{j}": F.expr(mixed(j, "__b"))})
+
+    def hit(column: str) -> str:
+        return f"int(({nearest(column, 'centroids', dims)}).label = CLUSTER_LABEL)"
 
     moves = drawn.select(
         "SEGMENT_KEY", "CLUSTER_LABEL", "CUSTOMER_ID",
-        *[(hit(j, True) - hit(j, False)).alias(f"__m{j}") for j in range(dims)])
+        *[F.expr(f"{hit(f'__on{j}')} - {hit(f'__off{j}')} as __m{j}") for j in range(dims)])
     per_row = moves.groupBy("SEGMENT_KEY", "CLUSTER_LABEL", "CUSTOMER_ID").agg(
         *[F.avg(f"__m{j}").alias(f"__m{j}") for j in range(dims)])
     pairs = [x for j, f in enumerate(features) for x in (F.lit(f), F.avg(F.abs(f"__m{j}")))]

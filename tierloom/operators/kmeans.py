@@ -7,7 +7,7 @@ through the driver but the number of models that still move.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tierloom.functions.sampling import uniform
@@ -42,7 +42,7 @@ def add_center(points: DataFrame, centers: DataFrame, number: int, seed: int, di
     Exponential race: the smallest -ln(u) / weight wins, so a min_by per group is enough. Points that coincide
     with a centre are out; a group without any other point keeps its centres.
     """
-    d2 = F.array_min(F.transform("CENTERS", lambda c: squared_distance(F.col("Z"), c, dims)))
+    d2 = F.expr(f"array_min(transform(CENTERS, ctr -> {squared_distance('Z', 'ctr', dims)}))")
     draw = -F.log(uniform(seed, F.lit(number), F.col("RESTART"), F.col("POINT_ID"))) / (F.col("W") * F.col("__d2"))
     picked = (
         points.join(centers.where(F.size("CENTERS") == number), "SEGMENT_KEY")
@@ -73,20 +73,19 @@ def assign(points: DataFrame, models: DataFrame, dims: int | None) -> DataFrame:
     """Every point with its LABEL and D2 under every model of its segment."""
     return (
         points.join(models.select(*MODEL, "CENTERS"), "SEGMENT_KEY")
-        .withColumn("NEAR", nearest(F.col("Z"), F.col("CENTERS"), dims))
+        .withColumn("NEAR", F.expr(nearest("Z", "CENTERS", dims)))
         .select(*MODEL, "Z", "W", F.col("NEAR.label").alias("LABEL"), F.col("NEAR.d2").alias("D2"))
     )
 
 
 def cluster_sums(assigned: DataFrame, dims: int) -> DataFrame:
     """MODEL, LABEL, N, MEAN (array), INERTIA. Only these partial sums are shuffled."""
-    w = F.col("W")
     sums = assigned.groupBy(*MODEL, "LABEL").agg(
-        F.sum(w).alias("N"), F.sum(w * F.col("D2")).alias("INERTIA"),
-        *[F.sum(w * F.col("Z")[j]).alias(f"__s{j}") for j in range(dims)])
+        F.expr("sum(W) as N"), F.expr("sum(W * D2) as INERTIA"),
+        *[F.expr(f"sum(W * Z[{j}]) as __s{j}") for j in range(dims)])
     # Rounded, so that the order in which partial sums arrive does not show.
-    mean = F.array(*[F.round(F.col(f"__s{j}") / F.col("N"), 12) for j in range(dims)])
-    return sums.select(*MODEL, "LABEL", "N", mean.alias("MEAN"), "INERTIA")
+    mean = ", ".join(f"round(__s{j} / N, 12)" for j in range(dims))
+    return sums.select(*MODEL, "LABEL", "N", F.expr(f"array({mean}) as MEAN"), "INERTIA")
 
 
 def lloyd_step(points: DataFrame, models: DataFrame, dims: int, mini_batch: bool = False) -> DataFrame:
@@ -100,38 +99,31 @@ def lloyd_step(points: DataFrame, models: DataFrame, dims: int, mini_batch: bool
         F.map_from_entries(F.collect_list(F.struct("LABEL", F.struct("N", "MEAN")))).alias("__m"),
         F.sum("INERTIA").alias("INERTIA"))
 
-    def moved(c: Column, i: Column) -> Column:
-        hit = F.try_element_at("__m", i.cast("int"))
-        if not mini_batch:
-            return F.coalesce(hit["MEAN"], c)
-        rate = hit["N"] / (F.col("SEEN")[i] + hit["N"])
-        return F.coalesce(F.zip_with(c, hit["MEAN"], lambda a, b: a + (b - a) * rate), c)
-
-    def seen(n: Column, i: Column) -> Column:
-        return n + F.coalesce(F.try_element_at("__m", i.cast("int"))["N"], F.lit(0).cast("bigint"))
-
-    shift = F.aggregate(
-        F.zip_with("CENTERS", "__new", lambda a, b: squared_distance(a, b, dims)),
-        F.lit(0.0), lambda s, v: s + v)
+    if mini_batch:
+        rate = "__m[cast(pos as int)].N / (SEEN[pos] + __m[cast(pos as int)].N)"
+        moved = f"zip_with(ctr, __m[cast(pos as int)].MEAN, (p, q) -> p + (q - p) * {rate})"
+    else:
+        moved = "__m[cast(pos as int)].MEAN"
+    shift = squared_distance("p", "q", dims)
     return (
         models.drop("INERTIA").join(per_model, MODEL, "left")
-        .withColumn("__new", F.transform("CENTERS", moved))
-        .withColumn("SHIFT", shift)
-        .withColumns({"CENTERS": F.col("__new"), "SEEN": F.transform("SEEN", seen)})
+        .withColumn("__new", F.expr(f"transform(CENTERS, (ctr, pos) -> coalesce({moved}, ctr))"))
+        .withColumns({
+            "SHIFT": F.expr(
+                f"aggregate(zip_with(CENTERS, __new, (p, q) -> {shift}), 0D, (total, term) -> total + term)"),
+            "SEEN": F.expr("transform(SEEN, (n, pos) -> n + coalesce(__m[cast(pos as int)].N, 0L))"),
+            "CENTERS": F.col("__new"),
+        })
         .drop("__new", "__m")
     )
 
 
 def tolerances(points: DataFrame, tol: float, dims: int) -> DataFrame:
     """SEGMENT_KEY, N_POINTS, TOL: tol times the mean feature variance, against the summed centre shift."""
-    w, n = F.col("W"), F.sum("W")
-    variance = None
-    for j in range(dims):
-        z = F.col("Z")[j]
-        v = F.sum(w * z * z) / n - F.pow(F.sum(w * z) / n, 2)
-        variance = v if variance is None else variance + v
+    parts = " + ".join(
+        f"sum(W * Z[{j}] * Z[{j}]) / sum(W) - pow(sum(W * Z[{j}]) / sum(W), 2)" for j in range(dims))
     return points.groupBy("SEGMENT_KEY").agg(
-        n.alias("N_POINTS"), (F.greatest(variance, F.lit(0.0)) / dims * tol).alias("TOL"))
+        F.sum("W").alias("N_POINTS"), F.expr(f"greatest({parts}, 0D) / {dims} * {tol!r}D as TOL"))
 
 
 def fit(
@@ -192,8 +184,7 @@ def label_points(points: DataFrame, models: DataFrame, dims: int | None) -> Data
         points.join(stage(per_segment, "segment-models"), "SEGMENT_KEY")
         .withColumns({
             "KS": F.transform("__models", lambda m: m["K"]),
-            "LABELS": F.transform(
-                "__models", lambda m: nearest(F.col("Z"), m["CENTERS"], dims)["label"]),
+            "LABELS": F.expr(f"transform(__models, m -> ({nearest('Z', 'm.CENTERS', dims)}).label)"),
         })
         .drop("__models")
     )

@@ -37,9 +37,9 @@ def robust_scaler(train: DataFrame, features: Sequence[str], accuracy: int = 10_
 
 def scaled_rows(train: DataFrame, scaler: DataFrame, features: Sequence[str]) -> DataFrame:
     """train with Z, the scaled feature vector. Pass a staged scaler, so that its size is known."""
-    x = complete_vector(*[F.col(f) for f in features])
     return (
-        train.join(scaler, "SEGMENT_KEY")
-        .withColumn("Z", scaled(x, F.col("CENTER"), F.col("SCALE")))
+        train.withColumn("Z", F.expr(complete_vector(features)))
+        .join(scaler, "SEGMENT_KEY")
+        .withColumn("Z", F.expr(scaled("Z", "CENTER", "SCALE")))
         .drop("CENTER", "SCALE")
     )

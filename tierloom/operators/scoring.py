@@ -2,48 +2,50 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierloom.functions.columns import model_key, to_number
-from tierloom.functions.vectors import nearest, scaled
+from tierloom.functions.vectors import complete_vector, nearest, scaled, vector_literal
 from tierloom.operators.quantiles import exact_quantiles, long_features
 from tierloom.sources.tables import normalized_scan, numeric_columns
 
 NO_MODEL = -1
 
 
-def feature_vector(df: DataFrame, features: Column) -> Column:
-    """Values of the model's features in its order: 0.0 for a column the table lacks, NULL array if one is NULL."""
+def with_model(rows: DataFrame, models: DataFrame, key: Column) -> DataFrame:
+    """Rows (upper-case names) with SEGMENT_KEY, their model's centroids, and Z, the scaled feature vector.
+
+    Z takes the model's features by name: 0.0 for a column the table lacks, and it is NULL without a model or if
+    a value is missing. `models` is a model table, normally read from storage, so its size is known: Spark
+    broadcasts it while it is small and otherwise splits hot segments on the row side of the left join. Feature
+    names are resolved to positions on the model side.
+    """
+    df = normalized_scan(rows)
     names = numeric_columns(df, exclude=())
     known = F.array(*[F.lit(n) for n in names])
+    table = models.where(F.col("status") == "CLUSTERED").select(
+        F.col("segment_key").alias("SEGMENT_KEY"),
+        F.transform("features", lambda f: F.array_position(known, F.upper(f)).cast("int")).alias("__at"),
+        "center", "scale", "centroids")
     values = F.array(*[to_number(F.col(n)) for n in names])
-
-    def value(f: Column) -> Column:
-        at = F.array_position(known, F.upper(f))
-        return F.when(at == 0, 0.0).otherwise(F.get(values, (at - 1).cast("int")))
-
-    x = F.transform(features, value)
-    return F.when(~F.exists(x, lambda v: v.isNull()), x)
+    pick = "transform(__at, i -> case when i = 0 then 0D else __values[i - 1] end)"
+    return (
+        df.withColumn("SEGMENT_KEY", key).withColumn("__values", values)
+        .join(table, "SEGMENT_KEY", "left")
+        .withColumn("__x", F.expr(pick))
+        .withColumn("__x", F.expr("case when not exists(__x, v -> v is null) then __x end"))
+        .withColumn("Z", F.expr(scaled("__x", "center", "scale")))
+        .drop("__values", "__at", "__x", "center", "scale")
+    )
 
 
 def label_rows(rows: DataFrame, models: DataFrame, key: Column) -> DataFrame:
-    """rows with SEGMENT_KEY and CLUSTER_LABEL; -1 without a model or with a missing feature value.
-
-    `models` is a model table (normally read from storage, so its size is known): Spark broadcasts it while it
-    is small and otherwise splits hot segments on the row side of the left join.
-    """
-    table = models.where(F.col("status") == "CLUSTERED").select(
-        F.col("segment_key").alias("SEGMENT_KEY"), "features", "center", "scale", "centroids")
-    df = normalized_scan(rows)
-    z = scaled(feature_vector(df, F.col("features")), F.col("center"), F.col("scale"))
-    label = F.coalesce(nearest(z, F.col("centroids"))["label"], F.lit(NO_MODEL))
+    """Rows with SEGMENT_KEY and CLUSTER_LABEL; -1 without a model or with a missing feature value."""
     return (
-        df.withColumn("SEGMENT_KEY", key).join(table, "SEGMENT_KEY", "left")
-        .withColumn("CLUSTER_LABEL", label)
-        .drop("features", "center", "scale", "centroids")
+        with_model(rows, models, key)
+        .withColumn("CLUSTER_LABEL", F.expr(f"coalesce(({nearest('Z', 'centroids')}).label, {NO_MODEL})"))
+        .drop("Z", "centroids")
     )
 
 
@@ -83,17 +85,15 @@ def score_global(rows: DataFrame, model: DataFrame, run_id: str, scored_at: str)
         long_features(df, [], features), ["FEATURE"], [0.5]).collect()}
     df = df.withColumns({f: F.coalesce(F.col(f), F.lit(medians.get(f)).cast("double")) for f in features})
 
-    def vector(values: Sequence[float] | None) -> Column:
-        if values is None:
-            return F.lit(None).cast("array<double>")
-        return F.array(*[F.lit(float(v)) for v in values])
-
-    x = F.array(*[F.col(f) for f in features])
-    x = F.when(~F.exists(x, lambda v: v.isNull()), x)
-    centroids = F.array(*[vector(c) for c in m["centroids"]])
-    near = nearest(scaled(x, vector(m["center"]), vector(m["scale"])), centroids, len(features))
-    return df.withColumns({
-        "CLUSTER_LABEL": F.coalesce(near["label"], F.lit(NO_MODEL)).cast("bigint"),
-        "RUNID": F.lit(run_id),
-        "SCORED_AT_UTC": F.lit(scored_at),
-    })
+    centroids = ", ".join(vector_literal(c) for c in m["centroids"])
+    z = scaled("__x", vector_literal(m["center"]), vector_literal(m["scale"]))
+    return (
+        df.withColumn("__x", F.expr(complete_vector(features)))
+        .withColumn("__z", F.expr(z))
+        .withColumn("__near", F.expr(nearest("__z", f"array({centroids})", len(features))))
+        .withColumns({
+            "CLUSTER_LABEL": F.coalesce("__near.label", F.lit(NO_MODEL)).cast("bigint"),
+            "RUNID": F.lit(run_id),
+            "SCORED_AT_UTC": F.lit(scored_at)})
+        .drop("__x", "__z", "__near")
+    )
