@@ -110,20 +110,17 @@ def cluster_shap_label(
         .drop("__bg")
     )
 
-    def mixed(j: int, own: str) -> str:
-        entries = [f"{own}[{j}]" if i == j else f"if(__r[{i}] < __r[{j}], Z[{i}], __b[{i}])" for i in range(dims)]
-        return f"array({', '.join(entries)})"
-
-    for j in range(dims):
-        drawn = drawn.withColumns({
-            f"__on{j}": F.expr(mixed(j, "Z")), f"__off{j}": F.expr(mixed(j, "__b"))})
-
-    def hit(column: str) -> str:
-        return f"int(({nearest(column, 'centroids', dims)}).label = CLUSTER_LABEL)"
-
-    moves = drawn.select(
+    # Place of each feature in the drawn order; step t has the first t features switched to the row's values.
+    place = [" + ".join(f"int(__r[{i}] < __r[{j}])" for i in range(dims) if i != j) or "0" for j in range(dims)]
+    drawn = drawn.withColumns({f"__p{j}": F.expr(p) for j, p in enumerate(place)})
+    drawn = drawn.withColumns({
+        f"__h{t}": F.expr(f"array({', '.join(f'if(__p{j} < {t}, Z[{j}], __b[{j}])' for j in range(dims))})")
+        for t in range(dims)})
+    hits = [f"int(({nearest(f'__h{t}', 'centroids', dims)}).label = CLUSTER_LABEL)" for t in range(dims)]
+    steps = drawn.withColumn("__v", F.expr(f"array({', '.join(hits)}, 1)"))
+    moves = steps.select(
         "SEGMENT_KEY", "CLUSTER_LABEL", "CUSTOMER_ID",
-        *[F.expr(f"{hit(f'__on{j}')} - {hit(f'__off{j}')} as __m{j}") for j in range(dims)])
+        *[F.expr(f"__v[__p{j} + 1] - __v[__p{j}] as __m{j}") for j in range(dims)])
     per_row = moves.groupBy("SEGMENT_KEY", "CLUSTER_LABEL", "CUSTOMER_ID").agg(
         *[F.avg(f"__m{j}").alias(f"__m{j}") for j in range(dims)])
     pairs = [x for j, f in enumerate(features) for x in (F.lit(f), F.avg(F.abs(f"__m{j}")))]

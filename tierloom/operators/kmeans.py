@@ -92,7 +92,8 @@ def lloyd_step(points: DataFrame, models: DataFrame, dims: int, mini_batch: bool
     """One iteration for all models: CENTERS and SEEN replaced, SHIFT and INERTIA (of the old centres) added.
 
     An empty cluster keeps its centre. In mini-batch mode a centre moves by the share its batch has in all rows
-    it has seen so far (SEEN).
+    it has seen so far (SEEN), and a batch may hold no row of a segment at all; otherwise every model has rows,
+    and the inner join lets Spark broadcast the small model table instead of shuffling it.
     """
     per_label = cluster_sums(assign(points, models, dims), dims)
     per_model = per_label.groupBy(*MODEL).agg(
@@ -106,7 +107,7 @@ def lloyd_step(points: DataFrame, models: DataFrame, dims: int, mini_batch: bool
         moved = "__m[cast(pos as int)].MEAN"
     shift = squared_distance("p", "q", dims)
     return (
-        models.drop("INERTIA").join(per_model, MODEL, "left")
+        models.drop("INERTIA").join(per_model, MODEL, "left" if mini_batch else "inner")
         .withColumn("__new", F.expr(f"transform(CENTERS, (ctr, pos) -> coalesce({moved}, ctr))"))
         .withColumns({
             "SHIFT": F.expr(

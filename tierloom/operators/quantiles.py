@@ -2,7 +2,8 @@
 
 The built-in exact percentile keeps every distinct value of a group in one aggregation buffer. Here a sketch
 (`percentile_approx`, mergeable, bounded) brackets each wanted quantile; the second pass counts rows outside
-the brackets and keeps single values only inside them, a fraction of about 6 / accuracy of the rows each.
+the brackets and keeps single values only inside them, a fraction of about 6 / accuracy of the rows each. Values
+are ordered per bracket, so a task sorts at most that fraction; raise `accuracy` for very large groups.
 """
 
 from __future__ import annotations
@@ -48,16 +49,23 @@ def exact_quantiles(
 
     slot = F.size(F.filter("__lo", lambda b: b <= F.col("__x")))
     inside = (F.col("__slot") > 0) & (F.col("__x") <= F.try_element_at("__hi", F.col("__slot")))
-    entries = (
+    entries = stage(
         rows.join(sketch, by)
         .withColumn("__slot", slot)
         .withColumn("__v", F.when(inside, F.col("__x")))
         .groupBy(*by, "N", "__slot", "__v")
-        .agg(F.count(F.lit(1)).alias("__c"), F.min("__x").alias("__min"), F.max("__x").alias("__max"))
-    )
-    ordered = Window.partitionBy(*by, "N").orderBy("__min").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = entries.withColumn("__upto", F.sum("__c").over(ordered)).withColumn(
-        "__before", F.col("__upto") - F.col("__c"))
+        .agg(F.count(F.lit(1)).alias("__c"), F.min("__x").alias("__min"), F.max("__x").alias("__max")),
+        "quantile-entries")
+    # Slots follow each other in value order, so ranks are a start per slot plus a running count inside it.
+    earlier = Window.partitionBy(*by).orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        entries.groupBy(*by, "__slot").agg(F.sum("__c").alias("__t"))
+        .withColumn("__start", F.coalesce(F.sum("__t").over(earlier), F.lit(0))).drop("__t"))
+    within = Window.partitionBy(*by, "__slot").orderBy("__min").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (
+        entries.join(starts, [*by, "__slot"])
+        .withColumn("__upto", F.col("__start") + F.sum("__c").over(within))
+        .withColumn("__before", F.col("__upto") - F.col("__c")))
 
     def at_rank(k: Column) -> Column:
         # Ends of a counted stretch are known exactly, its inner values are never needed.

@@ -20,15 +20,18 @@ from tierloom.sources.staging import stage
 _TILE = 2_000_000
 
 
-def silhouette(labelled: DataFrame, block_rows: int = 4096) -> DataFrame:
+def silhouette(labelled: DataFrame, block_rows: int = 4096, max_block_rows: int = 65_536) -> DataFrame:
     """SEGMENT_KEY, K, SILHOUETTE from rows SEGMENT_KEY, Z, W, KS, LABELS (Z distinct per segment).
 
-    A point alone in its cluster counts 0; a k with a single label present scores -1.
+    A point alone in its cluster counts 0; a k with a single label present scores -1. Every point is sent once to
+    every block of its segment, so blocks grow (up to max_block_rows) once a segment has more than 512 of them.
     """
     points = labelled.select("SEGMENT_KEY", "Z", F.col("W").cast("double").alias("W"), "KS", "LABELS")
     blocks = stage(
         points.groupBy("SEGMENT_KEY").agg(
-            F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("BLOCKS")),
+            F.expr(f"""cast(ceil(count(1) / least(
+                greatest({block_rows}, ceil(count(1) / 512)), greatest({block_rows}, {max_block_rows}))) as int)
+            """).alias("BLOCKS")),
         "silhouette-blocks")
     points = points.join(blocks, "SEGMENT_KEY")
     held = points.withColumns({

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,20 +92,38 @@ class FixedModels:
     """Models whose centroids are the scaled vectors of the customers with the smallest ids of a segment."""
 
     def __init__(self, all_customers: DataFrame):
-        feats = DEFAULT_FEATURES
-        rows = stage(cust.training_rows(all_customers, feats, segment_col=COARSE), "training-rows")
-        self.ready = stage(cust.readiness(cust.segment_sizes(rows), MIN_CUSTOMERS, clusters_max=max(FIXED_KS)), "ready")
-        train = rows.where("USABLE").join(
-            self.ready.where("STATUS = 'READY'").select("SEGMENT_KEY"), "SEGMENT_KEY").select(
-            "CUSTOMER_ID", "SEGMENT_KEY", *feats)
-        self.scaler = stage(scaling.robust_scaler(train, feats), "scaler")
-        self.scaled = stage(scaling.scaled_rows(train, self.scaler, feats), "scaled")
-        self.points = stage(kmeans.weighted_points(self.scaled), "points")
+        self.rows = cust.training_rows(all_customers, DEFAULT_FEATURES, segment_col=COARSE)
+
+    @cached_property
+    def ready(self) -> DataFrame:
+        sizes = cust.segment_sizes(self.rows)
+        return stage(cust.readiness(sizes, MIN_CUSTOMERS, clusters_max=max(FIXED_KS)), "ready")
+
+    @cached_property
+    def train(self) -> DataFrame:
+        keys = self.ready.where("STATUS = 'READY'").select("SEGMENT_KEY")
+        return self.rows.where("USABLE").join(keys, "SEGMENT_KEY").select(
+            "CUSTOMER_ID", "SEGMENT_KEY", *DEFAULT_FEATURES)
+
+    @cached_property
+    def scaler(self) -> DataFrame:
+        return stage(scaling.robust_scaler(self.train, DEFAULT_FEATURES), "scaler")
+
+    @cached_property
+    def scaled(self) -> DataFrame:
+        return scaling.scaled_rows(self.train, self.scaler, DEFAULT_FEATURES)
+
+    @cached_property
+    def points(self) -> DataFrame:
+        return stage(kmeans.weighted_points(self.scaled), "points")
+
+    @cached_property
+    def models(self) -> DataFrame:
         seeds = top_n_per_group(
             self.scaled, ["SEGMENT_KEY"], [F.col("CUSTOMER_ID")], max(FIXED_KS), rank_col="NO")
         firsts = seeds.groupBy("SEGMENT_KEY").agg(
             F.transform(F.array_sort(F.collect_list(F.struct("NO", "Z"))), lambda s: s["Z"]).alias("ALL"))
-        self.models = stage(
+        return stage(
             firsts.withColumn("K", F.explode(F.array(*[F.lit(k) for k in FIXED_KS])))
             .select("SEGMENT_KEY", "K", F.lit(1).alias("RESTART"), F.slice("ALL", 1, F.col("K")).alias("CENTERS")),
             "fixed-models")

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,8 +25,27 @@ def staging_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_created: list[str] = []
+
+
 def staged_path(spark: SparkSession, name: str) -> str:
-    return f"{staging_root(spark)}/tierloom/{name}-{uuid.uuid4().hex}"
+    path = f"{staging_root(spark)}/tierloom/{name}-{uuid.uuid4().hex}"
+    _created.append(path)
+    return path
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables staged inside the block when it ends; nothing read from them may be used after it."""
+    mark = len(_created)
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _created[mark:]:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(hadoop).delete(target, True)
+        del _created[mark:]
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
