@@ -196,3 +196,12 @@ def test_model_gate(spark, silhouettes, need, want):
     gate = selection.model_gate(df, min_segments=need)
     assert gate.first()["status"] == want and gate.first()["segments_total"] == len(rows)
     assert selection.accepted_models(gate, "m", "/models/").count() == (want == "ok")
+
+
+def test_layout_keeps_points_and_splits_large_segments(spark):
+    points = spark.range(3000).selectExpr(
+        "if(id < 2900, 'hot', 'cold') as SEGMENT_KEY", "array(double(id), 1D) as Z", "1L as W", "id as POINT_ID")
+    laid = kmeans.clustered_layout(points, rows_per_chunk=200)
+    assert sorted(r["POINT_ID"] for r in laid.collect()) == list(range(3000))
+    parts = laid.select("SEGMENT_KEY", F.spark_partition_id().alias("p")).where("SEGMENT_KEY = 'hot'").distinct()
+    assert laid.rdd.getNumPartitions() == 1 or parts.count() > 1

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 
-TABLES = ("region", "nation", "customer", "orders")
+TABLES = ("region", "nation", "customer", "orders", "embeddings")
 QUERIES = entry_point.queries()
 SQL = entry_point.oracle_sql()
 SLOW = {"kmeans_fit", "kmeans_minibatch", "model_manifest"}

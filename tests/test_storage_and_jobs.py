@@ -145,3 +145,31 @@ def test_gates_stop_the_run(spark, sf, tmp_path):
     stopped = workflow.train_validate_accept(orders, far, out, "r", "t", fx.AS_OF, OPTS)
     assert stopped.feature_status == "fail" and not stopped.accepted
     assert spark.read.json(f"{out}/reports/r/failing_rows").count() == 10
+
+
+def test_broadcast_only_within_the_size_limit(spark):
+    with staging.temporary_tables(spark):
+        big, small = spark.range(1000), staging.stage(spark.range(10), "lookup")
+        marked = big.join(staging.with_size_check(small), "id")
+        plain = big.join(staging.with_size_check(small, limit_bytes=10), "id")
+        assert "ResolvedHint" in marked._jdf.queryExecution().analyzed().toString()
+        assert "ResolvedHint" not in plain._jdf.queryExecution().analyzed().toString()
+        # A table whose size is not known is never marked.
+        unknown = spark.createDataFrame([(1,)], "id long")
+        assert "ResolvedHint" not in big.join(
+            staging.with_size_check(unknown), "id")._jdf.queryExecution().analyzed().toString()
+
+
+def test_results_do_not_depend_on_broadcasts(spark, sf, monkeypatch):
+    from tierloom.plans import catalog
+
+    names = ["segment_assign", "lloyd_step", "score_by_key", "robust_scaler"]
+    want = {n: sorted(map(str, catalog.REGISTRY[n](spark, sf).collect())) for n in names}
+    monkeypatch.setattr(staging, "BROADCAST_LIMIT_BYTES", -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert {n: sorted(map(str, catalog.REGISTRY[n](spark, sf).collect())) for n in names} == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

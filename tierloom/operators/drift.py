@@ -29,23 +29,27 @@ def bin_index(value, edges):
     return F.when(value == last, F.size(edges) - 2).when((at >= 0) & (value < last), at)
 
 
-def drift_hist(baseline: DataFrame, current: DataFrame, features: Sequence[str], edges: DataFrame) -> DataFrame:
-    """FEATURE, BIN (NULL = out of range), BASE_COUNT, CUR_COUNT. Rows with fewer than 3 edges are left out.
+def _bin_counts(baseline: DataFrame, current: DataFrame, features: Sequence[str], edges: DataFrame) -> DataFrame:
+    """FEATURE, BIN (NULL = out of range, or too few edges), BASE_COUNT, CUR_COUNT of the non-NULL values.
 
     Both tables go through one aggregate. The edges are one row per feature column, hence the broadcast.
     """
-    usable = edges.where(F.size("EDGES") >= 3).select("FEATURE", "EDGES")
     sides = long_features(baseline, [], features).withColumn("__cur", F.lit(0)).unionByName(
         long_features(current, [], features).withColumn("__cur", F.lit(1)))
+    found = F.when(F.size("EDGES") >= 3, bin_index(F.col("VALUE"), F.col("EDGES")))
     return (
         sides.where(F.col("VALUE").isNotNull())
-        .join(F.broadcast(usable), "FEATURE")
-        .withColumn("BIN", bin_index(F.col("VALUE"), F.col("EDGES")))
-        .groupBy("FEATURE", "BIN")
+        .join(F.broadcast(edges.select("FEATURE", "EDGES")), "FEATURE")
+        .groupBy("FEATURE", found.alias("BIN"))
         .agg(F.count_if(F.col("__cur") == 0).alias("BASE_COUNT"), F.count_if(F.col("__cur") == 1).alias("CUR_COUNT"))
     )
 
 
+def drift_hist(baseline: DataFrame, current: DataFrame, features: Sequence[str], edges: DataFrame) -> DataFrame:
+    """FEATURE, BIN (NULL = out of range), BASE_COUNT, CUR_COUNT for the features with at least 3 edges."""
+    return _bin_counts(baseline, current, features, edges.where(F.size("EDGES") >= 3))
+
+
 def drift_psi(
     baseline: DataFrame, current: DataFrame, features: Sequence[str], warn: float = 0.10, fail: float = 0.25,
     min_samples: int = MIN_SAMPLES, accuracy: int = 10_000,
@@ -57,7 +61,7 @@ def drift_psi(
     spark = baseline.sparkSession
     features = list(features)
     edges = stage(drift_edges(baseline, features, accuracy), "drift-edges")
-    hist = stage(drift_hist(baseline, current, features, edges), "drift-hist")
+    hist = stage(_bin_counts(baseline, current, features, edges), "drift-hist")
     bins = edges.where(F.size("EDGES") >= 3).select(
         "FEATURE", F.explode(F.sequence(F.lit(0), F.size("EDGES") - 2)).alias("BIN"))
     inside = hist.where(F.col("BIN").isNotNull())
@@ -72,7 +76,7 @@ def drift_psi(
     psi = shares.groupBy("FEATURE").agg(
         F.sum(psi_term(F.col("__e"), F.col("__a"))).alias("__psi"),
         F.first(F.try_divide(F.col("__cur_all") - F.col("__cur"), F.col("__cur_all"))).alias("OUT_OF_RANGE_SHARE"))
-    counted = long_features(current, [], features).groupBy("FEATURE").agg(F.count("VALUE").alias("__n"))
+    counted = hist.groupBy("FEATURE").agg(F.sum("CUR_COUNT").alias("__n"))
     wanted = spark.createDataFrame([(f,) for f in features], "FEATURE string")
     note = (
         F.when(F.least(F.coalesce("BASE_N", F.lit(0)), F.coalesce("__n", F.lit(0))) < min_samples,

@@ -12,7 +12,7 @@ from tierloom.functions.sampling import hash_order, in_fraction, uniform
 from tierloom.functions.vectors import nearest
 from tierloom.operators.scoring import with_model
 from tierloom.operators.topn import top_n_per_group
-from tierloom.sources.staging import stage
+from tierloom.sources.staging import stage, with_size_check
 
 
 def select_segments(models: DataFrame, prefix: str = "") -> DataFrame:
@@ -71,7 +71,7 @@ def cluster_shap(
 
     pairs = [x for j, f in enumerate(features) for x in (F.lit(f), F.avg(F.abs(contribution(j))))]
     return (
-        labelled.join(context, "SEGMENT_KEY")
+        labelled.join(with_size_check(context), "SEGMENT_KEY")
         .groupBy("SEGMENT_KEY", "CLUSTER_LABEL")
         .agg(F.create_map(*pairs).alias("CLUSTER_SHAP"))
         .select(
@@ -103,7 +103,7 @@ def cluster_shap_label(
     rank = [uniform(seed, F.col("__draw"), F.col("CUSTOMER_ID"), F.lit(j)) for j in range(dims)]
     at = F.floor(uniform(seed, F.col("__draw"), F.col("CUSTOMER_ID"), F.lit("bg")) * F.size("__bg")).cast("int")
     drawn = (
-        labelled.join(context, "SEGMENT_KEY")
+        labelled.join(with_size_check(context), "SEGMENT_KEY")
         .withColumn("__draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
         .withColumn("__b", F.get("__bg", at)["Z"])
         .withColumn("__r", F.array(*rank))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tierloom.functions.sampling import uniform
 from tierloom.functions.vectors import nearest, squared_distance
-from tierloom.sources.staging import stage
+from tierloom.sources.staging import stage, with_size_check
 
 MODEL = ["SEGMENT_KEY", "K", "RESTART"]
 
@@ -26,6 +26,25 @@ def weighted_points(rows: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("W"), F.min("CUSTOMER_ID").alias("POINT_ID"))
 
 
+def clustered_layout(points: DataFrame, rows_per_chunk: int = 100_000) -> DataFrame:
+    """The same points, laid out segment by segment for the iterations that follow.
+
+    Every segment is hashed into chunks of about rows_per_chunk points, and a chunk lies in one partition. A scan
+    task then meets few segments, so its partial sums stay few, while a large segment still spans many tasks.
+    """
+    sizes = stage(
+        points.groupBy("SEGMENT_KEY").agg(
+            F.ceil(F.count(F.lit(1)) / F.lit(rows_per_chunk)).cast("int").alias("__chunks")),
+        "segment-chunks")
+    return (
+        points.join(with_size_check(sizes), "SEGMENT_KEY")
+        .withColumn("__chunk", F.pmod(F.xxhash64("Z"), F.col("__chunks")))
+        .repartition("SEGMENT_KEY", "__chunk")
+        .sortWithinPartitions("SEGMENT_KEY")
+        .drop("__chunk", "__chunks")
+    )
+
+
 def first_centers(points: DataFrame, restarts: int, seed: int) -> DataFrame:
     """SEGMENT_KEY, RESTART, CENTERS with one weighted random point each."""
     race = -F.log(uniform(seed, F.lit(0), F.col("RESTART"), F.col("POINT_ID"))) / F.col("W")
@@ -45,7 +64,7 @@ def add_center(points: DataFrame, centers: DataFrame, number: int, seed: int, di
     d2 = F.expr(f"array_min(transform(CENTERS, ctr -> {squared_distance('Z', 'ctr', dims)}))")
     draw = -F.log(uniform(seed, F.lit(number), F.col("RESTART"), F.col("POINT_ID"))) / (F.col("W") * F.col("__d2"))
     picked = (
-        points.join(centers.where(F.size("CENTERS") == number), "SEGMENT_KEY")
+        points.join(with_size_check(centers.where(F.size("CENTERS") == number)), "SEGMENT_KEY")
         .withColumn("__d2", d2).where(F.col("__d2") > 0)
         .groupBy("SEGMENT_KEY", "RESTART").agg(F.min_by("Z", draw).alias("__next"))
     )
@@ -72,7 +91,7 @@ def seed_models(
 def assign(points: DataFrame, models: DataFrame, dims: int | None) -> DataFrame:
     """Every point with its LABEL and D2 under every model of its segment."""
     return (
-        points.join(models.select(*MODEL, "CENTERS"), "SEGMENT_KEY")
+        points.join(with_size_check(models.select(*MODEL, "CENTERS")), "SEGMENT_KEY")
         .withColumn("NEAR", F.expr(nearest("Z", "CENTERS", dims)))
         .select(*MODEL, "Z", "W", F.col("NEAR.label").alias("LABEL"), F.col("NEAR.d2").alias("D2"))
     )
@@ -182,7 +201,7 @@ def label_points(points: DataFrame, models: DataFrame, dims: int | None) -> Data
     per_segment = models.groupBy("SEGMENT_KEY").agg(
         F.array_sort(F.collect_list(F.struct("K", "CENTERS"))).alias("__models"))
     return (
-        points.join(stage(per_segment, "segment-models"), "SEGMENT_KEY")
+        points.join(with_size_check(stage(per_segment, "segment-models")), "SEGMENT_KEY")
         .withColumns({
             "KS": F.transform("__models", lambda m: m["K"]),
             "LABELS": F.expr(f"transform(__models, m -> ({nearest('Z', 'm.CENTERS', dims)}).label)"),

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierloom.functions.columns import to_number
-from tierloom.sources.staging import stage
+from tierloom.sources.staging import stage, with_size_check
 
 
 def long_features(df: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
@@ -50,7 +50,7 @@ def exact_quantiles(
     slot = F.size(F.filter("__lo", lambda b: b <= F.col("__x")))
     inside = (F.col("__slot") > 0) & (F.col("__x") <= F.try_element_at("__hi", F.col("__slot")))
     entries = stage(
-        rows.join(sketch, by)
+        rows.join(with_size_check(sketch), by)
         .withColumn("__slot", slot)
         .withColumn("__v", F.when(inside, F.col("__x")))
         .groupBy(*by, "N", "__slot", "__v")

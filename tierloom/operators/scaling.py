@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tierloom.functions.vectors import complete_vector, scaled
 from tierloom.operators.quantiles import exact_quantiles, long_features
+from tierloom.sources.staging import with_size_check
 
 
 def robust_scaler_rows(train: DataFrame, features: Sequence[str], accuracy: int = 10_000) -> DataFrame:
@@ -39,7 +40,7 @@ def scaled_rows(train: DataFrame, scaler: DataFrame, features: Sequence[str]) ->
     """train with Z, the scaled feature vector. Pass a staged scaler, so that its size is known."""
     return (
         train.withColumn("Z", F.expr(complete_vector(features)))
-        .join(scaler, "SEGMENT_KEY")
+        .join(with_size_check(scaler), "SEGMENT_KEY")
         .withColumn("Z", F.expr(scaled("Z", "CENTER", "SCALE")))
         .drop("CENTER", "SCALE")
     )

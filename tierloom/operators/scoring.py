@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tierloom.functions.columns import model_key, to_number
 from tierloom.functions.vectors import complete_vector, nearest, scaled, vector_literal
 from tierloom.operators.quantiles import exact_quantiles, long_features
+from tierloom.sources.staging import with_size_check
 from tierloom.sources.tables import normalized_scan, numeric_columns
 
 NO_MODEL = -1
@@ -17,8 +18,8 @@ def with_model(rows: DataFrame, models: DataFrame, key: Column) -> DataFrame:
     """Rows (upper-case names) with SEGMENT_KEY, their model's centroids, and Z, the scaled feature vector.
 
     Z takes the model's features by name: 0.0 for a column the table lacks, and it is NULL without a model or if
-    a value is missing. `models` is a model table, normally read from storage, so its size is known: Spark
-    broadcasts it while it is small and otherwise splits hot segments on the row side of the left join. Feature
+    a value is missing. `models` is a model table, normally read from storage, so its size is known: it is
+    broadcast while it is small, and otherwise hot segments are split on the row side of the left join. Feature
     names are resolved to positions on the model side.
     """
     df = normalized_scan(rows)
@@ -32,7 +33,7 @@ def with_model(rows: DataFrame, models: DataFrame, key: Column) -> DataFrame:
     pick = "transform(__at, i -> case when i = 0 then 0D else __values[i - 1] end)"
     return (
         df.withColumn("SEGMENT_KEY", key).withColumn("__values", values)
-        .join(table, "SEGMENT_KEY", "left")
+        .join(with_size_check(table), "SEGMENT_KEY", "left")
         .withColumn("__x", F.expr(pick))
         .withColumn("__x", F.expr("case when not exists(__x, v -> v is null) then __x end"))
         .withColumn("Z", F.expr(scaled("__x", "center", "scale")))

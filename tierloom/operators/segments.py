@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tierloom.functions.columns import segment_name
 from tierloom.operators import spend
 from tierloom.schemas import PROFILE_DIMS, SEGMENT_LEVELS
-from tierloom.sources.staging import stage
+from tierloom.sources.staging import stage, with_size_check
 
 
 def segment_keys(binned: DataFrame) -> DataFrame:
@@ -53,7 +53,7 @@ def segment_profiles(
     keyed = segment_keys(spend.tier_bins(profiles, thresholds))
     counts = stage(segment_counts(keyed), "segment-counts")
     decided = stage(segment_map(keyed, counts, min_segment_size, use_msa), "segment-map")
-    return keyed.join(decided, SEGMENT_LEVELS, "left")
+    return keyed.join(with_size_check(decided), SEGMENT_LEVELS, "left")
 
 
 def prepare_orders(orders: DataFrame, profiles: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tierloom.functions.columns import (
     money_units, spend_bin, spend_source, spend_value, tier_code, units_to_money)
 from tierloom.schemas import PROFILE_DIMS
+from tierloom.sources.staging import with_size_check
 
 BINNED_SOURCES = ("TAM", "AVG_ANNUAL_SPEND")
 
@@ -33,7 +34,8 @@ def customer_profiles(orders: DataFrame) -> DataFrame:
     """One row per customer and distinct attribute set, with its order totals and spend tier inputs.
 
     The first aggregate combines map-side, so a customer with a huge share of the orders shuffles a few rows
-    per task. Its result is hashed by customer once; window and second aggregate both use that layout.
+    per task. Its result is hashed by customer once; window and second aggregate both use that layout, on one
+    row per attribute set and year of a customer.
     """
     units = money_units(F.col("GSAR"))
     yearly = orders.groupBy("CUSTOMER_ID", *PROFILE_DIMS, F.year("ORDER_DATE").alias("ORDER_YEAR")).agg(
@@ -100,6 +102,6 @@ def spend_thresholds(
 
 def tier_bins(profiles: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Adds value_q1..value_q3 and TAM_TIER_BIN. Pass staged thresholds, so that their size is known."""
-    joined = profiles.join(thresholds, ["INDUSTRY_CODE_DESC", "TAM_TIER_SOURCE"], "left")
+    joined = profiles.join(with_size_check(thresholds), ["INDUSTRY_CODE_DESC", "TAM_TIER_SOURCE"], "left")
     return joined.withColumn("TAM_TIER_BIN", spend_bin(*[F.col(c) for c in (
         "TAM_TIER_SOURCE", "TIER", "TAM_TIER_OR_AVGSPEND", "value_q1", "value_q2", "value_q3")]))

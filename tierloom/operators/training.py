@@ -55,8 +55,8 @@ def training_points(customers: DataFrame, opts: TrainingOptions) -> tuple[DataFr
         usable = usable.withColumns({f: F.lit(None).cast("double") for f in cust.missing_features(rows, opts.features)})
     train = usable.select("CUSTOMER_ID", "SEGMENT_KEY", *opts.features)
     scaler = stage(scaling.robust_scaler(train, opts.features, opts.quantile_accuracy), "scaler")
-    points = stage(
-        kmeans.weighted_points(scaling.scaled_rows(train, scaler, opts.features)), "points")
+    points = stage(kmeans.weighted_points(scaling.scaled_rows(train, scaler, opts.features)), "weighted")
+    points = stage(kmeans.clustered_layout(points), "points", row_group_bytes=4 << 20)
     return ready, scaler, points
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tierloom.functions.columns import model_key
 from tierloom.operators import customers as cust
 from tierloom.operators import drift, explain, kmeans, quality, scaling, scoring, segments, selection, spend, training
+from tierloom.operators import silhouette as measure
 from tierloom.operators.topn import top_n_per_group
 from tierloom.plans import fixtures as fx
 from tierloom.plans.fixtures import orders_input, rounded
@@ -28,6 +29,11 @@ def query(f: Query) -> Query:
     return f
 
 
+def _nullable_int(name):
+    """As double, because integers with NULL have no common form in client tables."""
+    return F.col(name).cast("double").alias(name)
+
+
 # Spend tiers and segments
 
 
@@ -44,7 +50,7 @@ def avg_annual_spend(spark, sf_dir):
 @query
 def tier_fallback(spark, sf_dir):
     return rounded(spend.customer_profiles(orders_input(spark, sf_dir)).select(
-        "CUSTOMER_ID", "TAM", "TIER", "ORDER_ROWS", "AVG_ANNUAL_SPEND", "TIER_NUMERIC", "TAM_TIER_OR_AVGSPEND",
+        "CUSTOMER_ID", "TAM", "TIER", "ORDER_ROWS", "AVG_ANNUAL_SPEND", _nullable_int("TIER_NUMERIC"), "TAM_TIER_OR_AVGSPEND",
         "TAM_TIER_SOURCE"))
 
 
@@ -94,7 +100,7 @@ def segment_assign(spark, sf_dir):
 def prepared_orders(spark, sf_dir):
     profiles = stage(_segmented(spark, sf_dir), "segmented")
     return rounded(segments.prepare_orders(orders_input(spark, sf_dir), profiles).select(
-        "ORDER_ID", "CUSTOMER_ID", "ORDER_YEAR", "GSAR", "AVG_ANNUAL_SPEND", "TIER_NUMERIC", "TAM_TIER_OR_AVGSPEND",
+        "ORDER_ID", "CUSTOMER_ID", "ORDER_YEAR", "GSAR", "AVG_ANNUAL_SPEND", _nullable_int("TIER_NUMERIC"), "TAM_TIER_OR_AVGSPEND",
         "TAM_TIER_SOURCE", "TAM_TIER_BIN", "COUNT_SEG_1", "COUNT_SEG_2", "COUNT_SEG_3", "SEGMENT"))
 
 
@@ -186,7 +192,7 @@ def feature_stats(spark, sf_dir):
 
 @query
 def feature_check(spark, sf_dir):
-    return rounded(_checked(spark, sf_dir)[2])
+    return rounded(_checked(spark, sf_dir)[2].withColumn("TOTAL_ROWS", F.col("TOTAL_ROWS").cast("double")))
 
 
 @query
@@ -198,7 +204,7 @@ def feature_gate(spark, sf_dir):
 def failing_rows(spark, sf_dir):
     later, names, checks = _checked(spark, sf_dir)
     return rounded(quality.failing_rows(later, checks, names, "ORDER_ID", max_rows=10).select(
-        "FEATURE", "FEATURE_VALUE", "ORDER_ID", "CUSTOMER_ID", "TAM", "TIER_NUMERIC"))
+        "FEATURE", "FEATURE_VALUE", "ORDER_ID", "CUSTOMER_ID", "TAM", _nullable_int("TIER_NUMERIC")))
 
 
 # Scaling, models, scoring
@@ -380,7 +386,8 @@ def drift_edges(spark, sf_dir):
 def drift_hist(spark, sf_dir):
     before, after = _halves(spark, sf_dir)
     edges = stage(drift.drift_edges(before, fx.DRIFT_FEATURES), "drift-edges")
-    return drift.drift_hist(before, after, fx.DRIFT_FEATURES, edges)
+    hist = drift.drift_hist(before, after, fx.DRIFT_FEATURES, edges)
+    return hist.withColumn("BIN", F.coalesce("BIN", F.lit(-1)))
 
 
 @query
@@ -451,6 +458,16 @@ def cluster_shap(spark, sf_dir):
         "SEGMENT", "CLUSTER", F.explode("CLUSTER_SHAP").alias("FEATURE", "SHAP"), "RUNID", "RUNTIMESTAMP"), 5)
 
 
+@query
+def silhouette_embeddings(spark, sf_dir):
+    """Silhouette of the given labels on dense vectors with many entries."""
+    vectors = fx.table(spark, sf_dir, "embeddings").select(
+        F.lit("ALL").alias("SEGMENT_KEY"), F.col("embedding").cast("array<double>").alias("Z"),
+        F.array(F.lit(10)).alias("KS"), F.array("label").alias("LABELS"))
+    points = vectors.groupBy("SEGMENT_KEY", "Z", "KS", "LABELS").agg(F.count(F.lit(1)).alias("W"))
+    return rounded(measure.silhouette(points))
+
+
 @query
 def cluster_shap_label(spark, sf_dir):
     labelled, models = _explained(spark, sf_dir)

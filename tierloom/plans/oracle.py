@@ -347,8 +347,8 @@ FINAL: dict[str, str] = {
     "yearly_spend": f"select CUSTOMER_ID, ORDER_YEAR, {_r('YEARLY_GSAR', digits=4)} from yearly",
     "avg_annual_spend": f"select CUSTOMER_ID, {_r('AVG_ANNUAL_SPEND')} from annual",
     "tier_fallback": f"""
-        select CUSTOMER_ID, {_r('TAM')}, TIER, count(*) as ORDER_ROWS, {_r('AVG_ANNUAL_SPEND')}, TIER_NUMERIC,
-               {_r('TAM_TIER_OR_AVGSPEND')}, TAM_TIER_SOURCE from sourced group by all""",
+        select CUSTOMER_ID, {_r('TAM')}, TIER, count(*) as ORDER_ROWS, {_r('AVG_ANNUAL_SPEND')},
+               cast(TIER_NUMERIC as double) as TIER_NUMERIC, {_r('TAM_TIER_OR_AVGSPEND')}, TAM_TIER_SOURCE from sourced group by all""",
     "null_pct_by_industry": f"""
         select INDUSTRY_CODE_DESC, count(distinct CUSTOMER_ID) as CUSTOMER_COUNT,
                {_r('count(distinct case when TAM_TIER_OR_AVGSPEND is null then CUSTOMER_ID end) * 100'
@@ -368,8 +368,8 @@ FINAL: dict[str, str] = {
         select SEGMENT, SEGMENT_LEVEL, count(distinct CUSTOMER_ID) as CUSTOMERS, count(*) as ORDER_ROWS
         from assigned group by 1, 2""",
     "prepared_orders": f"""
-        select ORDER_ID, CUSTOMER_ID, ORDER_YEAR, {_r('GSAR')}, {_r('AVG_ANNUAL_SPEND')}, TIER_NUMERIC,
-               {_r('TAM_TIER_OR_AVGSPEND')}, TAM_TIER_SOURCE, TAM_TIER_BIN, COUNT_SEG_1, COUNT_SEG_2, COUNT_SEG_3,
+        select ORDER_ID, CUSTOMER_ID, ORDER_YEAR, {_r('GSAR')}, {_r('AVG_ANNUAL_SPEND')},
+               cast(TIER_NUMERIC as double) as TIER_NUMERIC, {_r('TAM_TIER_OR_AVGSPEND')}, TAM_TIER_SOURCE, TAM_TIER_BIN, COUNT_SEG_1, COUNT_SEG_2, COUNT_SEG_3,
                SEGMENT from assigned""",
     "extract_window": f"""
         select ORDER_ID, CUSTOMER_ID, {_r('GSAR')} from orders_input
@@ -396,7 +396,7 @@ FINAL: dict[str, str] = {
     "baseline_coverage": "select FEATURE, FEATURE <> 'LIFETIME_VALUE' as PRESENT from base_stats",
     "feature_stats": "select FEATURE, TOTAL_ROWS, " + ", ".join(_r(c) for c in ("P1", "P99", "MEAN", "NULL_PCT"))
         + f" from ({_stats('later', ['GSAR', 'TAM', 'TIER_NUMERIC', 'FLAT', 'RARE'])})",
-    "feature_check": "select FEATURE, TOTAL_ROWS, PRESENT, P1_RESULT, P99_RESULT, MEAN_RESULT, NULL_RESULT, STATUS, "
+    "feature_check": "select FEATURE, cast(TOTAL_ROWS as double) as TOTAL_ROWS, PRESENT, P1_RESULT, P99_RESULT, MEAN_RESULT, NULL_RESULT, STATUS, "
         + ", ".join(_r(c) for c in (
             "BASE_P1", "BASE_P99", "BASE_MEAN", "BASE_NULL_PCT", "P1", "P99", "MEAN", "NULL_PCT", "FLEX_PCT",
             "NULL_DELTA", "P99_SEVERITY")) + " from checked",
@@ -407,7 +407,8 @@ FINAL: dict[str, str] = {
                count(*) filter (where STATUS = 'fail') as FAILED, count(*) filter (where STATUS = 'warn') as WARNED
         from checked""",
     "failing_rows": f"""
-        select FEATURE, {_r('FEATURE_VALUE')}, ORDER_ID, CUSTOMER_ID, {_r('TAM')}, TIER_NUMERIC
+        select FEATURE, {_r('FEATURE_VALUE')}, ORDER_ID, CUSTOMER_ID, {_r('TAM')},
+               cast(TIER_NUMERIC as double) as TIER_NUMERIC
         from (select *, row_number() over (partition by FEATURE order by md5(cast(ORDER_ID as varchar)), ORDER_ID) as r
               from (select c.FEATURE, l.* from checked c join
                       ({' union all '.join(f"select '{f}' as F, cast({f} as double) as FEATURE_VALUE, ORDER_ID, CUSTOMER_ID, TAM, TIER_NUMERIC from later" for f in ('GSAR', 'TAM', 'TIER_NUMERIC'))}) l
@@ -445,6 +446,16 @@ FINAL: dict[str, str] = {
         select CUSTOMER_ID, {', '.join(_r(f) for f in TRAIN)}, cast(LABEL as bigint) as CLUSTER_LABEL,
                'run_fixed' as RUNID from global_filled join global_labels using (CUSTOMER_ID)""",
     "silhouette": f"select SEGMENT_KEY, K, {_r('SILHOUETTE')} from silhouettes",
+    "silhouette_embeddings": f"""
+        select 'ALL' as SEGMENT_KEY, 10 as K, {_r("""avg(case when n_own <= 1 or greatest(a, b) = 0 then 0.0
+               else (b - a) / greatest(a, b) end)""", 'SILHOUETTE')}
+        from (select id, max(n_own) as n_own, max(case when other = own then total / nullif(n - 1, 0) end) as a,
+                     min(case when other <> own then total / n end) as b
+              from (select x.vec_id as id, x.label as own, y.label as other, count(*) as n,
+                           sum(list_distance(cast(x.embedding as double[]), cast(y.embedding as double[]))) as total,
+                           count(*) filter (where x.label = y.label) as n_own
+                    from embeddings x cross join embeddings y group by 1, 2, 3)
+              group by 1)""",
     "best_k": f"select SEGMENT_KEY, BEST_K, {_r('BEST_SILHOUETTE')} from best",
     "lloyd_step": "select l.SEGMENT_KEY, K, LABEL, count(*) as N, " + _r("sum(D2)", "INERTIA", 5) + ", " + ", ".join(
         _r(f"avg(z{i})", f"C_{f}", 5) for i, f in enumerate(FEATS))
@@ -458,7 +469,7 @@ FINAL: dict[str, str] = {
     "drift_edges": f"""
         select FEATURE, BASE_N, cast(i as integer) as EDGE_NO, {_r('EDGES[i + 1]', 'EDGE')}
         from (select *, unnest(range(len(EDGES))) as i from edges)""",
-    "drift_hist": "select * from hist",
+    "drift_hist": "select FEATURE, coalesce(BIN, -1) as BIN, BASE_COUNT, CUR_COUNT from hist",
     "drift_psi": f"select FEATURE, {_r('PSI')}, NOTE, {_r('OUT_OF_RANGE_SHARE')}, STATUS from psi_report",
     "cluster_shares": f"""
         select cast(LABEL as integer) as LABEL, {_r('CURRENT_SHARE')}, {_r('BASELINE_SHARE')} from shares""",

@@ -7,15 +7,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierloom.operators import customers as cust
 from tierloom.operators import drift, explain, quality, scoring, segments, selection, training
-from tierloom.schemas import DEFAULT_FEATURES, ORDERS_INPUT
+from tierloom.schemas import ORDERS_INPUT
 from tierloom.sources import bundle, sinks, tables
-from tierloom.sources.staging import stage
+from tierloom.sources.baseline import flex_overrides
+from tierloom.sources.staging import stage, temporary_tables
+
+
+def _job(run):
+    """Removes the intermediate tables of a job when it ends; jobs return statuses and counts, no tables."""
+    @wraps(run)
+    def wrapped(*args, **kwargs):
+        with temporary_tables(SparkSession.active()):
+            return run(*args, **kwargs)
+    return wrapped
 
 
 @dataclass(frozen=True)
@@ -34,6 +45,7 @@ def prepare(
     return segments.prepare_orders(orders, profiles), cust.customer_features(profiles, as_of)
 
 
+@_job
 def train_validate_accept(
     orders: DataFrame, baseline: DataFrame, out: str, run_id: str, run_timestamp: str, as_of: str,
     opts: training.TrainingOptions = training.TrainingOptions(), min_segment_size: int = 60, min_rows: int = 100,
@@ -68,7 +80,7 @@ def train_validate_accept(
     stats = (quality.feature_stats(customers, names) if names else
              spark.createDataFrame(
                  [], "FEATURE string, TOTAL_ROWS long, P1 double, P99 double, MEAN double, NULL_PCT double"))
-    overrides = tables_overrides(spark, overrides_json)
+    overrides = flex_overrides(spark, overrides_json) if overrides_json else None
     checked = stage(quality.feature_check(stats, baseline, overrides, flex_pct), "feature-check")
     sinks.write_report(checked, reports, "feature_threshold", run_id)
     feature_status = quality.feature_gate(checked).first()["STATUS"]
@@ -79,7 +91,7 @@ def train_validate_accept(
                 quality.failing_rows(customers, checked, failed, "CUSTOMER_ID"), reports, "failing_rows", run_id)
         return TrainOutcome(dq_status, feature_status, None, False)
 
-    models = training.train(customers, run_id, run_timestamp, opts, f"{out}/customers")
+    models = training.train(customers, run_id, run_timestamp, opts)
     bundle.write_bundle(models, f"{out}/models")
     models = bundle.resolve_run(bundle.read_bundle(spark, f"{out}/models"), run_id)
     gate = selection.model_gate(models, silhouette_threshold, min_segments)
@@ -92,12 +104,7 @@ def train_validate_accept(
     return TrainOutcome(dq_status, feature_status, model_status, accepted)
 
 
-def tables_overrides(spark: SparkSession, overrides_json: str) -> DataFrame | None:
-    from tierloom.sources.baseline import flex_overrides
-
-    return flex_overrides(spark, overrides_json) if overrides_json else None
-
-
+@_job
 def batch_score(
     spark: SparkSession, customers: DataFrame, models_path: str, out_path: str, scored_at: str,
     run_id: str = "latest", segment_col: str = "SEGMENT",
@@ -109,6 +116,7 @@ def batch_score(
     return sinks.overwrite_path(scored, out_path)
 
 
+@_job
 def watch_drift(
     baseline: DataFrame, current: DataFrame, reports: str, run_id: str, features: Sequence[str] = (), **thresholds: float,
 ) -> str:
@@ -125,6 +133,7 @@ def watch_drift(
     return status.first()["STATUS"]
 
 
+@_job
 def watch_drift_by_stats(current: DataFrame, baseline: DataFrame, reports: str, run_id: str) -> str:
     """The fallback without a baseline table: means and null shares against stored statistics."""
     names = [r["FEATURE"] for r in baseline.select("FEATURE").collect() if r["FEATURE"] in current.columns]
@@ -133,22 +142,33 @@ def watch_drift_by_stats(current: DataFrame, baseline: DataFrame, reports: str,
     return drift.drift_status(report).first()["STATUS"]
 
 
+@_job
 def explain_clusters(
     spark: SparkSession, customers: DataFrame, models_path: str, out: str, run_id: str, run_timestamp: str,
     segment_prefix: str = "", background_fraction: float = 0.05, max_rows: int = 5000, segment_col: str = "SEGMENT",
-    features: Sequence[str] = DEFAULT_FEATURES,
 ) -> int:
     """Explains the clusters of the selected segments; writes the table and per-segment JSON records.
 
-    Segments whose model names another input table are read from there.
+    Segments whose model names an input table are read from there, the others from `customers`. Models are
+    handled together per input table and feature list, of which there are few.
     """
     models = explain.select_segments(bundle.open_run(spark, models_path, run_id), segment_prefix)
     models = stage(models.where(F.col("status") == "CLUSTERED"), "selected-models")
-    labelled = stage(explain.scaled_labelled(customers, models, segment_col), "labelled")
-    shap = explain.cluster_shap(
-        labelled, models, features, run_id, run_timestamp, background_fraction, max_rows)
+    parts = []
+    for kind in models.select("input_table", "features").distinct().collect():
+        own = models.where(
+            F.col("input_table").eqNullSafe(kind["input_table"])
+            & (F.col("features") == F.array(*[F.lit(f) for f in kind["features"]])))
+        rows = tables.read_table(spark, kind["input_table"]) if kind["input_table"] else customers
+        labelled = stage(explain.scaled_labelled(rows, own, segment_col), "labelled")
+        parts.append(explain.cluster_shap(
+            labelled, own, kind["features"], run_id, run_timestamp, background_fraction, max_rows))
+    if not parts:
+        return 0
+    shap = parts[0]
+    for p in parts[1:]:
+        shap = shap.unionByName(p)
     rows = sinks.write_run(shap, f"{out}/cluster_shap", run_id)
-    sinks.write_explanations(
-        spark.read.parquet(f"{out}/cluster_shap").where(F.col("RUN_ID") == sinks.safe_run_id(run_id)).drop("RUN_ID"),
-        f"{out}/cluster_shap_json/{sinks.safe_run_id(run_id)}")
+    written = spark.read.parquet(f"{out}/cluster_shap").where(F.col("RUN_ID") == sinks.safe_run_id(run_id))
+    sinks.write_explanations(written.drop("RUN_ID"), f"{out}/cluster_shap_json/{sinks.safe_run_id(run_id)}")
     return rows

@@ -1,8 +1,8 @@
 """Intermediate tables in the shared folder the cluster names in spark.checkpoint.dir.
 
 A staged table cuts the lineage, survives the loss of executors, is read column by column, and has a size
-Spark knows at planning time: joins against it turn into broadcasts only below
-spark.sql.autoBroadcastJoinThreshold and into sort-merge joins (with skew splitting) above it.
+Spark knows at planning time. with_size_check uses that size to decide between a broadcast and a sort-merge join
+(with skew splitting).
 """
 
 from __future__ import annotations
@@ -13,6 +13,10 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Largest stored size at which a table is broadcast on purpose.
+BROADCAST_LIMIT_BYTES = 64 << 20
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -48,8 +52,25 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
         del _created[mark:]
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write df once as Parquet and return the table read back."""
+def stage(df: DataFrame, name: str, row_group_bytes: int | None = None) -> DataFrame:
+    """Write df once as Parquet and return the table read back.
+
+    Small row groups let later scans split the table into many tasks where the work per row is heavy.
+    """
     path = staged_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
+    writer = df.write.mode("errorifexists")
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", row_group_bytes)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def with_size_check(df: DataFrame, limit_bytes: int | None = None) -> DataFrame:
+    """The lookup side of a join: marked for broadcast if its planned size is within the limit, else unchanged.
+
+    Meant for tables read from storage, whose planned size is the size of their files. Unmarked tables are joined
+    by sort-merge, where adaptive execution splits hot keys of the other side.
+    """
+    limit = BROADCAST_LIMIT_BYTES if limit_bytes is None else limit_bytes
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size <= limit else df
