@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tierloom.sources.staging import stage
 
-_TILE = 2_000_000
+_TILE = 250_000
 
 
 def silhouette(labelled: DataFrame, block_rows: int = 4096, max_block_rows: int = 65_536) -> DataFrame:
@@ -53,12 +53,16 @@ def _vectors(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    total = np.zeros((len(a), len(b)))
-    for j in range(a.shape[1]):
-        diff = a[:, j, None] - b[None, :, j]
-        total += diff * diff
-    return np.sqrt(total)
+def _distances(a: np.ndarray, b: np.ndarray, total: np.ndarray, diff: np.ndarray) -> np.ndarray:
+    """Euclidean distances of all rows of a and b, written into `total`; both buffers are reused."""
+    total, diff = total[:, :len(b)], diff[:, :len(b)]
+    np.subtract(a[:, 0, None], b[None, :, 0], out=total)
+    np.multiply(total, total, out=total)
+    for j in range(1, a.shape[1]):
+        np.subtract(a[:, j, None], b[None, :, j], out=diff)
+        np.multiply(diff, diff, out=diff)
+        np.add(total, diff, out=total)
+    return np.sqrt(total, out=total)
 
 
 class _Block:
@@ -76,6 +80,8 @@ class _Block:
         self.starts = np.concatenate([[0], np.cumsum(self.ks)[:-1]]).astype(int)
         self.sums = np.zeros((len(self.z), int(self.ks.sum())))
         self.weights = np.zeros(int(self.ks.sum()))
+        self.step = max(8, _TILE // len(self.z))
+        self.buffers = np.empty((len(self.z), self.step)), np.empty((len(self.z), self.step))
         self.ready = True
 
     def stream(self, z, w, labels):
@@ -87,9 +93,9 @@ class _Block:
         marks = np.zeros((len(z), self.sums.shape[1]))
         np.put_along_axis(marks, slots, np.repeat(w[:, None], slots.shape[1], axis=1), axis=1)
         self.weights += marks.sum(axis=0)
-        step = max(1, _TILE // max(1, len(self.z)))
-        for i in range(0, len(z), step):
-            self.sums += _distances(self.z, z[i:i + step]) @ marks[i:i + step]
+        for i in range(0, len(z), self.step):
+            near = slice(i, i + self.step)
+            self.sums += _distances(self.z, z[near], *self.buffers) @ marks[near]
 
     def scores(self):
         if not self.ready:
