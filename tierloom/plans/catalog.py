@@ -50,8 +50,8 @@ def avg_annual_spend(spark, sf_dir):
 @query
 def tier_fallback(spark, sf_dir):
     return rounded(spend.customer_profiles(orders_input(spark, sf_dir)).select(
-        "CUSTOMER_ID", "TAM", "TIER", "ORDER_ROWS", "AVG_ANNUAL_SPEND", _nullable_int("TIER_NUMERIC"), "TAM_TIER_OR_AVGSPEND",
-        "TAM_TIER_SOURCE"))
+        "CUSTOMER_ID", "TAM", "TIER", "ORDER_ROWS", "AVG_ANNUAL_SPEND", _nullable_int("TIER_NUMERIC"),
+        "TAM_TIER_OR_AVGSPEND", "TAM_TIER_SOURCE"))
 
 
 @query
@@ -100,8 +100,8 @@ def segment_assign(spark, sf_dir):
 def prepared_orders(spark, sf_dir):
     profiles = stage(_segmented(spark, sf_dir), "segmented")
     return rounded(segments.prepare_orders(orders_input(spark, sf_dir), profiles).select(
-        "ORDER_ID", "CUSTOMER_ID", "ORDER_YEAR", "GSAR", "AVG_ANNUAL_SPEND", _nullable_int("TIER_NUMERIC"), "TAM_TIER_OR_AVGSPEND",
-        "TAM_TIER_SOURCE", "TAM_TIER_BIN", "COUNT_SEG_1", "COUNT_SEG_2", "COUNT_SEG_3", "SEGMENT"))
+        "ORDER_ID", "CUSTOMER_ID", "ORDER_YEAR", "GSAR", "AVG_ANNUAL_SPEND", _nullable_int("TIER_NUMERIC"),
+        "TAM_TIER_OR_AVGSPEND", "TAM_TIER_SOURCE", "TAM_TIER_BIN", "COUNT_SEG_1", "COUNT_SEG_2", "COUNT_SEG_3", "SEGMENT"))
 
 
 # Scans, customer grain, data quality

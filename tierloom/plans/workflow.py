@@ -118,7 +118,8 @@ def batch_score(
 
 @_job
 def watch_drift(
-    baseline: DataFrame, current: DataFrame, reports: str, run_id: str, features: Sequence[str] = (), **thresholds: float,
+    baseline: DataFrame, current: DataFrame, reports: str, run_id: str, features: Sequence[str] = (),
+    **thresholds: float,
 ) -> str:
     """PSI per feature and KL of the cluster shares; writes the reports and returns the overall status."""
     features = list(features) or tables.numeric_columns(current)

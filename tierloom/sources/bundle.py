@@ -55,7 +55,10 @@ def artifact_name(industry, segment):
 def export_json(
     models: DataFrame, folder: str, clusters_min: int = 2, clusters_max: int = 10, min_customers: int = 60,
 ) -> None:
-    """JSON copy of one run: folder/manifest.json and folder/segments, one line per clustered segment."""
+    """JSON copy of one run: folder/manifest.json and folder/segments, one line per clustered segment.
+
+    The manifest document lists all segments in one object by its format; the model table has no such limit.
+    """
     artifact = F.when(F.col("status") == "CLUSTERED", artifact_name(F.col("industry"), F.col("segment")))
     entry = F.struct(
         "segment_key", F.struct(
