@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tierloom.llm import bpe_codec, token_counts
+from tierloom.llm import bpe_codec, langid, license_scan, secret_cnn, simhash_bk, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,3 +36,45 @@ def op2_token_counts(spark, sf_dir):
 @query
 def op7_bpe_codec(spark, sf_dir):
     return bpe_codec.encode_digests(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
+
+
+def toxic_models(docs: DataFrame, sf_dir: str):
+    """The character model of docs, and the toxicity model fitted on their labelled training rows."""
+    labels = docs.sparkSession.read.parquet(f"{sf_dir}/labels.parquet")
+    character = toxicity.character_model(docs)
+    return character, toxicity.fit(docs, toxicity.training_labels(labels), character)
+
+
+def _remainder(n: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+@query
+def op3_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    scored = toxicity.score(docs, *toxic_models(docs, sf_dir))
+    return scored.select("doc_id", F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query
+def op4_simhash_bk(spark, sf_dir):
+    return simhash_bk.near_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op5_license_scan(spark, sf_dir):
+    return license_scan.scan_digest(documents(spark, sf_dir))
+
+
+@query
+def op9_language(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    profiles = langid.learn(docs.where(_remainder(4) != 2))
+    return langid.identify(docs, profiles).select(
+        "doc_id", F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_secrets(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return secret_cnn.scan(docs, secret_cnn.fit(docs))
