@@ -3,8 +3,9 @@
 Words are white-space-free pieces in lower case without outer punctuation. A document holds an item if some stretch of
 its words is at most floor(max_edit_share * item words) word edits away from the item (0.8 similarity by default).
 
-1. A window is only embedded if it holds enough of the benchmark's word pairs. An edit destroys at most two pairs, so a
-   window near an item always does: this drops no match. The pairs are a bitmap of fixed size, whatever the benchmark.
+1. A window is only embedded if it holds enough different word pairs of the benchmark. An edit destroys at most two
+   pairs, so a window near an item always does: this drops no match. The pairs are a bitmap of fixed size, whatever the
+   benchmark.
 2. The CGK walk reads a window with one random bit per (repetition, step, word): bit 1 moves on, bit 0 repeats the word.
    Sequences few edits apart then agree in most places of their walks. Each repetition samples a few places of the walk
    as its key; windows whose key is a key of some item (again a fixed-size bitmap) go on, with their keys.
@@ -43,8 +44,8 @@ class Settings:
     max_edit_share: float = 0.2
     min_item_words: int = 5
     size_step: float = 1.15  # window sizes form a geometric series; an item uses the largest that fits
-    repetitions: int = 10
-    samples: int = 4
+    repetitions: int = 24
+    samples: int = 3
 
     def edits(self, words: int) -> int:
         return math.floor(self.max_edit_share * words + 1e-9)
@@ -80,15 +81,13 @@ class WordHasher:
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads 64-bit values."""
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(32))) * _MIX
-        x = (x ^ (x >> np.uint64(29))) * _MIX
+    x = (x ^ (x >> np.uint64(32))) * _MIX
+    x = (x ^ (x >> np.uint64(29))) * _MIX
     return x ^ (x >> np.uint64(32))
 
 
 def pair_hashes(words: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return mix(words[:-1] * np.uint64(3) + words[1:])
+    return mix(words[:-1] * np.uint64(3) + words[1:])
 
 
 class Bitmap:
@@ -118,26 +117,24 @@ class Walk:
         self.size, self.settings = size, settings
         r = np.random.default_rng(size * 1_000_003 + 17)
         steps = 2 * size
-        self.places = [np.sort(r.choice(steps, min(settings.samples, steps), replace=False)) for _ in range(settings.repetitions)]
-        self.seeds = r.integers(1, 1 << 63, (settings.repetitions, steps), dtype=np.uint64)
+        self.sampled = np.zeros((steps, settings.repetitions), dtype=bool)
+        for k in range(settings.repetitions):
+            self.sampled[r.choice(steps, min(settings.samples, steps), replace=False), k] = True
+        self.seeds = r.integers(1, 1 << 63, (steps, settings.repetitions), dtype=np.uint64)
 
     def keys(self, windows: np.ndarray) -> np.ndarray:
-        """windows: rows of `size` words. One key per row and repetition."""
-        n = len(windows)
-        rows = np.arange(n)
+        """windows: rows of `size` words. One key per row and repetition; all repetitions walk side by side."""
+        n, repetitions = len(windows), self.settings.repetitions
+        rows = np.arange(n)[:, None]
         padded = np.concatenate([windows, np.zeros((n, 1), dtype=np.uint64)], axis=1)
-        out = np.empty((n, self.settings.repetitions), dtype=np.uint64)
-        for k, places in enumerate(self.places):
-            at = np.zeros(n, dtype=np.int64)
-            key = np.full(n, self.size * 64 + k, dtype=np.uint64)
-            wanted = set(places.tolist())
-            for step in range(int(places[-1]) + 1):
-                word = padded[rows, at]
-                if step in wanted:
-                    key = mix(key ^ word)
-                move = (mix(word ^ self.seeds[k, step]) & np.uint64(1)).astype(np.int64)
-                at = np.minimum(at + move, self.size)
-            out[:, k] = key
+        at = np.zeros((n, repetitions), dtype=np.int64)
+        out = np.tile(np.arange(repetitions, dtype=np.uint64) + np.uint64(64 * self.size), (n, 1))
+        for step in range(int(np.flatnonzero(self.sampled.any(axis=1))[-1]) + 1):
+            word = padded[rows, at]
+            taken = self.sampled[step]
+            out[:, taken] = mix(out[:, taken] ^ word[:, taken])
+            at += (mix(word ^ self.seeds[step]) & np.uint64(1)).astype(np.int64)
+            np.minimum(at, self.size, out=at)
         return out
 
 
@@ -184,40 +181,61 @@ class Index:
 
     settings: Settings
     sizes: list[int]
-    used: list[int]
+    used: dict[int, int]  # window size: fewest different pairs that an item has in its first window
     pairs: Bitmap
     keys: Bitmap
 
-    def regions(self, words: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
-        """(first, last, keys) of the stretches of a text in which some window has the key of an item."""
-        if len(words) < 2:
-            return []
-        hit = np.zeros(len(words), dtype=np.int64)
-        hit[1:] = self.pairs.has(pair_hashes(words))  # pair that ends at this word
-        upto = np.cumsum(hit)
-        if upto[-1] < self.settings.min_item_words - 1 - 2 * self.settings.edits(self.settings.min_item_words):
+    def regions(self, texts: list[np.ndarray]) -> list[tuple[int, int, int, np.ndarray]]:
+        """(text, first, last, keys) of the stretches in which some window has the key of an item.
+
+        The texts are laid out one after the other with gaps that no window bridges, and windows of all texts are
+        embedded together.
+        """
+        if not self.used or not texts:
             return []
+        gap = max(n + self.settings.most_edits(n, self.sizes) for n in self.used) + 1
+        length = np.array([len(w) for w in texts], dtype=np.int64)
+        offset = np.cumsum(np.r_[0, length[:-1] + gap])
+        words = np.zeros(int(offset[-1] + length[-1]) + gap, dtype=np.uint64)
+        of_text = np.full(len(words), -1, dtype=np.int64)
+        for k, (o, w) in enumerate(zip(offset.tolist(), texts, strict=True)):
+            words[o:o + len(w)] = w
+            of_text[o:o + len(w)] = k
+        pairs = np.zeros(len(words), dtype=np.uint64)  # that ends at this word; 0 if no item has it
+        pairs[1:] = pair_hashes(words)
+        pairs[(words == _NO_WORD) | np.r_[True, words[:-1] == _NO_WORD] | ~self.pairs.has(pairs)] = 0
+        upto = np.cumsum(pairs != 0)
         marked = []
-        for size in self.used:
+        for size, different in self.used.items():
             edits = self.settings.most_edits(size, self.sizes)
-            starts = np.arange(max(1, len(words) - size + edits + 1))
-            reach = np.minimum(starts + size + edits, len(words)) - 1
-            starts = starts[upto[reach] - upto[starts] >= size - 1 - 2 * edits]
-            if not len(starts):
-                continue
+            starts = np.flatnonzero(of_text[:len(words) - size - edits] >= 0)
+            starts = starts[upto[starts + size + edits - 1] - upto[starts] >= different - 2 * edits]
+            starts = self.varied(pairs, starts, size + edits, different - 2 * edits)
             walk = self.walk(size)
-            padded = np.concatenate([words, np.zeros(size, dtype=np.uint64)])
-            windows = np.lib.stride_tricks.sliding_window_view(padded, size)
+            windows = np.lib.stride_tricks.sliding_window_view(words, size)
+            longest = int(size * self.settings.size_step) + 1 + 2 * edits
             for i in range(0, len(starts), 4096):
                 some = starts[i:i + 4096]
                 keys = walk.keys(windows[some])
                 known = self.keys.has(keys)
-                longest = int(size * self.settings.size_step) + 1 + 2 * edits
                 for row in np.flatnonzero(known.any(axis=1)).tolist():
-                    s = int(some[row])
-                    marked.append((max(0, s - edits), min(len(words), s + longest) - 1, keys[row, known[row]]))
+                    k = int(of_text[some[row]])
+                    s = int(some[row] - offset[k])
+                    marked.append((k, max(0, s - edits), min(int(length[k]), s + longest) - 1, keys[row, known[row]]))
         return merged(marked)
 
+    @staticmethod
+    def varied(pairs: np.ndarray, starts: np.ndarray, reach: int, least: int) -> np.ndarray:
+        """The starts whose windows hold at least `least` different known pairs."""
+        padded = np.concatenate([pairs[1:], np.zeros(reach, dtype=np.uint64)])
+        windows = np.lib.stride_tricks.sliding_window_view(padded, reach - 1)
+        kept = []
+        for i in range(0, len(starts), 8192):
+            own = np.sort(windows[starts[i:i + 8192]], axis=1)
+            different = (own[:, 1:] != own[:, :-1]).sum(axis=1) + (own[:, 0] != 0)
+            kept.append(starts[i:i + 8192][different >= least])
+        return np.concatenate(kept) if kept else starts
+
     def walk(self, size: int) -> Walk:
         found = _WALKS.get((size, self.settings))
         if found is None:
@@ -228,16 +246,16 @@ class Index:
 _WALKS: dict[tuple[int, Settings], Walk] = {}
 
 
-def merged(marked: list[tuple[int, int, np.ndarray]]) -> list[tuple[int, int, np.ndarray]]:
-    """Overlapping stretches as one, with all their different keys."""
+def merged(marked: list[tuple[int, int, int, np.ndarray]]) -> list[tuple[int, int, int, np.ndarray]]:
+    """Overlapping stretches of a text as one, with all their different keys."""
     out: list[list] = []
-    for first, last, keys in sorted(marked, key=lambda x: x[:2]):
-        if out and first <= out[-1][1] + 1:
-            out[-1][1] = max(out[-1][1], last)
-            out[-1][2].append(keys)
+    for text, first, last, keys in sorted(marked, key=lambda x: x[:3]):
+        if out and out[-1][0] == text and first <= out[-1][2] + 1:
+            out[-1][2] = max(out[-1][2], last)
+            out[-1][3].append(keys)
         else:
-            out.append([first, last, [keys]])
-    return [(a, z, np.unique(np.concatenate(k))) for a, z, k in out]
+            out.append([text, first, last, [keys]])
+    return [(k, a, z, np.unique(np.concatenate(found))) for k, a, z, found in out]
 
 
 def _bitmap(hashes: DataFrame) -> Bitmap:
@@ -292,15 +310,24 @@ def find(
                 block, bit = Bitmap.place(pair_hashes(np.array(w, dtype=np.int64).view(np.uint64)))
                 yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(bit.view(np.int64))], names=["block", "bits"])
 
+    def first_pairs(batches):
+        for batch in batches:
+            size, pairs = [], []
+            for w in batch.column(0).to_pylist():
+                size.append(settings.size_of(len(w), sizes))
+                pairs.append(len(np.unique(pair_hashes(np.array(w[:size[-1]], dtype=np.int64).view(np.uint64)))))
+            yield pa.RecordBatch.from_arrays([pa.array(size, pa.int32()), pa.array(pairs, pa.int32())], names=["size", "pairs"])
+
     def key_bits(batches):
         for batch in batches:
             block, bit = Bitmap.place(batch.column(0).to_numpy().view(np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(bit.view(np.int64))], names=["block", "bits"])
 
     keys = stage(items.select("item", "words").mapInArrow(item_keys, "item long, key long"), "item-keys")
-    lengths = [r["n"] for r in items.select(F.size("words").alias("n")).distinct().collect()]  # one per item length
+    used = items.select("words").mapInArrow(first_pairs, "size int, pairs int").groupBy("size").agg(
+        F.min("pairs").alias("pairs")).orderBy("size").collect()  # one row per window size
     index = Index(
-        settings, sizes, sorted({settings.size_of(n, sizes) for n in lengths}),
+        settings, sizes, {r["size"]: r["pairs"] for r in used},
         _bitmap(items.select("words").mapInArrow(pair_bits, "block long, bits long")),
         _bitmap(keys.select("key").mapInArrow(key_bits, "block long, bits long")))
     shared = spark.sparkContext.broadcast(index)
@@ -310,13 +337,12 @@ def find(
         own = shared.value
         for chunk in text_chunks(batches):
             row, first, words, found = [], [], [], []
-            for k, text in enumerate(texts_of(chunk)):
-                w = words_of(text)
-                for a, z, region_keys in own.regions(w):
-                    row.append(k)
-                    first.append(a)
-                    words.append(w[a:z + 1].view(np.int64))
-                    found.append(region_keys.view(np.int64))
+            texts = [words_of(t) for t in texts_of(chunk)]
+            for k, a, z, region_keys in own.regions(texts):
+                row.append(k)
+                first.append(a)
+                words.append(texts[k][a:z + 1].view(np.int64))
+                found.append(region_keys.view(np.int64))
             at = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [chunk.column(i).take(at) for i in range(kept)] + [
