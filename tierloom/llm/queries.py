@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierloom.llm import bpe_codec, decontam_cgk, langid, license_scan, secret_cnn, simhash_bk, token_counts, toxicity
+from tierloom.llm import (
+    bpe_codec,
+    decontam_cgk,
+    langid,
+    license_scan,
+    rp_forest,
+    secret_cnn,
+    simhash_bk,
+    token_counts,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +76,11 @@ def op5_license_scan(spark, sf_dir):
     return license_scan.scan_digest(documents(spark, sf_dir))
 
 
+@query
+def op6_rp_forest(spark, sf_dir):
+    return rp_forest.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @query
 def op8_decontamination(spark, sf_dir):
     """A row for each document and benchmark item it holds, with the best place."""
