@@ -15,6 +15,7 @@ from tierloom.llm import (
     license_scan,
     rp_forest,
     secret_cnn,
+    sharding,
     simhash_bk,
     token_counts,
     toxicity,
@@ -38,6 +39,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query
+def op1_label_sharding(spark, sf_dir):
+    return sharding.shard_documents(documents(spark, sf_dir))
+
+
 @query
 def op2_token_counts(spark, sf_dir):
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER), TOKEN_LIMIT)
