@@ -74,6 +74,16 @@ def column_of(df: DataFrame, name: str, alias: str | None = None):
     return F.col(f"`{name}`").alias(alias or name)
 
 
+def neutral(docs: DataFrame) -> DataFrame:
+    """docs with every column but doc_id and text under a name of its position, so that new columns cannot clash."""
+    return docs.toDF(*[c if c in ("doc_id", "text") else f"_{i}" for i, c in enumerate(docs.columns)])
+
+
+def named_again(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of neutral(docs) in rows, under their names and in their order in docs."""
+    return rows.select(*neutral(docs).columns).toDF(*docs.columns)
+
+
 def map_texts(
     docs: DataFrame, fields: Sequence[tuple[str, str]], work: Callable[..., Sequence], keep: Sequence[str] = ("doc_id",),
 ) -> DataFrame:

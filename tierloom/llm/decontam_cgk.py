@@ -19,18 +19,25 @@ item_id or doc_id is kept; empty tables give an empty result.
 
 from __future__ import annotations
 
-import hashlib
 import math
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierloom.llm.common import BoundedCache, column_of, text_chunks, texts_of, white_space_tokens
+from tierloom.llm.common import (
+    BoundedCache,
+    column_of,
+    named_again,
+    neutral,
+    text_chunks,
+    texts_of,
+    white_space_tokens,
+)
 from tierloom.sources.staging import stage
 
 BITMAP_BITS = 22
@@ -388,7 +395,7 @@ def best_places(found: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFr
     return found.groupBy(*keep, "item_id").agg(best).select(*keep, "item_id", *[f"best.{c}" for c in _MEASURES])
 
 
-def text_key(df: DataFrame):
+def text_key() -> Column:
     return F.md5(F.coalesce(F.col("`text`"), F.lit("")).cast("binary"))
 
 
@@ -398,8 +405,6 @@ def clean(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
     Whether a text holds an item depends on the text alone, so rows are matched by a digest of it: ids may be null or
     repeated.
     """
-    named = docs.select(text_key(docs).alias("digest"), F.col("`text`").alias("text"))
-    tainted = find(named, benchmark, settings, ("digest",)).select("digest").distinct()
-    key = f"digest-{hashlib.md5(','.join(docs.columns).encode()).hexdigest()}"
-    return docs.withColumn(key, text_key(docs)).join(
-        tainted.withColumnRenamed("digest", key), key, "left_anti").select(*[column_of(docs, c) for c in docs.columns])
+    marked = neutral(docs).withColumn("digest", text_key())
+    tainted = find(marked.select("digest", "text"), benchmark, settings, ("digest",)).select("digest").distinct()
+    return named_again(marked.join(tainted, "digest", "left_anti"), docs)

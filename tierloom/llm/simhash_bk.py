@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierloom.llm.common import map_texts
+from tierloom.llm.common import map_texts, named_again, neutral
 from tierloom.llm.components import connected_components
 from tierloom.sources.staging import stage
 
@@ -217,14 +217,10 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFra
 
 def keep_one(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
     """docs with one row of each component: that of the smallest doc_id (null last), of equal ids the first read."""
-    columns = docs.columns
-    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
-    packed = docs.select(row.alias("row"), F.col("`doc_id`").alias("doc_id"), F.col("`text`").alias("text"))
-    marked = stage(
-        fingerprints(packed, width, ("row", "doc_id")).withColumn("uid", F.monotonically_increasing_id()), "marked")
+    plain = neutral(docs)
+    marked = stage(fingerprints(plain, width, tuple(plain.columns)).withColumn("uid", F.monotonically_increasing_id()), "marked")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")
     best = marked.groupBy("fp").agg(F.min(rank).alias("best"))
     kept = with_root(best, fingerprint_classes(marked, radius)).groupBy("root").agg(
         F.min("best").alias("best")).select(F.col("best.uid").alias("uid"))
-    return marked.join(kept, "uid", "left_semi").select(
-        *[F.col(f"row.c{i}").alias(c) for i, c in enumerate(columns)])
+    return named_again(marked.join(kept, "uid", "left_semi"), docs)

@@ -23,7 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierloom.llm.common import BoundedCache, column_of, map_texts, text_chunks, texts_of, white_space_tokens
+from tierloom.llm.common import (
+    BoundedCache,
+    column_of,
+    map_texts,
+    named_again,
+    neutral,
+    text_chunks,
+    texts_of,
+    white_space_tokens,
+)
 
 # The letters that a sign may stand for.
 LEET = {
@@ -378,6 +387,12 @@ def score(
     return map_texts(docs, [("score", "double"), ("predicted", "int")], work, keep)
 
 
+def keep_civil(docs: DataFrame, character: CharacterModel, model: ToxicModel | None, cut: float = 0.7) -> DataFrame:
+    """The rows of docs whose score is below `cut`, with their columns."""
+    plain = neutral(docs)
+    return named_again(score(plain, character, model, cut, tuple(plain.columns)).where("predicted = 0"), docs)
+
+
 def training_labels(labels: DataFrame, folds: int = 3, held_out: int = 1) -> DataFrame:
     """doc_id, toxic of the rows that may be learned from: crc32(doc_id) mod folds is not held_out. Conflicts: toxic."""
     return labels.where("doc_id is not null and toxic in (0, 1)").where(
