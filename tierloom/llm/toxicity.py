@@ -71,13 +71,14 @@ _CODES = _code_table()
 
 
 def _trigram_counts(texts: list[str], into: np.ndarray) -> None:
-    points = np.frombuffer("\n".join(texts).encode("utf-32-le"), dtype=np.uint32)
-    codes = np.concatenate([[0, 0], _CODES[np.minimum(points, 0x250)], [0, 0]])
-    # One boundary between words: further non-letters are skipped.
-    codes = codes[(codes != 0) | (np.r_[1, codes[:-1]] != 0)]
-    if len(codes) > 2:
-        tri = (codes[:-2] * ALPHABET + codes[1:-1]) * ALPHABET + codes[2:]
-        into += np.bincount(tri, minlength=len(into))
+    points = np.frombuffer("".join([f"\n{t}\n" for t in texts]).encode("utf-32-le"), dtype=np.uint32)
+    text = np.repeat(np.arange(len(texts)), np.fromiter(map(len, texts), np.int64, len(texts)) + 2)
+    codes = _CODES[np.minimum(points, 0x250)]
+    # One boundary between words: further non-letters of a text are skipped.
+    keep = (codes != 0) | (np.r_[1, codes[:-1]] != 0) | (text != np.r_[-1, text[:-1]])
+    codes, text = codes[keep], text[keep]
+    tri = (codes[:-2] * ALPHABET + codes[1:-1]) * ALPHABET + codes[2:]
+    into += np.bincount(tri[text[:-2] == text[2:]], minlength=len(into))
 
 
 def character_counts(docs: DataFrame) -> DataFrame:
