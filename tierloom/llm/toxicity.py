@@ -274,13 +274,16 @@ class ToxicModel:
 
 
 def fit_logistic(rows, ids, values, labels, dims: int, l2: float, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Full-batch gradient descent (Adam) on a sparse table; rows, ids and values are its entries."""
-    w, b, n = np.zeros(dims), 0.0, len(labels)
+    """Full-batch gradient descent (Adam) on a sparse table; rows, ids and values are its entries.
+
+    Both kinds of rows weigh the same in all, so that rare toxic rows are not scored too low.
+    """
+    w, b, n, share = np.zeros(dims), 0.0, len(labels), labels.mean()
+    weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
     m, v = np.zeros(dims + 1), np.zeros(dims + 1)
-    b = math.log((labels.sum() + 0.5) / (n - labels.sum() + 0.5))
     for step in range(1, steps + 1):
         z = np.bincount(rows, values * w[ids], n) + b
-        gap = 1 / (1 + np.exp(-np.clip(z, -50, 50))) - labels
+        gap = weight * (1 / (1 + np.exp(-np.clip(z, -50, 50))) - labels)
         grad = np.append(np.bincount(ids, values * gap[rows], dims) / n + l2 * w, gap.mean())
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad * grad
@@ -292,7 +295,7 @@ def fit_logistic(rows, ids, values, labels, dims: int, l2: float, steps: int = 3
 
 def fit(
     docs: DataFrame, labels: DataFrame, model: CharacterModel, sample_rows: int = 20_000, max_features: int = 4096,
-    min_docs: int = 3, l2: float = 2e-5,
+    min_docs: int = 3, l2: float = 1e-4,
 ) -> ToxicModel | None:
     """Fits on rows of docs that labels (doc_id, toxic; one row per doc_id) names; at most about `sample_rows`, by hash.
 
