@@ -174,8 +174,8 @@ def test_network_learns_and_keeps_recall(spark):
     net = secret_cnn.fit(docs, recall=0.95)
     base, every = secret_cnn.spans_of(labelled_texts(100, 2), net)
     assert sum(map(len, base)) == 100 and sum(s.kind == "cnn" for x in every for s in x) <= 3
-    # A run of the same kind of characters that no pattern takes, because of one character.
-    hidden = [f"material {i}a3f09b7c12{i}Xd4e5f60718a9b0{i}c1d2 more" for i in range(10)]
+    # No pattern takes these: the sign between is another one, and a letter beyond f breaks the run.
+    hidden = [f'he token == "{i}a3f09b7c12{i}xd4e5f60718a9b0{i}c1d2ab" of' for i in range(10)]
     found = secret_cnn.spans_of(hidden, net)
     assert not any(found[0]) and sum(map(len, found[1])) >= 5
 

@@ -295,11 +295,11 @@ def fit_logistic(rows, ids, values, labels, dims: int, l2: float, steps: int = 3
 
 def fit(
     docs: DataFrame, labels: DataFrame, model: CharacterModel, sample_rows: int = 20_000, max_features: int = 4096,
-    min_docs: int = 3, l2: float = 1e-4,
+    min_docs: int = 3, min_chi: float = 7.0, l2: float = 1e-4,
 ) -> ToxicModel | None:
     """Fits on rows of docs that labels (doc_id, toxic; one row per doc_id) names; at most about `sample_rows`, by hash.
 
-    max_features: size of the model; those that tell the two kinds apart best (chi-square) are kept.
+    max_features: size of the model; those that tell the two kinds apart best (chi-square, at least min_chi) are kept.
     """
     total = labels.count()
     if total > sample_rows:
@@ -330,7 +330,9 @@ def fit(
         F.expr(f"a + b >= {min_docs}"))
     gap = F.expr(f"a * ({good}D - b) - b * ({bad}D - a)")
     both = F.expr("a + b")
-    ranked = found.withColumn("chi", gap * gap / (both * (F.lit(float(bad + good)) - both + 1)))
+    scale = F.lit((bad + good) / (bad * good))
+    ranked = found.withColumn("chi", scale * gap * gap / (both * (F.lit(float(bad + good)) - both + 1))).where(
+        F.col("chi") >= min_chi)
     top = ranked.orderBy(F.desc("chi"), "feature").limit(max_features).select("feature").collect()
     names = {r["feature"]: i for i, r in enumerate(top)}
     empty = ToxicModel(names, np.zeros(len(names)), 0.0)
@@ -354,7 +356,7 @@ def fit(
     table = chosen.mapInArrow(entries, "toxic int, ids array<int>, counts array<int>, words long").toPandas()
     size = table["ids"].map(len).to_numpy()
     if not size.sum():
-        return None
+        return ToxicModel({}, np.zeros(0), math.log(bad / good))
     ids = np.concatenate(table["ids"].to_numpy()).astype(np.int64)
     counts = np.concatenate(table["counts"].to_numpy()).astype(np.float64)
     rows = np.repeat(np.arange(len(table)), size)
