@@ -83,3 +83,29 @@ def test_moments_against_stored_statistics(spark):
     four = {r["FEATURE"]: r["STATUS"] for r in drift.drift_stats_vs_stats(stats, base).collect()}
     assert four == {"a": "fail", "z": "ok", "h": "fail", "m": "warn", "n": "ok", "gone": "fail"}
     assert drift.drift_status(drift.drift_vs_stats(stats, base)).first()["FAILED"] == 2
+
+
+def test_lacking_columns_are_notes(spark, tmp_path):
+    from tierloom.plans import workflow
+
+    base = spark.range(200).selectExpr("cast(id as double) as a", "cast(id as double) as b", "1 as CLUSTER_LABEL")
+    current = base.drop("b", "CLUSTER_LABEL").withColumn("c", F.lit(1.0))
+    notes = {r["FEATURE"]: (r["NOTE"], r["STATUS"]) for r in drift.drift_psi(base, current, ["a", "b", "c"]).collect()}
+    assert notes == {"a": (None, "ok"), "b": ("missing_in_current", "ok"), "c": ("missing_in_baseline", "ok")}
+    out = str(tmp_path)
+    assert workflow.watch_drift(base, current, out, "d1", ["a", "b"]) == "ok"
+    assert "not available" in spark.read.json(f"{out}/d1/drift_clusters").first()["NOTE"]
+    broken = base.withColumn("a", F.expr("if(a > 5, raise_error('broken'), a)"))
+    assert workflow.watch_drift(base, broken, out, "d2", ["a"]) == "fail"
+    row = spark.read.json(f"{out}/d2/drift_status").first()
+    assert row["STATUS"] == "fail" and "broken" in row["ERROR"]
+
+
+def test_statistics_against_statistics(spark, tmp_path):
+    from tierloom.plans import workflow
+
+    kind = "FEATURE string, BASE_P1 double, BASE_P99 double, BASE_MEAN double, BASE_NULL_PCT double"
+    base = spark.createDataFrame([("a", 0.0, 9.0, 4.0, 0.1), ("b", 0.0, 9.0, 2.0, None)], kind)
+    moved = spark.createDataFrame([("a", 0.0, 9.0, 9.0, 0.1), ("b", 0.0, 9.0, 2.0, 0.0)], kind)
+    assert workflow.watch_drift_stats(base, str(tmp_path), "self") == "ok"
+    assert workflow.watch_drift_stats(base, str(tmp_path), "moved", moved) == "fail"

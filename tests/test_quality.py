@@ -53,12 +53,25 @@ def test_invalid_overrides_are_ignored(spark):
     assert bl.flex_overrides(spark, "{not json").count() == 0
 
 
-def test_wide_and_long_statistics_agree(spark, monkeypatch):
+def test_statistics_of_any_number_of_features(spark):
     df = spark.range(500).selectExpr("cast(id as double) as a", "if(id % 4 = 0, null, cast(id % 7 as double)) as b")
     wide = sorted(quality.feature_stats(df, ["a", "b"]).collect())
-    monkeypatch.setattr(quality, "_WIDE_LIMIT", 1)
-    assert sorted(quality.feature_stats(df, ["a", "b"]).collect()) == wide
     assert wide[1]["NULL_PCT"] == 0.25 and wide[0]["P99"] == 494.0
+    for n in (50, 51):
+        names = [f"f{i}" for i in range(n)]
+        many = quality.feature_stats(df.select(*[F.col("a").alias(f) for f in names]), names).collect()
+        assert [tuple(r)[1:] for r in many] == [tuple(wide[0])[1:]] * n
+        empty = df.where("a < 0").select(*[F.col("a").alias(f) for f in names])
+        assert [(r["FEATURE"], r["TOTAL_ROWS"]) for r in quality.feature_stats(empty, names).collect()] == [
+            (f, 0) for f in names]
+
+
+def test_extreme_rows_of_a_negative_baseline(spark):
+    df = spark.createDataFrame([(1, -9.0), (2, -1.2), (3, -20.0), (4, 3.0)], "id long, v double")
+    checks = spark.createDataFrame(
+        [("v", "fail", True, -10.0, -1.0, 0.5)],
+        "FEATURE string, STATUS string, PRESENT boolean, BASE_P1 double, BASE_P99 double, FLEX_PCT double")
+    assert sorted(r["id"] for r in quality.failing_rows(df, checks, ["v"], "id").collect()) == [3, 4]
 
 
 def test_baseline_document_round_trip(spark, tmp_path):

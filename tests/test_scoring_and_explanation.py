@@ -125,3 +125,19 @@ def test_label_shapley_of_an_irrelevant_feature_is_zero(spark):
 def test_scored_labels_are_within_k(spark):
     df, m = labelled(spark)
     assert df.where((F.col("CLUSTER_LABEL") < 0) | (F.col("CLUSTER_LABEL") >= 2)).count() == 0
+
+
+def test_text_features_count_as_numbers_and_only_named_columns_are_read(spark, tmp_path):
+    rows = [(1, "S", "ind", "9.5", 1.0), (2, "S", "ind", "0.1", 1.0), (3, "S", "ind", "n/a", 1.0)]
+    kind = "CUSTOMER_ID long, SEGMENT string, MOST_RECENT_INDUSTRY_CODE_DESC string, f0 string, unused double"
+    spark.createDataFrame(rows, kind).write.parquet(str(tmp_path / "rows"))
+    m = models(spark, model(features=("f0",), center=None, scale=None, centroids=((0.0,), (10.0,))))
+    scored = scoring.score_segments(spark.read.parquet(str(tmp_path / "rows")), m, "r", "")
+    assert {r["CUSTOMER_ID"]: r["CLUSTER_LABEL"] for r in scored.collect()} == {1: 1, 2: 0, 3: -1}
+    assert "unused" not in scored._jdf.queryExecution().executedPlan().toString()
+
+
+def test_all_rows_are_explained_by_default(spark):
+    df, m = labelled(spark)
+    default = sorted(map(str, explain.cluster_shap(df, m, ["F0", "F1"], "run", "t").collect()))
+    assert default == sorted(map(str, explain.cluster_shap(df, m, ["F0", "F1"], "run", "t", 1.0, 0).collect()))

@@ -2,6 +2,7 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierloom.operators import segments, spend
 from tierloom.schemas import ORDERS_INPUT
@@ -93,3 +94,20 @@ def test_profiles_scan_orders_once_and_combine_before_shuffle(spark, tmp_path):
     plan = spend.customer_profiles(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1
     assert plan.count("Exchange") == 2
+
+
+def test_orders_without_a_customer_use_their_own_attributes(spark):
+    rows = [order(None, 2000, 10.0, tam=5.0), order(None, 2000, 30.0), order(None, 2001, 50.0, tier="Tier 1"),
+            order(1, 2000, 8.0)]
+    df = spark.createDataFrame(rows, T.StructType([T.StructField(f.name, f.dataType) for f in ORDERS_INPUT]))
+    profiles = segments.segment_profiles(df, min_segment_size=0)
+    got = [(r["GSAR"], r["TAM_TIER_SOURCE"], r["AVG_ANNUAL_SPEND"], r["SEGMENT"] is not None)
+           for r in segments.prepare_orders(df, profiles).orderBy("GSAR").collect()]
+    assert got == [(8.0, "AVG_ANNUAL_SPEND", 8.0, True), (10.0, "TAM", None, True), (30.0, "UNKNOWN", None, True),
+                   (50.0, "TIER", None, True)]
+
+
+def test_small_and_huge_amounts(spark):
+    df = orders(spark, *[order(1, 2000, 0.00004)] * 1000, order(2, 2000, 1e15), order(2, 2000, 1e15), order(3, 2000, 1e40))
+    got = one(spend.avg_annual_spend(df), "AVG_ANNUAL_SPEND")
+    assert got == {1: pytest.approx(0.04), 2: 2e15, 3: None}

@@ -173,3 +173,40 @@ def test_results_do_not_depend_on_broadcasts(spark, sf, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_segments_whose_names_read_alike_keep_their_models(spark, tmp_path):
+    rows = [model("IND::A B", centroids=((1.0, 1.0), (2.0, 2.0))), model("IND::A_B", centroids=((3.0, 3.0), (4.0, 4.0)))]
+    bundle.export_json(spark.createDataFrame(rows, SEGMENT_MODEL), str(tmp_path))
+    back = bundle.import_json(spark, str(tmp_path), "segments", False).collect()
+    assert {r["segment_key"]: r["centroids"] for r in back} == {
+        "IND::A B": [[1.0, 1.0], [2.0, 2.0]], "IND::A_B": [[3.0, 3.0], [4.0, 4.0]]} and len(back) == 2
+
+
+def test_newest_run_prunes_partitions(spark, tmp_path):
+    df = spark.createDataFrame([model()], SEGMENT_MODEL)
+    bundle.write_bundle(df.unionByName(df.withColumn("run_id", F.lit("run_9"))), str(tmp_path / "m"))
+    plan = bundle.open_run(spark, str(tmp_path / "m"))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_id" in plan and "= run_9" in plan
+
+
+def test_jobs_in_threads_keep_their_own_tables(spark):
+    from threading import Event, Thread
+
+    staged, ended, results = Event(), Event(), []
+
+    def long_job():
+        with staging.temporary_tables(spark):
+            df = staging.stage(spark.range(5), "probe")
+            staged.set()
+            ended.wait(60)
+            results.append(df.count())
+
+    thread = Thread(target=long_job)
+    thread.start()
+    staged.wait(60)
+    with staging.temporary_tables(spark):
+        staging.stage(spark.range(3), "probe").count()
+    ended.set()
+    thread.join()
+    assert results == [5]

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 # Tier texts and their codes; any other text has no code.
 TIER_CODES = {"Tier 0": 0, "Tier 1": 1, "Tier 2": 2, "Tier 3": 3, "Other": 4}
 
-# Money is summed as whole units of 10^-MONEY_SCALE, which makes the sums independent of row order.
-MONEY_SCALE = 4
+# Money is summed as decimals, which makes the sums independent of row order. Twelve places keep any amount that
+# matters; amounts of 10^26 and more do not fit and count as no number.
+MONEY_TYPE = "decimal(38,12)"
 
 STATUS_LEVELS = ["ok", "warn", "fail"]
 
@@ -24,12 +25,12 @@ def to_number(c: Column) -> Column:
     return finite(c.try_cast("double"))
 
 
-def money_units(c: Column, scale: int = MONEY_SCALE) -> Column:
-    return F.round(finite(c.cast("double")) * F.lit(10.0 ** scale)).cast("bigint")
+def money_units(c: Column) -> Column:
+    return to_number(c).try_cast(MONEY_TYPE)
 
 
-def units_to_money(units: Column, scale: int = MONEY_SCALE) -> Column:
-    return units / F.lit(10.0 ** scale)
+def units_to_money(units: Column) -> Column:
+    return units.cast("double")
 
 
 def tier_code(tier: Column) -> Column:
@@ -74,18 +75,22 @@ def model_key(industry: Column, segment: Column) -> Column:
         F.coalesce(segment.cast("string"), F.lit("NA")))
 
 
-def bound_check(baseline: Column, current: Column, flex: Column) -> Column:
-    """in / out / missing for a multiplicative tolerance band around the baseline.
+def band(baseline: Column, flex: Column) -> tuple[Column, Column]:
+    """Lower and upper end of a multiplicative tolerance band; near zero it is additive.
 
-    Near zero the band is additive. A negative baseline swaps the two ends, so they are ordered here.
+    A negative baseline swaps the two ends, so they are ordered here.
     """
-    near_zero = F.abs(baseline) < 1e-6
-    slack = F.greatest(F.lit(1.0), F.abs(baseline) * flex)
-    end_a = F.when(near_zero, baseline - slack).otherwise(baseline * (F.lit(1.0) - flex))
-    end_b = F.when(near_zero, baseline + slack).otherwise(baseline * (F.lit(1.0) + flex))
+    slack = F.when(F.abs(baseline) < 1e-6, F.greatest(F.lit(1.0), F.abs(baseline) * flex)).otherwise(
+        F.abs(baseline * flex))
+    return baseline - slack, baseline + slack
+
+
+def bound_check(baseline: Column, current: Column, flex: Column) -> Column:
+    """in / out / missing for the tolerance band around the baseline."""
+    lower, upper = band(baseline, flex)
     return (
         F.when(baseline.isNull() | current.isNull(), "missing")
-        .when((current < F.least(end_a, end_b)) | (current > F.greatest(end_a, end_b)), "out")
+        .when((current < lower) | (current > upper), "out")
         .otherwise("in")
     )
 
@@ -113,11 +118,6 @@ def status_of_rank(rank: Column) -> Column:
     return F.when(rank == 2, "fail").when(rank == 1, "warn").otherwise("ok")
 
 
-def worst_status(*statuses: Column) -> Column:
-    ranks = [status_rank(s) for s in statuses]
-    return status_of_rank(F.greatest(*ranks) if len(ranks) > 1 else ranks[0])
-
-
 def clipped_share(share: Column, eps: float = 1e-8) -> Column:
     return F.least(F.greatest(share, F.lit(eps)), F.lit(1.0))
 

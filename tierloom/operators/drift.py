@@ -56,10 +56,16 @@ def drift_psi(
 ) -> DataFrame:
     """FEATURE, PSI, NOTE, OUT_OF_RANGE_SHARE, STATUS: one row per feature.
 
-    Values outside the baseline range are left out of the shares and reported as OUT_OF_RANGE_SHARE.
+    Values outside the baseline range are left out of the shares and reported as OUT_OF_RANGE_SHARE. A feature that a
+    side lacks gets a note and no PSI.
     """
     spark = baseline.sparkSession
     features = list(features)
+    lacking = {
+        side: [f for f in features if f not in df.columns] for side, df in (("baseline", baseline), ("current", current))}
+    baseline, current = (
+        df.withColumns({f: F.lit(None).cast("double") for f in lacking[side]})
+        for side, df in (("baseline", baseline), ("current", current)))
     edges = stage(drift_edges(baseline, features, accuracy), "drift-edges")
     hist = stage(_bin_counts(baseline, current, features, edges), "drift-hist")
     bins = edges.where(F.size("EDGES") >= 3).select(
@@ -78,8 +84,11 @@ def drift_psi(
         F.first(F.try_divide(F.col("__cur_all") - F.col("__cur"), F.col("__cur_all"))).alias("OUT_OF_RANGE_SHARE"))
     counted = hist.groupBy("FEATURE").agg(F.sum("CUR_COUNT").alias("__n"))
     wanted = spark.createDataFrame([(f,) for f in features], "FEATURE string")
+    name = F.col("FEATURE")
     note = (
-        F.when(F.least(F.coalesce("BASE_N", F.lit(0)), F.coalesce("__n", F.lit(0))) < min_samples,
+        F.when(name.isin(lacking["baseline"]), "missing_in_baseline")
+        .when(name.isin(lacking["current"]), "missing_in_current")
+        .when(F.least(F.coalesce("BASE_N", F.lit(0)), F.coalesce("__n", F.lit(0))) < min_samples,
                "insufficient_samples")
         .when(F.size("EDGES") < 3, "low_variance_baseline"))
     return (
@@ -159,6 +168,12 @@ def _moments(current_stats: DataFrame, baseline: DataFrame) -> DataFrame:
         (F.col("NULL_PCT") - F.coalesce("BASE_NULL_PCT", F.lit(0.0))).alias("NULL_DELTA"))
 
 
+def stats_of_baseline(document: DataFrame) -> DataFrame:
+    """Stored statistics in the form of feature_stats rows, to serve as the current side."""
+    return document.select("FEATURE", F.col("BASE_MEAN").alias("MEAN"), F.coalesce(
+        "BASE_NULL_PCT", F.lit(0.0)).alias("NULL_PCT"))
+
+
 def drift_status(*reports: DataFrame) -> DataFrame:
     """One row: the worst status over all reports, with the number of warned and failed entries."""
     merged = reports[0].select("STATUS")

@@ -47,13 +47,14 @@ def background_moments(labelled: DataFrame, dims: int, fraction: float) -> DataF
 
 def cluster_shap(
     labelled: DataFrame, models: DataFrame, features: Sequence[str], run_id: str, run_timestamp: str,
-    background_fraction: float = 0.05, max_rows: int = 5000,
+    background_fraction: float = 1.0, max_rows: int = 0,
 ) -> DataFrame:
     """SEGMENT, CLUSTER, CLUSTER_SHAP (feature -> mean absolute contribution), RUNID, RUNTIMESTAMP.
 
     Explained is the squared distance to the row's own centroid. It is additive over the features, so the
     Shapley value of feature j is exactly (z_j - c_j)^2 minus its background mean, and no sampling of feature
-    coalitions is needed. `labelled` comes from scaled_labelled, best staged.
+    coalitions is needed. All rows are explained against all rows; background_fraction and max_rows (rows per
+    segment) make both fewer. `labelled` comes from scaled_labelled, best staged.
     """
     dims = len(features)
     context = stage(
@@ -82,7 +83,7 @@ def cluster_shap(
 
 def cluster_shap_label(
     labelled: DataFrame, models: DataFrame, features: Sequence[str], run_id: str, run_timestamp: str,
-    draws: int = 8, background_rows: int = 100, max_rows: int = 5000, seed: int = 42,
+    draws: int = 8, background_rows: int = 100, max_rows: int = 0, seed: int = 42,
 ) -> DataFrame:
     """As cluster_shap, for the hard label "row falls into its cluster", estimated from random permutations.
 

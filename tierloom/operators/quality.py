@@ -8,13 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierloom.functions.columns import (
-    bound_check, finite, severity, status_of_rank, status_rank, step_status, to_number)
+    band, bound_check, finite, severity, status_of_rank, status_rank, step_status, to_number)
 from tierloom.functions.sampling import hash_order
-from tierloom.operators.quantiles import long_features
 from tierloom.operators.topn import top_n_per_group
 
-_WIDE_LIMIT = 50
-
 
 def dq_check(df: DataFrame, required: Sequence[str], min_rows: int = 100) -> DataFrame:
     """One row per required column: presence, row count, null rate, ok / fail."""
@@ -34,23 +31,8 @@ def dq_check(df: DataFrame, required: Sequence[str], min_rows: int = 100) -> Dat
 
 
 def feature_stats(df: DataFrame, features: Sequence[str], accuracy: int = 10_000) -> DataFrame:
-    """FEATURE, TOTAL_ROWS, P1, P99, MEAN, NULL_PCT from a single scan.
-
-    Up to 50 features form one wide aggregate without widening the rows; beyond that the long form keeps the
-    plan small.
-    """
-    if len(features) > _WIDE_LIMIT:
-        long = long_features(df, [], features)
-        stats = long.groupBy("FEATURE").agg(
-            F.count(F.lit(1)).alias("TOTAL_ROWS"),
-            F.percentile_approx("VALUE", [0.01, 0.99], accuracy).alias("q"),
-            F.avg("VALUE").alias("MEAN"),
-            F.count_if(F.col("VALUE").isNull()).alias("nulls"),
-        )
-        return stats.select(
-            "FEATURE", "TOTAL_ROWS", F.col("q")[0].alias("P1"), F.col("q")[1].alias("P99"), "MEAN",
-            F.try_divide("nulls", "TOTAL_ROWS").alias("NULL_PCT"))
-
+    """FEATURE, TOTAL_ROWS, P1, P99, MEAN, NULL_PCT from a single scan: one wide aggregate, whatever the number of
+    features. An empty table gives a row for each feature."""
     aggs = [F.count(F.lit(1)).alias("n")]
     for f in features:
         x = to_number(F.col(f))
@@ -147,8 +129,8 @@ def failing_rows(df: DataFrame, checks: DataFrame, features: Sequence[str], key:
     """
     bounds = checks.where((F.col("STATUS") == "fail") & F.col("PRESENT")).select(
         "FEATURE",
-        (F.col("BASE_P99") * (1 + F.col("FLEX_PCT"))).alias("__upper"),
-        (F.col("BASE_P1") * (1 - F.col("FLEX_PCT"))).alias("__lower"),
+        band(F.col("BASE_P99"), F.col("FLEX_PCT"))[1].alias("__upper"),
+        band(F.col("BASE_P1"), F.col("FLEX_PCT"))[0].alias("__lower"),
     )
     entries = F.array(*[F.struct(
         F.lit(f).alias("FEATURE"), finite(F.col(f).cast("double")).alias("FEATURE_VALUE")) for f in features])

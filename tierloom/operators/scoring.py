@@ -9,7 +9,7 @@ from tierloom.functions.columns import model_key, to_number
 from tierloom.functions.vectors import complete_vector, nearest, scaled, vector_literal
 from tierloom.operators.quantiles import exact_quantiles, long_features
 from tierloom.sources.staging import with_size_check
-from tierloom.sources.tables import normalized_scan, numeric_columns
+from tierloom.sources.tables import normalized_scan
 
 NO_MODEL = -1
 
@@ -17,19 +17,21 @@ NO_MODEL = -1
 def with_model(rows: DataFrame, models: DataFrame, key: Column) -> DataFrame:
     """Rows (upper-case names) with SEGMENT_KEY, their model's centroids, and Z, the scaled feature vector.
 
-    Z takes the model's features by name: 0.0 for a column the table lacks, and it is NULL without a model or if
-    a value is missing. `models` is a model table, normally read from storage, so its size is known: it is
+    Z takes the model's features by name, whatever their type: 0.0 for a column the table lacks, and it is NULL
+    without a model or if a value is missing or no number. Only columns that some model names are read. `models` is a model table, normally read from storage, so its size is known: it is
     broadcast while it is small, and otherwise hot segments are split on the row side of the left join. Feature
     names are resolved to positions on the model side.
     """
     df = normalized_scan(rows)
-    names = numeric_columns(df, exclude=())
-    known = F.array(*[F.lit(n) for n in names])
+    # The distinct feature names of the models: as many as the table has columns, at most.
+    wanted = {r["f"] for r in models.select(F.explode("features").alias("f")).select(F.upper("f").alias("f")).distinct().collect()}
+    names = [n for n in df.columns if n in wanted]
+    known = F.array(*[F.lit(n) for n in names]).cast("array<string>")
     table = models.where(F.col("status") == "CLUSTERED").select(
         F.col("segment_key").alias("SEGMENT_KEY"),
         F.transform("features", lambda f: F.array_position(known, F.upper(f)).cast("int")).alias("__at"),
         "center", "scale", "centroids")
-    values = F.array(*[to_number(F.col(n)) for n in names])
+    values = F.array(*[to_number(F.col(n)) for n in names]).cast("array<double>")
     pick = "transform(__at, i -> case when i = 0 then 0D else __values[i - 1] end)"
     return (
         df.withColumn("SEGMENT_KEY", key).withColumn("__values", values)

@@ -59,15 +59,16 @@ def segment_profiles(
 def prepare_orders(orders: DataFrame, profiles: DataFrame) -> DataFrame:
     """Every order row with the columns of its customer profile; one equi-join at order grain.
 
-    `profiles` is the result of segment_profiles, best staged. The attributes match NULL-safe. A customer
+    `profiles` is the result of segment_profiles, best staged. Ids and attributes match NULL-safe, so an order without
+    a customer gets source, bin and keys from its own attributes. A customer
     with very many orders is split by adaptive skew handling, which can split the left side of a left join.
     """
     derived = [c for c in profiles.columns if c not in {
         "CUSTOMER_ID", *PROFILE_DIMS, "ORDER_ROWS", "GSAR_UNITS", "VALUED_ORDERS", "FIRST_ORDER", "LAST_ORDER"}]
     right = profiles.select(
         *[F.col(c).alias(f"__{c}") for c in ("CUSTOMER_ID", *PROFILE_DIMS)], *derived)
-    match = F.col("CUSTOMER_ID") == F.col("__CUSTOMER_ID")
-    for c in PROFILE_DIMS:
+    match = F.lit(True)
+    for c in ("CUSTOMER_ID", *PROFILE_DIMS):
         match = match & F.col(c).eqNullSafe(F.col(f"__{c}"))
     return (
         orders.withColumn("ORDER_YEAR", F.year("ORDER_DATE"))

@@ -35,23 +35,26 @@ def customer_profiles(orders: DataFrame) -> DataFrame:
 
     The first aggregate combines map-side, so a customer with a huge share of the orders shuffles a few rows
     per task. Its result is hashed by customer once; window and second aggregate both use that layout, on one
-    row per attribute set and year of a customer.
+    row per attribute set and year of a customer. Orders without a customer have no average spend; they are spread
+    by their attributes.
     """
     units = money_units(F.col("GSAR"))
-    yearly = orders.groupBy("CUSTOMER_ID", *PROFILE_DIMS, F.year("ORDER_DATE").alias("ORDER_YEAR")).agg(
+    spread = F.when(F.col("CUSTOMER_ID").isNull(), F.xxhash64(*PROFILE_DIMS)).alias("__spread")
+    yearly = orders.groupBy("CUSTOMER_ID", spread, *PROFILE_DIMS, F.year("ORDER_DATE").alias("ORDER_YEAR")).agg(
         F.count(F.lit(1)).alias("__rows"),
         F.sum(units).alias("__units"),
         F.count(units).alias("__valued"),
         F.min("ORDER_DATE").alias("__first"),
         F.max("ORDER_DATE").alias("__last"),
     )
-    per_customer = Window.partitionBy("CUSTOMER_ID")
+    per_customer = Window.partitionBy("CUSTOMER_ID", "__spread")
     spending_years = F.size(F.collect_set(
         F.when(F.col("__units").isNotNull(), F.col("ORDER_YEAR"))).over(per_customer))
     with_avg = yearly.withColumn(
         "AVG_ANNUAL_SPEND",
-        F.try_divide(units_to_money(F.sum("__units").over(per_customer)), spending_years))
-    profiles = with_avg.groupBy("CUSTOMER_ID", *PROFILE_DIMS).agg(
+        F.when(F.col("CUSTOMER_ID").isNotNull(), F.try_divide(
+            units_to_money(F.sum("__units").over(per_customer)), spending_years)))
+    profiles = with_avg.groupBy("CUSTOMER_ID", "__spread", *PROFILE_DIMS).agg(
         F.sum("__rows").alias("ORDER_ROWS"),
         F.sum("__units").alias("GSAR_UNITS"),
         F.sum("__valued").alias("VALUED_ORDERS"),
@@ -59,7 +62,7 @@ def customer_profiles(orders: DataFrame) -> DataFrame:
         F.max("__last").alias("LAST_ORDER"),
         F.first("AVG_ANNUAL_SPEND").alias("AVG_ANNUAL_SPEND"),
     )
-    return with_spend_source(profiles)
+    return with_spend_source(profiles.drop("__spread"))
 
 
 def with_spend_source(df: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from tierloom.plans import fixtures as fx
 from tierloom.plans.fixtures import orders_input, rounded
 from tierloom.schemas import DEFAULT_FEATURES, SEGMENT_LEVELS, SEGMENT_MODEL
 from tierloom.sources import baseline as baselines
-from tierloom.sources import bundle, tables
+from tierloom.sources import bundle, sinks, tables
 from tierloom.sources.staging import stage, staged_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,14 +140,15 @@ TRAIN_FEATURES = ["RECENCY_DAYS", "ORDER_FREQUENCY", "AVG_ORDER_VALUE", "TAM"]
 TRAIN_INDUSTRIES = ["Building", "AUTOMOBILE", "machinery"]
 
 
-def _training_rows(spark, sf_dir):
+def _training_rows(spark, sf_dir, features=DEFAULT_FEATURES, industries=()):
     return cust.training_rows(
-        fx.customers(orders_input(spark, sf_dir)), TRAIN_FEATURES, TRAIN_INDUSTRIES, segment_col=fx.COARSE)
+        fx.customers(orders_input(spark, sf_dir)), features, industries, segment_col=fx.COARSE)
 
 
 @query
 def train_input(spark, sf_dir):
-    return rounded(cust.train_input(_training_rows(spark, sf_dir), TRAIN_FEATURES))
+    """The industry filter and the rows dropped for a missing feature are what this query shows."""
+    return rounded(cust.train_input(_training_rows(spark, sf_dir, TRAIN_FEATURES, TRAIN_INDUSTRIES), TRAIN_FEATURES))
 
 
 @query
@@ -187,8 +188,8 @@ def baseline_coverage(spark, sf_dir):
 
 @query
 def feature_stats(spark, sf_dir):
-    _, later = fx.drift_halves(orders_input(spark, sf_dir))
-    return rounded(quality.feature_stats(later, fx.DRIFT_FEATURES, STATS_ACCURACY))
+    rows = fx.drift_columns(orders_input(spark, sf_dir))
+    return rounded(quality.feature_stats(rows, fx.DRIFT_FEATURES, STATS_ACCURACY))
 
 
 @query
@@ -218,17 +219,17 @@ def _fixed(spark, sf_dir):
 
 @query
 def robust_scaler(spark, sf_dir):
-    rows = stage(cust.train_input(_training_rows(spark, sf_dir), TRAIN_FEATURES), "train")
-    return rounded(scaling.robust_scaler_rows(rows, TRAIN_FEATURES))
+    rows = stage(cust.train_input(_training_rows(spark, sf_dir)), "train")
+    return rounded(scaling.robust_scaler_rows(rows, DEFAULT_FEATURES))
 
 
 @query
 def scaled_features(spark, sf_dir):
-    rows = stage(cust.train_input(_training_rows(spark, sf_dir), TRAIN_FEATURES), "train")
-    scaler = stage(scaling.robust_scaler(rows, TRAIN_FEATURES), "scaler")
-    z = scaling.scaled_rows(rows, scaler, TRAIN_FEATURES)
+    rows = stage(cust.train_input(_training_rows(spark, sf_dir)), "train")
+    scaler = stage(scaling.robust_scaler(rows, DEFAULT_FEATURES), "scaler")
+    z = scaling.scaled_rows(rows, scaler, DEFAULT_FEATURES)
     return rounded(z.select(
-        "CUSTOMER_ID", "SEGMENT_KEY", *[F.col("Z")[j].alias(f"Z_{f}") for j, f in enumerate(TRAIN_FEATURES)]))
+        "CUSTOMER_ID", "SEGMENT_KEY", *[F.col("Z")[j].alias(f"Z_{f}") for j, f in enumerate(DEFAULT_FEATURES)]))
 
 
 @query
@@ -272,7 +273,9 @@ def latest_run(spark, sf_dir):
 
 @query
 def score_segments(spark, sf_dir):
+    """One feature comes as text, as client tables have it."""
     customers, fixed = _fixed(spark, sf_dir)
+    customers = customers.withColumn("ORDER_FREQUENCY", F.col("ORDER_FREQUENCY").cast("string"))
     return scoring.score_segments(
         customers, fixed.model_of_k(4), fx.RUN_ID, "2001-08-01T00:00:00Z", segment_col=fx.COARSE)
 
@@ -436,6 +439,66 @@ def drift_status(spark, sf_dir):
         drift.drift_psi(before, after, fx.DRIFT_FEATURES), drift.cluster_share_kl(_shares(spark, sf_dir)))
 
 
+# Writers and inferred columns
+
+
+@query
+def run_sink(spark, sf_dir):
+    """Orders of each priority written as a run, one of them twice, and read back."""
+    orders, path = fx.table(spark, sf_dir, "orders"), staged_path(spark, "runs")
+    for name in ("RUN A/1", "other", "RUN A/1"):
+        urgent = F.col("o_orderpriority") == "1-URGENT"
+        rows = orders.where(urgent if name != "other" else ~urgent).select("o_orderkey", "o_totalprice")
+        sinks.write_run(rows, path, name)
+    return rounded(spark.read.parquet(path).groupBy("RUN_ID").agg(
+        F.count(F.lit(1)).alias("ROW_COUNT"), F.sum(F.col("o_totalprice").cast("decimal(38,2)")).cast("double").alias("TOTAL")), 2)
+
+
+@query
+def overwrite_sink(spark, sf_dir):
+    """The row counts that writers observe, for a path that is written again and for one that grows."""
+    orders, path = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), staged_path(spark, "rows")
+    first = sinks.overwrite_path(orders, f"{path}/replaced")
+    second = sinks.overwrite_path(orders.where("o_custkey % 2 = 0"), f"{path}/replaced")
+    added = sinks.append_rows(orders, f"{path}/grown") + sinks.append_rows(orders, f"{path}/grown")
+    seen = spark.createDataFrame([(first, second, added)], "FIRST_ROWS long, SECOND_ROWS long, ADDED_ROWS long")
+    kept = [spark.read.parquet(f"{path}/{name}").agg(F.count(F.lit(1)).alias(column)) for name, column in (
+        ("replaced", "REPLACED"), ("grown", "GROWN"))]
+    return seen.join(F.broadcast(kept[0])).join(F.broadcast(kept[1]))  # one row each
+
+
+@query
+def report_sink(spark, sf_dir):
+    """The data-quality report as JSON lines, read back."""
+    root = staged_path(spark, "reports")
+    path = sinks.write_report(
+        quality.dq_check(orders_input(spark, sf_dir), ["GSAR", "TAM", "TIER"]), root, "data_quality", "run-1")
+    return rounded(spark.read.schema("COLUMN_NAME string, NULL_RATE double, STATUS string, TOTAL_ROWS long").json(path))
+
+
+@query
+def explanation_records(spark, sf_dir):
+    """Explanations of a run as JSON records in a folder per segment, read back."""
+    labelled, models = _explained(spark, sf_dir)
+    shap = explain.cluster_shap(labelled, models, DEFAULT_FEATURES, fx.RUN_ID, fx.RUN_STAMP)
+    root = staged_path(spark, "explanations")
+    sinks.write_explanations(shap, root)
+    kind = "CLUSTER int, CLUSTER_SHAP map<string, double>, RUNID string, SEGMENT string"
+    return spark.read.schema(kind).json(root).select(
+        "SEGMENT", "CLUSTER", F.size("CLUSTER_SHAP").alias("FEATURES"), "RUNID")
+
+
+@query
+def inferred_columns(spark, sf_dir):
+    """Statistics of the columns found numeric: all of them, and those an explanation uses."""
+    customers = fx.customers(orders_input(spark, sf_dir)).withColumn("CLUSTER_LABEL", F.lit(0))
+    found = tables.numeric_columns(customers)
+    used = set(tables.explanation_columns(customers))
+    rows = stage(customers.select(*[F.col(c).cast("double").alias(c) for c in found]), "numeric")
+    return rounded(quality.feature_stats(rows, found, STATS_ACCURACY).select(
+        "FEATURE", F.col("FEATURE").isin(*used).alias("EXPLAINS"), "TOTAL_ROWS", "NULL_PCT"))
+
+
 # Explanation
 
 
@@ -454,7 +517,7 @@ def _explained(spark, sf_dir):
 @query
 def cluster_shap(spark, sf_dir):
     labelled, models = _explained(spark, sf_dir)
-    shap = explain.cluster_shap(labelled, models, DEFAULT_FEATURES, fx.RUN_ID, fx.RUN_STAMP, 0.25, 5000)
+    shap = explain.cluster_shap(labelled, models, DEFAULT_FEATURES, fx.RUN_ID, fx.RUN_STAMP)
     return rounded(shap.select(
         "SEGMENT", "CLUSTER", F.explode("CLUSTER_SHAP").alias("FEATURE", "SHAP"), "RUNID", "RUNTIMESTAMP"), 5)
 
@@ -462,9 +525,11 @@ def cluster_shap(spark, sf_dir):
 @query
 def silhouette_embeddings(spark, sf_dir):
     """Silhouette of the given labels on dense vectors with many entries."""
-    vectors = fx.table(spark, sf_dir, "embeddings").select(
+    embeddings = fx.table(spark, sf_dir, "embeddings")
+    labels = embeddings.agg(F.max("label")).first()[0] + 1
+    vectors = embeddings.select(
         F.lit("ALL").alias("SEGMENT_KEY"), F.col("embedding").cast("array<double>").alias("Z"),
-        F.array(F.lit(10)).alias("KS"), F.array("label").alias("LABELS"))
+        F.array(F.lit(labels)).alias("KS"), F.array("label").alias("LABELS"))
     points = vectors.groupBy("SEGMENT_KEY", "Z", "KS", "LABELS").agg(F.count(F.lit(1)).alias("W"))
     return rounded(measure.silhouette(points))
 

@@ -64,14 +64,19 @@ def customers(orders: DataFrame) -> DataFrame:
     return cust.customer_features(profiles, AS_OF, carry=["TAM"])
 
 
-def drift_halves(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Orders before and from SPLIT_DATE; the later half has raised revenue and more missing TAM."""
-    before = F.col("ORDER_DATE") < F.lit(SPLIT_DATE).cast("timestamp_ntz")
-    df = orders.withColumns({
+def drift_columns(orders: DataFrame) -> DataFrame:
+    """Orders with the numeric columns that drift is watched on."""
+    return orders.withColumns({
         "TIER_NUMERIC": tier_code(F.col("TIER")),
         "FLAT": F.lit(1.0),
         "RARE": F.when(F.col("CUSTOMER_ID") % 997 == 0, F.col("GSAR")),
     })
+
+
+def drift_halves(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Orders before and from SPLIT_DATE; the later half has raised revenue and more missing TAM."""
+    before = F.col("ORDER_DATE") < F.lit(SPLIT_DATE).cast("timestamp_ntz")
+    df = drift_columns(orders)
     later = df.where(~before).withColumns({
         "GSAR": F.col("GSAR") * 2.5,
         "TAM": F.when(F.col("CUSTOMER_ID") % 2 == 1, F.col("TAM")),

@@ -152,7 +152,13 @@ CTES: dict[str, str] = {
                RECENCY_DAYS, ORDER_FREQUENCY, AVG_ORDER_VALUE, TAM, TAM is not null as USABLE
         from customers where upper(MOST_RECENT_INDUSTRY_CODE_DESC) in ('BUILDING', 'AUTOMOBILE', 'MACHINERY')""",
     "train_usable": "select * from train_rows where USABLE",
-    "train_scaler": _scaler("train_usable", TRAIN),
+    "full_rows": f"""
+        select *, {_key('MOST_RECENT_INDUSTRY_CODE_DESC', 'TAM_TIER_SOURCE')} as SEGMENT_KEY,
+               upper(coalesce(MOST_RECENT_INDUSTRY_CODE_DESC, 'NA')) as INDUSTRY, TAM_TIER_SOURCE as SEGMENT,
+               {' and '.join(f'{f} is not null' for f in FEATS)} as USABLE
+        from customers""",
+    "full_usable": "select * from full_rows where USABLE",
+    "full_scaler": _scaler("full_usable", FEATS),
     "order_features": """
         select *, case TIER when 'Tier 0' then 0 when 'Tier 1' then 1 when 'Tier 2' then 2 when 'Tier 3' then 3
                  when 'Other' then 4 end as TIER_NUMERIC, 1.0e0 as FLAT,
@@ -295,13 +301,8 @@ CTES: dict[str, str] = {
                NULL_PCT - coalesce(BASE_NULL_PCT, 0.0) as NULL_DELTA
         from base_stats left join cur_stats using (FEATURE)""",
     "background": "select SEGMENT_KEY, " + ", ".join(
-        f"coalesce(avg(z{i}) filter (where b), avg(z{i})) as m{i}, "
-        f"coalesce(avg(z{i} * z{i}) filter (where b), avg(z{i} * z{i})) as q{i}" for i in range(4)) +
-        " from (select *, substr(md5(cast(CUSTOMER_ID as varchar)), 1, 8) < '40000000' as b from scaled) group by 1",
-    "explained": """
-        select * from (select *, row_number() over (partition by SEGMENT_KEY
-                         order by md5(cast(CUSTOMER_ID as varchar)), CUSTOMER_ID) as r from scaled)
-        where r <= 5000""",
+        f"avg(z{i}) as m{i}, avg(z{i} * z{i}) as q{i}" for i in range(4)) + " from scaled group by 1",
+    "explained": "select * from scaled",
     "global_rows": "select 'ALL' as SEGMENT_KEY, * from customers",
     "global_scaler": _scaler("(select * from global_rows where TAM is not null)", TRAIN),
     "global_filled": "select CUSTOMER_ID, SEGMENT_KEY, " + ", ".join(
@@ -392,10 +393,10 @@ FINAL: dict[str, str] = {
     "train_cap": """
         select CUSTOMER_ID, INDUSTRY, SEGMENT, USABLE
         from (select *, row_number() over (partition by INDUSTRY order by md5(cast(CUSTOMER_ID as varchar)),
-                                           CUSTOMER_ID) as r from train_rows) where r <= 50""",
+                                           CUSTOMER_ID) as r from full_rows) where r <= 50""",
     "baseline_coverage": "select FEATURE, FEATURE <> 'LIFETIME_VALUE' as PRESENT from base_stats",
     "feature_stats": "select FEATURE, TOTAL_ROWS, " + ", ".join(_r(c) for c in ("P1", "P99", "MEAN", "NULL_PCT"))
-        + f" from ({_stats('later', ['GSAR', 'TAM', 'TIER_NUMERIC', 'FLAT', 'RARE'])})",
+        + f" from ({_stats('order_features', ['GSAR', 'TAM', 'TIER_NUMERIC', 'FLAT', 'RARE'])})",
     "feature_check": "select FEATURE, cast(TOTAL_ROWS as double) as TOTAL_ROWS, PRESENT, P1_RESULT, P99_RESULT, MEAN_RESULT, NULL_RESULT, STATUS, "
         + ", ".join(_r(c) for c in (
             "BASE_P1", "BASE_P99", "BASE_MEAN", "BASE_NULL_PCT", "P1", "P99", "MEAN", "NULL_PCT", "FLEX_PCT",
@@ -416,10 +417,10 @@ FINAL: dict[str, str] = {
                     where STATUS = 'fail' and (FEATURE_VALUE > BASE_P99 * (1 + FLEX_PCT)
                                                or FEATURE_VALUE < BASE_P1 * (1 - FLEX_PCT))))
         where r <= 10""",
-    "robust_scaler": f"select SEGMENT_KEY, FEATURE, {_r('CENTER')}, {_r('SCALE')} from train_scaler",
+    "robust_scaler": f"select SEGMENT_KEY, FEATURE, {_r('CENTER')}, {_r('SCALE')} from full_scaler",
     "scaled_features": "select CUSTOMER_ID, SEGMENT_KEY, " + ", ".join(
-        _r(f"z{i}", f"Z_{f}") for i, f in enumerate(TRAIN))
-        + f" from ({_scaled('train_usable', 'train_scaler', TRAIN)})",
+        _r(f"z{i}", f"Z_{f}") for i, f in enumerate(FEATS))
+        + f" from ({_scaled('full_usable', 'full_scaler', FEATS)})",
     "k_candidates": """
         select SEGMENT_KEY, CUSTOMER_COUNT as USABLE_COUNT,
                cast(unnest(range(2, least(10, greatest(2, CUSTOMER_COUNT // 2)) + 1)) as integer) as K from sizes""",
@@ -491,6 +492,26 @@ FINAL: dict[str, str] = {
         select SEGMENT_KEY as segment_key,
                case when CUSTOMER_COUNT >= 20 then 'CLUSTERED' else 'SKIPPED_TOO_SMALL' end as status,
                CUSTOMER_COUNT as customer_count from sizes where lower(SEGMENT_KEY) like 'auto%'""",
+    "run_sink": """
+        select case when o_orderpriority = '1-URGENT' then 'RUN_A_1' else 'other' end as RUN_ID, count(*) as ROW_COUNT,
+               cast(sum(cast(o_totalprice as decimal(38, 2))) as double) as TOTAL
+        from orders group by 1""",
+    "overwrite_sink": """
+        select count(*) as FIRST_ROWS, count(*) filter (where o_custkey % 2 = 0) as SECOND_ROWS,
+               cast(2 * count(*) as bigint) as ADDED_ROWS, count(*) filter (where o_custkey % 2 = 0) as REPLACED,
+               cast(2 * count(*) as bigint) as GROWN
+        from orders""",
+    "report_sink": " union all ".join(f"""
+        select '{c}' as COLUMN_NAME, {_r(f"count(*) filter (where {c} is null) / cast(count(*) as double)", "NULL_RATE")},
+               case when count(*) >= 100 then 'ok' else 'fail' end as STATUS, count(*) as TOTAL_ROWS
+        from orders_input""" for c in ("GSAR", "TAM", "TIER")),
+    "explanation_records": """
+        select SEGMENT_KEY as SEGMENT, LABEL as CLUSTER, 4 as FEATURES, 'run_fixed' as RUNID
+        from labels3 group by 1, 2""",
+    "inferred_columns": " union all ".join(f"""
+        select '{c}' as FEATURE, true as EXPLAINS, count(*) as TOTAL_ROWS,
+               {_r(f"count(*) filter (where {c} is null) / cast(count(*) as double)", "NULL_PCT")}
+        from customers""" for c in ("CUSTOMER_ID", "TAM", *FEATS)),
     "cluster_shap": " union all ".join(f"""
         select e.SEGMENT_KEY as SEGMENT, l.LABEL as CLUSTER, '{f}' as FEATURE,
                {_r(f'avg(abs((z{i} - c{i}) * (z{i} - c{i}) - (q{i} - 2 * c{i} * m{i} + c{i} * c{i})))', 'SHAP', 5)},

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import wraps
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,17 +122,29 @@ def watch_drift(
     baseline: DataFrame, current: DataFrame, reports: str, run_id: str, features: Sequence[str] = (),
     **thresholds: float,
 ) -> str:
-    """PSI per feature and KL of the cluster shares; writes the reports and returns the overall status."""
-    features = list(features) or tables.numeric_columns(current)
-    psi, kl, status = drift.drift_report(baseline, current, features, **thresholds)
-    psi = stage(psi, "psi")
-    sinks.write_report(psi, reports, "drift_features", run_id)
-    if kl is not None:
-        kl = stage(kl, "kl")
+    """PSI per feature and KL of the cluster shares; writes the reports and returns the overall status.
+
+    Labels that a side lacks are a note. A comparison that cannot be computed ends in a report with status fail.
+    """
+    spark = baseline.sparkSession
+    try:
+        features = list(features) or tables.numeric_columns(current)
+        psi, kl, status = drift.drift_report(baseline, current, features, **thresholds)
+        psi = stage(psi, "psi")
+        sinks.write_report(psi, reports, "drift_features", run_id)
+        if kl is not None:
+            kl = stage(kl, "kl")
+            status = drift.drift_status(psi, kl)
+        else:
+            kl = spark.createDataFrame([("CLUSTER_LABEL not available in both tables", "ok")], "NOTE string, STATUS string")
+            status = drift.drift_status(psi)
         sinks.write_report(kl, reports, "drift_clusters", run_id)
-    status = drift.drift_status(psi, kl) if kl is not None else drift.drift_status(psi)
-    sinks.write_report(status, reports, "drift_status", run_id)
-    return status.first()["STATUS"]
+        sinks.write_report(status, reports, "drift_status", run_id)
+        return status.first()["STATUS"]
+    except PySparkException as error:
+        sinks.write_report(spark.createDataFrame(
+            [("fail", str(error)[:2000])], "STATUS string, ERROR string"), reports, "drift_status", run_id)
+        return "fail"
 
 
 @_job
@@ -143,10 +156,21 @@ def watch_drift_by_stats(current: DataFrame, baseline: DataFrame, reports: str,
     return drift.drift_status(report).first()["STATUS"]
 
 
+@_job
+def watch_drift_stats(
+    baseline: DataFrame, reports: str, run_id: str, current: DataFrame | None = None, **thresholds: float,
+) -> str:
+    """Statistics against statistics: two stored documents, or the baseline against itself as a trial run."""
+    stats = drift.stats_of_baseline(baseline if current is None else current)
+    report = stage(drift.drift_stats_vs_stats(stats, baseline, **thresholds), "drift-documents")
+    sinks.write_report(report, reports, "drift_stats", run_id)
+    return drift.drift_status(report).first()["STATUS"]
+
+
 @_job
 def explain_clusters(
     spark: SparkSession, customers: DataFrame, models_path: str, out: str, run_id: str, run_timestamp: str,
-    segment_prefix: str = "", background_fraction: float = 0.05, max_rows: int = 5000, segment_col: str = "SEGMENT",
+    segment_prefix: str = "", background_fraction: float = 1.0, max_rows: int = 0, segment_col: str = "SEGMENT",
 ) -> int:
     """Explains the clusters of the selected segments; writes the table and per-segment JSON records.
 

@@ -21,9 +21,9 @@ def read_bundle(spark: SparkSession, root: str) -> DataFrame:
 
 
 def latest_run(models: DataFrame) -> DataFrame:
-    """Models of the run with the greatest run_id. The lookup side is a single row."""
-    newest = models.agg(F.max("run_id").alias("run_id"))
-    return models.join(F.broadcast(newest), "run_id", "left_semi").select(*models.columns)
+    """Models of the run with the greatest run_id, by a filter that prunes the partitions of other runs."""
+    newest = models.agg(F.max("run_id").alias("run_id")).first()["run_id"]
+    return models.where(F.col("run_id") == newest)
 
 
 def resolve_run(models: DataFrame, run_id: str = "latest") -> DataFrame:
@@ -48,8 +48,10 @@ def open_run(spark: SparkSession, base: str, run_id: str = "latest") -> DataFram
 
 
 def artifact_name(industry, segment):
+    """A name that tells the segment, with a digest of the key, as different keys can read alike in it."""
     return F.concat(
-        F.lit("segment_"), F.upper(industry), F.lit("_"), F.replace(segment, F.lit(" "), F.lit("_")), F.lit(".json"))
+        F.lit("segment_"), F.upper(industry), F.lit("_"), F.replace(segment, F.lit(" "), F.lit("_")), F.lit("_"),
+        F.substring(F.md5(model_key(industry, segment).cast("binary")), 1, 16), F.lit(".json"))
 
 
 def export_json(

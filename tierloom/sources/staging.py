@@ -7,49 +7,52 @@ Spark knows at planning time. with_size_check uses that size to decide between a
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest stored size at which a table is broadcast on purpose.
-BROADCAST_LIMIT_BYTES = 64 << 20
+# Largest stored size at which a table is broadcast on purpose; in memory it can be several times as large.
+BROADCAST_LIMIT_BYTES = 10 << 20
 
 
 def staging_root(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; without it one below the warehouse, which executors share too."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tierloom-"))
-    return spark.sparkContext.getCheckpointDir()
+    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/staging"
 
 
-_created: list[str] = []
+# Folders staged in the innermost temporary_tables block; threads have blocks of their own.
+_created: ContextVar[list[str] | None] = ContextVar("staged_folders", default=None)
 
 
 def staged_path(spark: SparkSession, name: str) -> str:
     path = f"{staging_root(spark)}/tierloom/{name}-{uuid.uuid4().hex}"
-    _created.append(path)
+    scope = _created.get()
+    if scope is not None:
+        scope.append(path)
     return path
 
 
 @contextmanager
 def temporary_tables(spark: SparkSession) -> Iterator[None]:
-    """Removes the tables staged inside the block when it ends; nothing read from them may be used after it."""
-    mark = len(_created)
+    """Removes the tables staged inside the block when it ends; nothing read from them may be used after it.
+
+    Tables of other threads and of enclosing blocks stay.
+    """
+    own: list[str] = []
+    outer = _created.set(own)
     try:
         yield
     finally:
+        _created.reset(outer)
         hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-        for path in _created[mark:]:
+        for path in own:
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(hadoop).delete(target, True)
-        del _created[mark:]
 
 
 def stage(df: DataFrame, name: str, row_group_bytes: int | None = None) -> DataFrame:
