@@ -205,3 +205,13 @@ def test_layout_keeps_points_and_splits_large_segments(spark):
     assert sorted(r["POINT_ID"] for r in laid.collect()) == list(range(3000))
     parts = laid.select("SEGMENT_KEY", F.spark_partition_id().alias("p")).where("SEGMENT_KEY = 'hot'").distinct()
     assert laid.rdd.getNumPartitions() == 1 or parts.count() > 1
+
+
+def test_unrolled_distances_agree_with_the_general_form(spark):
+    rng = np.random.default_rng(3)
+    rows = [(rng.integers(0, 3, 2).astype(float).tolist(), rng.integers(0, 3, (k, 2)).astype(float).tolist())
+            for k in (1, 2, 3, 4) for _ in range(20)] + [(None, [[0.0, 0.0]])]
+    df = spark.createDataFrame(rows, "z array<double>, c array<array<double>>")
+    got = df.selectExpr(f"{nearest('z', 'c', 2, 4)} as a", f"{nearest('z', 'c', 2)} as b")
+    assert got.where("not (a.d2 <=> b.d2 and a.label <=> b.label)").count() == 0
+    assert "transform" not in got.select("a").distinct()._jdf.queryExecution().executedPlan().toString()

@@ -18,8 +18,17 @@ def squared_distance(z: str, c: str, dims: int | None = None) -> str:
     return f"aggregate(zip_with({z}, {c}, (p, q) -> (p - q) * (p - q)), 0D, (total, term) -> total + term)"
 
 
-def nearest(z: str, centroids: str, dims: int | None = None) -> str:
-    """struct(d2, label) of the closest centroid; the first one wins a tie. NULL z gives NULL."""
+def nearest(z: str, centroids: str, dims: int | None = None, most: int | None = None) -> str:
+    """struct(d2, label) of the closest centroid; the first one wins a tie. NULL z gives NULL.
+
+    With `most`, a bound on the number of centroids, the comparison is unrolled: code generation covers it, which
+    it does not for functions on arrays.
+    """
+    if dims is not None and dims <= _UNROLL and most is not None and 2 <= most <= _UNROLL:
+        each = ", ".join(
+            f"if(size({centroids}) > {i}, struct({squared_distance(z, f'get({centroids}, {i})', dims)} as d2, "
+            f"{i} as label), null)" for i in range(most))
+        return f"case when {z} is not null then least({each}) end"
     return (
         f"case when {z} is not null then array_min(transform({centroids}, (ctr, pos) -> "
         f"struct({squared_distance(z, 'ctr', dims)} as d2, cast(pos as int) as label))) end")

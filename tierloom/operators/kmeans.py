@@ -88,11 +88,11 @@ def seed_models(
     )
 
 
-def assign(points: DataFrame, models: DataFrame, dims: int | None) -> DataFrame:
-    """Every point with its LABEL and D2 under every model of its segment."""
+def assign(points: DataFrame, models: DataFrame, dims: int | None, most: int | None = None) -> DataFrame:
+    """Every point with its LABEL and D2 under every model of its segment; no model has more than `most` centres."""
     return (
         points.join(with_size_check(models.select(*MODEL, "CENTERS")), "SEGMENT_KEY")
-        .withColumn("NEAR", F.expr(nearest("Z", "CENTERS", dims)))
+        .withColumn("NEAR", F.expr(nearest("Z", "CENTERS", dims, most)))
         .select(*MODEL, "Z", "W", F.col("NEAR.label").alias("LABEL"), F.col("NEAR.d2").alias("D2"))
     )
 
@@ -107,14 +107,16 @@ def cluster_sums(assigned: DataFrame, dims: int) -> DataFrame:
     return sums.select(*MODEL, "LABEL", "N", F.expr(f"array({mean}) as MEAN"), "INERTIA")
 
 
-def lloyd_step(points: DataFrame, models: DataFrame, dims: int, mini_batch: bool = False) -> DataFrame:
+def lloyd_step(
+    points: DataFrame, models: DataFrame, dims: int, mini_batch: bool = False, most: int | None = None,
+) -> DataFrame:
     """One iteration for all models: CENTERS and SEEN replaced, SHIFT and INERTIA (of the old centres) added.
 
     An empty cluster keeps its centre. In mini-batch mode a centre moves by the share its batch has in all rows
     it has seen so far (SEEN), and a batch may hold no row of a segment at all; otherwise every model has rows,
     and the inner join lets Spark broadcast the small model table instead of shuffling it.
     """
-    per_label = cluster_sums(assign(points, models, dims), dims)
+    per_label = cluster_sums(assign(points, models, dims, most), dims)
     per_model = per_label.groupBy(*MODEL).agg(
         F.map_from_entries(F.collect_list(F.struct("LABEL", F.struct("N", "MEAN")))).alias("__m"),
         F.sum("INERTIA").alias("INERTIA"))
@@ -173,7 +175,7 @@ def fit(
                 uniform(seed, F.lit("batch"), F.lit(iteration), F.col("POINT_ID")) < chance).drop("N_POINTS")
         done = F.lit(iteration == max_iter) if batch_size else F.col("SHIFT") <= F.col("TOL")
         stepped = (
-            lloyd_step(rows, active, dims, mini_batch=bool(batch_size))
+            lloyd_step(rows, active, dims, bool(batch_size), clusters_max)
             .withColumns({"DONE": done, "ITERATIONS": F.lit(iteration)})
             .select(*models.columns)
         )
@@ -182,12 +184,12 @@ def fit(
             stepped.unionByName(settled).observe(moving, F.count_if(~F.col("DONE")).alias("n")), "models")
         if moving.get["n"] == 0:
             break
-    return best_restart(points, models, dims)
+    return best_restart(points, models, dims, clusters_max)
 
 
-def best_restart(points: DataFrame, models: DataFrame, dims: int) -> DataFrame:
+def best_restart(points: DataFrame, models: DataFrame, dims: int, most: int | None = None) -> DataFrame:
     """Lowest inertia per (segment, k); the smaller restart number wins a tie."""
-    inertia = assign(points, models, dims).groupBy(*MODEL).agg(F.sum(F.col("W") * F.col("D2")).alias("INERTIA"))
+    inertia = assign(points, models, dims, most).groupBy(*MODEL).agg(F.sum(F.col("W") * F.col("D2")).alias("INERTIA"))
     order = Window.partitionBy("SEGMENT_KEY", "K").orderBy(F.round("INERTIA", 9), "RESTART")
     return (
         models.join(inertia, MODEL)

@@ -317,7 +317,7 @@ def best_k(spark, sf_dir):
 def lloyd_step(spark, sf_dir):
     fixed = _fixed(spark, sf_dir)[1]
     sums = kmeans.cluster_sums(
-        kmeans.assign(fixed.points, fixed.models, len(DEFAULT_FEATURES)), len(DEFAULT_FEATURES))
+        kmeans.assign(fixed.points, fixed.models, len(DEFAULT_FEATURES), max(fx.FIXED_KS)), len(DEFAULT_FEATURES))
     return rounded(sums.select(
         "SEGMENT_KEY", "K", "LABEL", "N", "INERTIA",
         *[F.col("MEAN")[j].alias(f"C_{f}") for j, f in enumerate(DEFAULT_FEATURES)]), 5)
