@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tierloom.sources.staging import stage
 
-SLOT_ROWS = 50_000  # rows that one task numbers
+SLOT_ROWS = 10_000  # rows that one task numbers
 GAIN_CLASSES = 24
 
 
