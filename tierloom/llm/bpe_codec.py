@@ -23,7 +23,7 @@ _NONE = np.iinfo(np.int32).max
 class BatchedBpe:
     """Encodes many words at a time; keeps the ids of pieces seen, up to `bound` of them."""
 
-    def __init__(self, path: str, bound: int = 400_000):
+    def __init__(self, path: str, bound: int = 120_000):
         self.rules = open_word_bpe(path)
         pairs = np.array(self.rules.pairs, dtype=np.int64).reshape(-1, 2)
         self.base = 1 + max([0, *self.rules.names])

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Text bytes a task turns into Python objects at a time. A longer text is a chunk of its own.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 # Characters that str.split() takes for white space although they do not have the property White_Space.
 _ONLY_PYTHON_SPACES = "\x1c\x1d\x1e\x1f"
@@ -25,7 +25,7 @@ _ONLY_PYTHON_SPACES = "\x1c\x1d\x1e\x1f"
 class BoundedCache(dict):
     """value = make(key), kept for repeated keys; emptied when it holds `bound` entries. Long keys are not kept."""
 
-    def __init__(self, make: Callable, bound: int = 400_000, longest: int = 64):
+    def __init__(self, make: Callable, bound: int = 120_000, longest: int = 64):
         super().__init__()
         self.make, self.bound, self.longest = make, bound, longest
 

@@ -67,29 +67,32 @@ def _code_of(letter: str) -> int:
     return 27 + cp - _FIRST if _FIRST <= cp <= _LAST else ALPHABET - 1
 
 
-_CODES = _code_table()
+_CODES = _code_table().astype(np.int32)
 
 
-def _trigram_counts(texts: list[str], into: np.ndarray) -> None:
+def _trigram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes of three letters, ascending, and how often each stands in the texts."""
     points = np.frombuffer("".join([f"\n{t}\n" for t in texts]).encode("utf-32-le"), dtype=np.uint32)
     text = np.repeat(np.arange(len(texts)), np.fromiter(map(len, texts), np.int64, len(texts)) + 2)
     codes = _CODES[np.minimum(points, 0x250)]
     # One boundary between words: further non-letters of a text are skipped.
     keep = (codes != 0) | (np.r_[1, codes[:-1]] != 0) | (text != np.r_[-1, text[:-1]])
     codes, text = codes[keep], text[keep]
-    tri = (codes[:-2] * ALPHABET + codes[1:-1]) * ALPHABET + codes[2:]
-    into += np.bincount(tri[text[:-2] == text[2:]], minlength=len(into))
+    tri = ((codes[:-2] * ALPHABET + codes[1:-1]) * ALPHABET + codes[2:])[text[:-2] == text[2:]].astype(np.int32)
+    return np.unique(tri, return_counts=True)
 
 
 def character_counts(docs: DataFrame) -> DataFrame:
     """code (of three letters), n: over all texts. At most ALPHABET ** 3 rows, whatever the size of docs."""
 
     def run(batches):
-        counts = np.zeros(ALPHABET ** 3, dtype=np.int64)
+        seen: Counter = Counter()
         for chunk in text_chunks(batches):
-            _trigram_counts(texts_of(chunk), counts)
-        found = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], names=["code", "n"])
+            codes, times = _trigram_counts(texts_of(chunk))
+            for code, n in zip(codes.tolist(), times.tolist(), strict=True):
+                seen[code] += n
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], names=["code", "n"])
 
     return docs.select(column_of(docs, "text")).mapInArrow(run, "code long, n long").groupBy("code").agg(
         F.sum("n").alias("n"))
