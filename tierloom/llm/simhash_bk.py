@@ -305,8 +305,11 @@ def _slot_subsets(size: int) -> list[tuple[int, ...]]:
     return list(itertools.combinations(range(SLOTS), size))
 
 
-def similar_links(nodes: DataFrame, least: float, radius: int = SIMILAR_RADIUS, shard_size: int = 1024) -> DataFrame:
-    """u, v: links that connect the nodes of equal classes. nodes: node, fp, slots, shingles (one row per node; staged).
+def similar_links(
+    nodes: DataFrame, sets: DataFrame, least: float, radius: int = SIMILAR_RADIUS, shard_size: int = 1024,
+) -> DataFrame:
+    """u, v: links that connect the nodes of equal classes. nodes: node, uid, fp, slots (one row per node; staged);
+    sets: uid, shingles. The sets travel once, for the nodes that share a shard.
 
     Nodes with an equal slot share a shard (at a similarity of 0.8, 99.8 % of the pairs have one). Shards that are still
     large are sharded again by a further equal slot.
@@ -345,7 +348,7 @@ def similar_links(nodes: DataFrame, least: float, radius: int = SIMILAR_RADIUS,
             u, v = zip(*out, strict=True) if out else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
-    placed = ready.join(nodes.select("node", "fp", "shingles"), "node").select("key", "node", "fp", "shingles")
+    placed = ready.join(nodes.select("node", "uid", "fp"), "node").join(sets, "uid").select("key", "node", "fp", "shingles")
     return placed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(search, "u long, v long")
 
 
@@ -365,9 +368,9 @@ def keep_one(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFrame:
         ("uid", "doc_id")), "sketches")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")
     best = sketches.groupBy("node").agg(F.min(rank).alias("best"))
-    nodes = stage(sketches.join(best.select("node", F.col("best.uid").alias("uid")), ["node", "uid"], "left_semi").select(
-        "node", "fp", "slots", "shingles"), "nodes")
-    classes = connected_components(similar_links(nodes, least))
+    nodes = stage(sketches.select("node", "uid", "fp", "slots").join(
+        best.select("node", F.col("best.uid").alias("uid")), ["node", "uid"], "left_semi"), "nodes")
+    classes = connected_components(similar_links(nodes, sketches.select("uid", "shingles"), least))
     rooted = best.join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = rooted.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.uid").alias("uid"))
     return named_again(rows.join(kept, "uid", "left_semi"), docs)
