@@ -79,6 +79,33 @@ def test_edited_passages_are_found_and_clean_texts_left(spark):
     assert all(x.edits == want[k] for k, x in got.items())
 
 
+@pytest.mark.parametrize("size", [120, 250, 500, 1000])
+def test_edited_passages_of_long_items_are_found(spark, size):
+    """All the edits allowed: of all kinds in half of the documents, insertions only in the others."""
+    r = random.Random(size)
+    items = [[f"w{r.randrange(5000)}" for _ in range(size)] for _ in range(20)]
+    docs = []
+    for i, item in enumerate(items):
+        inserted = list(item)
+        for _ in range(int(0.2 * size)):
+            inserted.insert(r.randrange(1, len(inserted)), f"new{r.randrange(999)}")
+        for k, passage in enumerate((edited(item, int(0.2 * size), r), inserted)):
+            around = [[f"w{r.randrange(5000)}" for _ in range(40)] for _ in range(2)]
+            docs.append((2 * i + k, " ".join(around[0] + passage + around[1])))
+    found = dc.best_places(dc.find(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string"))).collect()
+    assert all(x.item_id == x.doc_id // 2 and x.edits <= int(0.2 * size) for x in found)
+    assert len(found) >= 0.97 * len(docs)
+
+
+def test_fitted_repetitions_reach_the_target():
+    s = dc.Settings()
+    for size in s.sizes(s.piece_words):
+        repetitions, _, recall = dc.fitted(size, s.edits(size), s)
+        assert recall >= s.target_recall and repetitions <= s.most_repetitions
+
+
 def test_exact_passages_of_the_tables(spark, sf):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     items = {r.item_id: r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}

@@ -3,14 +3,19 @@
 Words are white-space-free pieces in lower case without outer punctuation. A document holds an item if some stretch of
 its words is at most floor(max_edit_share * item words) word edits away from the item (0.8 similarity by default).
 
-1. A window is only embedded if it holds enough different word pairs of the benchmark. An edit destroys at most two
-   pairs, so a window near an item always does: this drops no match. The pairs are a bitmap of fixed size, whatever the
+1. Items are cut into disjoint pieces of at most piece_words words, since walks over long windows fall out of step. Some
+   piece of an edited item has at most its share of the edits, so it is enough to find every piece with that many.
+2. A window is only embedded if it holds enough different word pairs of the benchmark. An edit destroys at most two
+   pairs, so a window near a piece always does: this drops no match. The pairs are a bitmap of fixed size, whatever the
    benchmark.
-2. The CGK walk reads a window with one random bit per (repetition, step, word): bit 1 moves on, bit 0 repeats the word.
+3. The CGK walk reads a window with one random bit per (repetition, step, word): bit 1 moves on, bit 0 repeats the word.
    Sequences few edits apart then agree in most places of their walks. Each repetition samples a few places of the walk
-   as its key; windows whose key is a key of some item (again a fixed-size bitmap) go on, with their keys.
-3. Equal keys join windows and items. Neighbouring windows were merged to one region before, so a passage is joined once.
-4. Every pair of region and item is checked exactly, by Myers' bit-vector search for the item anywhere in the region.
+   as its key; windows whose key is a key of some piece (again a fixed-size bitmap) go on, with their keys. Repetitions
+   and samples are fitted for each window size: the fewest repetitions that reach `target_recall` on random pieces of
+   that size with as many edits as they may have.
+4. Equal keys join windows and items. A window reaches as far as the item around its piece may; overlapping ones were
+   merged to one region before, so a passage is joined once.
+5. Every pair of region and item is checked exactly, by Myers' bit-vector search for the item anywhere in the region.
 
 Cases: a null or empty text holds no item; items of fewer than min_item_words words, and null ones, take no part;
 texts are read whole, whatever their length; repeated rows each get their rows; repeated items each count; a null
@@ -50,9 +55,10 @@ _NO_WORD = np.uint64(0)
 class Settings:
     max_edit_share: float = 0.2
     min_item_words: int = 5
-    size_step: float = 1.15  # window sizes form a geometric series; an item uses the largest that fits
-    repetitions: int = 24
-    samples: int = 3
+    size_step: float = 1.15  # window sizes form a geometric series; a piece uses the largest that fits
+    piece_words: int = 30
+    target_recall: float = 0.99  # of pieces with the most edits they may have
+    most_repetitions: int = 64
 
     def edits(self, words: int) -> int:
         return math.floor(self.max_edit_share * words + 1e-9)
@@ -66,10 +72,11 @@ class Settings:
     def size_of(self, words: int, sizes: list[int]) -> int:
         return max(s for s in sizes if s <= words)
 
-    def most_edits(self, size: int, sizes: list[int]) -> int:
-        """Edits that an item of this window size may have: as the longest item below the next size."""
-        later = [s for s in sizes if s > size]
-        return self.edits((later[0] - 1) if later else max(size, int(size * self.size_step) + 1))
+    def pieces(self, words: int) -> list[tuple[int, int]]:
+        """(first, words) of the disjoint pieces of an item, which differ by at most one word."""
+        n = math.ceil(words / self.piece_words)
+        cut = [words * k // n for k in range(n + 1)]
+        return [(a, z - a) for a, z in zip(cut, cut[1:], strict=False)]
 
 
 def word_hash(piece: str) -> int:
@@ -118,24 +125,28 @@ class Bitmap:
 
 
 class Walk:
-    """CGK embeddings of equally long windows, at the sampled places of every repetition."""
+    """CGK embeddings of equally long windows, at the sampled places of every repetition.
 
-    def __init__(self, size: int, settings: Settings):
-        self.size, self.settings = size, settings
-        r = np.random.default_rng(size * 1_000_003 + 17)
+    A repetition is the same whatever the number of repetitions.
+    """
+
+    def __init__(self, size: int, repetitions: int, samples: int):
+        self.size, self.repetitions = size, repetitions
         steps = 2 * size
-        self.sampled = np.zeros((steps, settings.repetitions), dtype=bool)
-        for k in range(settings.repetitions):
-            self.sampled[r.choice(steps, min(settings.samples, steps), replace=False), k] = True
-        self.seeds = r.integers(1, 1 << 63, (steps, settings.repetitions), dtype=np.uint64)
+        self.sampled = np.zeros((steps, repetitions), dtype=bool)
+        self.seeds = np.zeros((steps, repetitions), dtype=np.uint64)
+        for k in range(repetitions):
+            r = np.random.default_rng([size, samples, k])
+            self.sampled[r.choice(steps, min(samples, steps), replace=False), k] = True
+            self.seeds[:, k] = r.integers(1, 1 << 63, steps, dtype=np.uint64)
 
     def keys(self, windows: np.ndarray) -> np.ndarray:
         """windows: rows of `size` words. One key per row and repetition; all repetitions walk side by side."""
-        n, repetitions = len(windows), self.settings.repetitions
+        n, repetitions = len(windows), self.repetitions
         rows = np.arange(n)[:, None]
         padded = np.concatenate([windows, np.zeros((n, 1), dtype=np.uint64)], axis=1)
         at = np.zeros((n, repetitions), dtype=np.int64)
-        out = np.tile(np.arange(repetitions, dtype=np.uint64) + np.uint64(64 * self.size), (n, 1))
+        out = np.tile(np.arange(repetitions, dtype=np.uint64) + np.uint64(self.size << 8), (n, 1))
         for step in range(int(np.flatnonzero(self.sampled.any(axis=1))[-1]) + 1):
             word = padded[rows, at]
             taken = self.sampled[step]
@@ -145,6 +156,59 @@ class Walk:
         return out
 
 
+def edited_pieces(size: int, edits: int, pieces: int) -> tuple[np.ndarray, np.ndarray]:
+    """pieces x size random words, and pieces x start x size: the windows around them after `edits` random edits, of
+    all kinds in the even pieces and insertions only in the odd ones."""
+    r = np.random.default_rng([size, edits, pieces])
+    plain = r.integers(1, 1 << 63, (pieces, size), dtype=np.uint64)
+    windows = np.empty((pieces, 2 * edits + 1, size), dtype=np.uint64)
+    for k, piece in enumerate(plain.tolist()):
+        for kind in r.integers(0, 3, edits).tolist() if k % 2 == 0 else [0] * edits:
+            at, word = int(r.integers(len(piece))), int(r.integers(1, 1 << 63))
+            piece[at:at + (kind > 0)] = [word] if kind < 2 else []
+        around = r.integers(1, 1 << 63, 2 * (size + 2 * edits), dtype=np.uint64)
+        text = np.concatenate([around[:edits], np.array(piece, dtype=np.uint64), around[edits:]])
+        windows[k] = np.lib.stride_tricks.sliding_window_view(text, size)[:2 * edits + 1]
+    return plain, windows
+
+
+_FITTED: dict[tuple[int, int, float, int], tuple[int, int, float]] = {}
+
+
+def fitted(size: int, edits: int, settings: Settings, pieces: int = 300) -> tuple[int, int, float]:
+    """(repetitions, samples, measured recall): the fewest repetitions that find pieces of `size` words with `edits`
+    edits at the target recall; with as many samples as that allows, since they keep other windows out. If none
+    reaches the target, the ones that come nearest."""
+    name = (size, edits, settings.target_recall, settings.most_repetitions)
+    if name not in _FITTED:
+        plain, windows = edited_pieces(size, edits, pieces)
+        best = (0, 0, -1.0)
+        for samples in (3, 2, 1):
+            walk = Walk(size, settings.most_repetitions, samples)
+            own = walk.keys(plain)
+            around = walk.keys(windows.reshape(-1, size)).reshape(pieces, -1, settings.most_repetitions)
+            found = np.logical_or.accumulate((around == own[:, None]).any(axis=1), axis=1).mean(axis=0)
+            enough = int(np.argmax(found >= min(settings.target_recall, found[-1])))
+            if found[-1] > best[2]:
+                best = (enough + 1, samples, float(found[enough]))
+            if found[-1] >= settings.target_recall:
+                break
+        _FITTED[name] = best
+    return _FITTED[name]
+
+
+@dataclass(frozen=True)
+class Window:
+    """What a window size needs to know of the pieces that use it."""
+
+    pairs: int  # fewest different pairs of a piece
+    edits: int  # most edits of a piece that has at most its share
+    before: int  # how far the item around a piece may reach, from the first word of the window
+    after: int
+    repetitions: int
+    samples: int
+
+
 def search(item: list[int], region: list[int], most: int) -> tuple[int, int] | None:
     """Fewest word edits between the item and any stretch of the region, and the last word of the first such stretch.
 
@@ -186,9 +250,7 @@ def stretch(item: list[int], region: list[int], most: int) -> tuple[int, int, in
 class Index:
     """What every task needs of the benchmark: sizes and two bitmaps, both bounded."""
 
-    settings: Settings
-    sizes: list[int]
-    used: dict[int, int]  # window size: fewest different pairs that an item has in its first window
+    used: dict[int, Window]  # by window size
     pairs: Bitmap
     keys: Bitmap
 
@@ -200,7 +262,7 @@ class Index:
         """
         if not self.used or not texts:
             return []
-        gap = max(n + self.settings.most_edits(n, self.sizes) for n in self.used) + 1
+        gap = max(n + w.edits for n, w in self.used.items()) + 1
         length = np.array([len(w) for w in texts], dtype=np.int64)
         offset = np.cumsum(np.r_[0, length[:-1] + gap])
         words = np.zeros(int(offset[-1] + length[-1]) + gap, dtype=np.uint64)
@@ -213,14 +275,13 @@ class Index:
         pairs[(words == _NO_WORD) | np.r_[True, words[:-1] == _NO_WORD] | ~self.pairs.has(pairs)] = 0
         upto = np.cumsum(pairs != 0)
         marked = []
-        for size, different in self.used.items():
-            edits = self.settings.most_edits(size, self.sizes)
+        for size, used in self.used.items():
+            edits, least = used.edits, used.pairs - 2 * used.edits
             starts = np.flatnonzero(of_text[:len(words) - size - edits] >= 0)
-            starts = starts[upto[starts + size + edits - 1] - upto[starts] >= different - 2 * edits]
-            starts = self.varied(pairs, starts, size + edits, different - 2 * edits)
-            walk = self.walk(size)
+            starts = starts[upto[starts + size + edits - 1] - upto[starts] >= least]
+            starts = self.varied(pairs, starts, size + edits, least)
+            walk = walk_of(size, used.repetitions, used.samples)
             windows = np.lib.stride_tricks.sliding_window_view(words, size)
-            longest = int(size * self.settings.size_step) + 1 + 2 * edits
             for i in range(0, len(starts), 4096):
                 some = starts[i:i + 4096]
                 keys = walk.keys(windows[some])
@@ -228,7 +289,7 @@ class Index:
                 for row in np.flatnonzero(known.any(axis=1)).tolist():
                     k = int(of_text[some[row]])
                     s = int(some[row] - offset[k])
-                    marked.append((k, max(0, s - edits), min(int(length[k]), s + longest) - 1, keys[row, known[row]]))
+                    marked.append((k, max(0, s - used.before), min(int(length[k]), s + used.after) - 1, keys[row, known[row]]))
         return merged(marked)
 
     @staticmethod
@@ -243,14 +304,15 @@ class Index:
             kept.append(starts[i:i + 8192][different >= least])
         return np.concatenate(kept) if kept else starts
 
-    def walk(self, size: int) -> Walk:
-        found = _WALKS.get((size, self.settings))
-        if found is None:
-            found = _WALKS[size, self.settings] = Walk(size, self.settings)
-        return found
 
+_WALKS: dict[tuple[int, int, int], Walk] = {}
 
-_WALKS: dict[tuple[int, Settings], Walk] = {}
+
+def walk_of(size: int, repetitions: int, samples: int) -> Walk:
+    found = _WALKS.get((size, repetitions, samples))
+    if found is None:
+        found = _WALKS[size, repetitions, samples] = Walk(size, repetitions, samples)
+    return found
 
 
 def merged(marked: list[tuple[int, int, int, np.ndarray]]) -> list[tuple[int, int, int, np.ndarray]]:
@@ -298,17 +360,19 @@ def find(
     longest = items.agg(F.max(F.size("words"))).first()[0]
     if longest is None:
         longest = 0
-    sizes = settings.sizes(longest)
+    sizes = settings.sizes(min(longest, settings.piece_words))
 
     def item_keys(batches):
         for batch in batches:
             item, key = [], []
             for i, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 w = np.array(w, dtype=np.int64).view(np.uint64)
-                size = settings.size_of(len(w), sizes)
-                found = Walk(size, settings).keys(w[None, :size])[0]
-                item += [i] * len(found)
-                key += found.view(np.int64).tolist()
+                for first, n in settings.pieces(len(w)):
+                    size = settings.size_of(n, sizes)
+                    walk = walk_of(size, windows[size].repetitions, windows[size].samples)
+                    found = walk.keys(w[None, first:first + size])[0]
+                    item += [i] * len(found)
+                    key += found.view(np.int64).tolist()
             yield pa.RecordBatch.from_arrays([pa.array(item, pa.int64()), pa.array(key, pa.int64())], names=["item", "key"])
 
     def pair_bits(batches):
@@ -317,24 +381,34 @@ def find(
                 block, bit = Bitmap.place(pair_hashes(np.array(w, dtype=np.int64).view(np.uint64)))
                 yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(bit.view(np.int64))], names=["block", "bits"])
 
-    def first_pairs(batches):
+    def piece_needs(batches):
         for batch in batches:
-            size, pairs = [], []
+            out = []
             for w in batch.column(0).to_pylist():
-                size.append(settings.size_of(len(w), sizes))
-                pairs.append(len(np.unique(pair_hashes(np.array(w[:size[-1]], dtype=np.int64).view(np.uint64)))))
-            yield pa.RecordBatch.from_arrays([pa.array(size, pa.int32()), pa.array(pairs, pa.int32())], names=["size", "pairs"])
+                w, edits, pieces = np.array(w, dtype=np.int64).view(np.uint64), settings.edits(len(w)), settings.pieces(len(w))
+                for first, n in pieces:
+                    size = settings.size_of(n, sizes)
+                    pairs = len(np.unique(pair_hashes(w[first:first + size])))
+                    # Edits move the ends of the item against the piece, and the window against the piece, by at most `edits` each.
+                    out.append((size, pairs, edits // len(pieces), first + 2 * edits, len(w) - first + 2 * edits))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), pa.int32()) for c in list(zip(*out, strict=True)) or [[]] * 5],
+                names=["size", "pairs", "edits", "before", "after"])
 
     def key_bits(batches):
         for batch in batches:
             block, bit = Bitmap.place(batch.column(0).to_numpy().view(np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(bit.view(np.int64))], names=["block", "bits"])
 
-    keys = stage(items.select("item", "words").mapInArrow(item_keys, "item long, key long"), "item-keys")
-    used = items.select("words").mapInArrow(first_pairs, "size int, pairs int").groupBy("size").agg(
-        F.min("pairs").alias("pairs")).orderBy("size").collect()  # one row per window size
+    needs = items.select("words").mapInArrow(piece_needs, "size int, pairs int, edits int, before int, after int").groupBy(
+        "size").agg(F.min("pairs").alias("pairs"), *[F.max(c).alias(c) for c in ("edits", "before", "after")]).orderBy(
+        "size").collect()  # one row per window size
+    windows = {
+        r["size"]: Window(r["pairs"], r["edits"], r["before"], r["after"], *fitted(r["size"], r["edits"], settings)[:2])
+        for r in needs}
+    keys = stage(items.select("item", "words").mapInArrow(item_keys, "item long, key long").distinct(), "item-keys")
     index = Index(
-        settings, sizes, {r["size"]: r["pairs"] for r in used},
+        windows,
         _bitmap(items.select("words").mapInArrow(pair_bits, "block long, bits long")),
         _bitmap(keys.select("key").mapInArrow(key_bits, "block long, bits long")))
     shared = spark.sparkContext.broadcast(index)
