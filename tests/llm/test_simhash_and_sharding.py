@@ -86,6 +86,15 @@ def test_large_shards_of_near_copies(spark):
     assert len({shard.top(i) for i in range(50)}) == 1 and len(links) == 49
 
 
+def test_no_text_of_a_large_shard_is_forgotten():
+    import numpy as np
+
+    shard, links = simhash_bk.SimilarShard(0.8, 20, tree_size=2), []
+    for node, first in enumerate([0, 2, 1000, 2000, 4]):  # the last is similar to the second, not to the first
+        links += shard.add(node, 0, np.arange(first, first + 20, dtype=np.uint32))
+    assert links == [(0, 1), (1, 4)]
+
+
 def check_shards(rows, shards, n):
     sizes = Counter(r.shard for r in rows)
     counts = [sizes.get(s, 0) for s in range(shards)]

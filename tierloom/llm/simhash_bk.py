@@ -249,19 +249,17 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 class SimilarShard:
-    """Texts of one shard: a BK-tree of fingerprints finds candidates, their shingle sets confirm links.
+    """Texts of one shard: BK-trees of fingerprints find candidates, their shingle sets confirm links.
 
-    Texts already connected are not compared again. Above `tree_size` texts the tree is rebuilt with one text of each
-    class found so far, so that a shard of very many near copies stays small.
+    Texts already connected are not compared again. Every text stays: above `tree_size` texts a further tree begins, and
+    all trees are searched.
     """
 
     def __init__(self, least: float, radius: int, tree_size: int = 4096):
         self.least, self.radius, self.tree_size = least, radius, tree_size
         self.parent: dict[int, int] = {}
-        self.clear()
-
-    def clear(self):
-        self.tree, self.at, self.sets, self.size = BkTree(), {}, {}, 0
+        self.trees: list[tuple[BkTree, dict[int, list[int]]]] = []
+        self.sets: dict[int, np.ndarray] = {}
 
     def top(self, x: int) -> int:
         p = self.parent
@@ -270,35 +268,42 @@ class SimilarShard:
             x = p[x]
         return x
 
-    def _put(self, node: int, fp: int) -> None:
-        if fp in self.at:
-            self.at[fp].append(node)
+    def put(self, node: int, fp: int, shingles: np.ndarray) -> None:
+        self.parent.setdefault(node, node)
+        if len(self.sets) % self.tree_size == 0:
+            self.trees.append((BkTree(), {}))
+        tree, at = self.trees[-1]
+        if fp in at:
+            at[fp].append(node)
         else:
-            self.at[fp] = [node]
-            self.tree.add(fp)
-        self.size += 1
+            at[fp] = [node]
+            tree.add(fp)
+        self.sets[node] = shingles
+
+    def links(self, node: int, fp: int, shingles: np.ndarray) -> list[tuple[int, int]]:
+        """Links of a text to classes of those put in."""
+        self.parent[node], links = node, []
+        size = len(shingles)
+        for tree, at in self.trees:
+            for near in tree.within(fp, self.radius):
+                for other in at[near]:
+                    a, b = self.top(other), self.top(node)
+                    if a == b:
+                        continue
+                    own = self.sets[other]
+                    few, many = min(size, len(own)), max(size, len(own))
+                    if few >= self.least * many and similarity(own, shingles) >= self.least:
+                        self.parent[b] = a
+                        links.append((other, node))
+        return links
 
     def add(self, node: int, fp: int, shingles: np.ndarray) -> list[tuple[int, int]]:
         """Links of the new text to classes of earlier ones."""
         if node in self.parent:
             return []
-        self.parent[node], links = node, []
-        for near in self.tree.within(fp, self.radius):
-            for other in self.at[near]:
-                a, b = self.top(other), self.top(node)
-                if a != b and similarity(self.sets[other], shingles) >= self.least:
-                    self.parent[b] = a
-                    links.append((other, node))
-        if self.size >= self.tree_size:
-            kept = [(n, f) for f, nodes in self.at.items() for n in nodes if self.top(n) == n]
-            sets = self.sets
-            self.clear()
-            for n, f in kept:
-                self.sets[n] = sets[n]
-                self._put(n, f)
-        self.sets[node] = shingles
-        self._put(node, fp)
-        return links
+        found = self.links(node, fp, shingles)
+        self.put(node, fp, shingles)
+        return found
 
 
 def _slot_subsets(size: int) -> list[tuple[int, ...]]:
