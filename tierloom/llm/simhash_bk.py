@@ -7,7 +7,8 @@ distance to their parent); a search follows only edges whose distance differs fr
 shard's tree goes to the task that searches the shard, not to all tasks, since all trees together grow with the data.
 
 For whole documents `keep_one` links texts by the similarity of their shingle sets: fingerprints of these go to shards by
-equal least hashes, the shard's BK-tree finds candidates within a wider radius, and the sets themselves decide.
+equal least hashes, the shard's BK-tree finds candidates within a wider radius, and the sets themselves decide. Shards
+of many texts are compared block against block, each pair of blocks in its own task.
 
 Cases: a null, empty or wordless text has fingerprint zero and is linked like any other; fewer words than a shingle
 make one shingle; repeated rows and ids give a row each; components of null ids only have a null component_id; an empty
@@ -306,55 +307,51 @@ class SimilarShard:
         return found
 
 
-def _slot_subsets(size: int) -> list[tuple[int, ...]]:
-    return list(itertools.combinations(range(SLOTS), size))
-
-
 def similar_links(
-    nodes: DataFrame, sets: DataFrame, least: float, radius: int = SIMILAR_RADIUS, shard_size: int = 1024,
+    nodes: DataFrame, sets: DataFrame, least: float, radius: int = SIMILAR_RADIUS, shard_size: int = 2048,
 ) -> DataFrame:
     """u, v: links that connect the nodes of equal classes. nodes: node, uid, fp, slots (one row per node; staged);
-    sets: uid, shingles. The sets travel once, for the nodes that share a shard.
+    sets: uid, shingles. The sets travel once for each shard or pair of blocks.
 
-    Nodes with an equal slot share a shard (at a similarity of 0.8, 99.8 % of the pairs have one). Shards that are still
-    large are sharded again by a further equal slot.
+    Nodes with an equal slot share a shard (at a similarity of 0.8, 99.8 % of the pairs have one). Shards of more than
+    `shard_size` nodes are dealt into blocks of about that many, and every pair of blocks is compared in its own task:
+    no pair is lost, but the work grows with the square of such a shard.
     """
-    def keyed(rows, size, mask=None):
-        keys = F.array(*[
-            F.struct(F.lit(sum(1 << i for i in c)).alias("mask"),
-                     F.xxhash64(F.lit(sum(1 << i for i in c)), *[F.col("slots")[i] for i in c]).alias("key"))
-            for c in _slot_subsets(size)])
-        made = rows.withColumn("k", F.explode(keys))
-        if mask is not None:
-            made = made.where(F.col("k.mask").bitwiseAND(F.col(mask)) == F.col(mask))
-        return made.select("node", "slots", F.col("k.mask").alias("mask"), F.col("k.key").alias("key")).distinct()
-
-    rows, ready = keyed(nodes.select("node", "slots"), 1), None
-    for size in range(1, SLOTS):
-        sizes = stage(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shard-sizes")
-        large = sizes.where(F.col("n") > shard_size)
-        more = size < SLOTS - 1 and not large.isEmpty()
-        done = rows.join(sizes.where(F.col("n") <= shard_size) if more else sizes, "key", "left_semi")
-        ready = done.select("node", "key") if ready is None else ready.unionByName(done.select("node", "key"))
-        if not more:
-            break
-        rows = stage(keyed(rows.join(large, "key", "left_semi").drop("key"), size + 1, "mask"), "shards")
+    rows = nodes.select("node", F.explode(F.array(*[
+        F.xxhash64(F.lit(1 << i), F.col("slots")[i]) for i in range(SLOTS)])).alias("key")).distinct()
+    sizes = stage(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shard-sizes")
+    blocks = F.ceil(F.col("n") / shard_size).cast("int")
+    ready = rows.join(sizes, "key").select("key", "node", blocks.alias("blocks")).select(
+        "key", "node", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    ready = ready.select(
+        "key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"),
+        (F.col("own") > F.col("other")).cast("int").alias("side"), "node")
 
     def search(batches):
-        key, shard = None, None
+        cell, shard = None, None
         for batch in batches:
-            keys, node, fp = (batch.column(i).to_numpy() for i in range(3))
+            key, a, b, side, node, fp = (batch.column(i).to_numpy() for i in range(6))
             fp = fp.view(np.uint64).tolist()
             out = []
-            for i, (k, n, shingles) in enumerate(zip(keys.tolist(), node.tolist(), batch.column(3), strict=True)):
-                if k != key:
-                    key, shard = k, SimilarShard(least, radius)
-                out += shard.add(n, fp[i], np.frombuffer(shingles.as_py(), dtype=np.uint32))
+            for i, (now, n, shingles) in enumerate(zip(
+                    zip(key.tolist(), a.tolist(), b.tolist(), strict=True), node.tolist(), batch.column(6), strict=True)):
+                if now != cell:
+                    cell, shard = now, SimilarShard(least, radius)
+                own = np.frombuffer(shingles.as_py(), dtype=np.uint32)
+                if now[1] == now[2]:
+                    out += shard.add(n, fp[i], own)
+                elif side[i]:
+                    out += shard.links(n, fp[i], own)
+                else:
+                    shard.put(n, fp[i], own)
             u, v = zip(*out, strict=True) if out else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
-    placed = ready.join(nodes.select("node", "uid", "fp"), "node").join(sets, "uid").select("key", "node", "fp", "shingles")
-    return placed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(search, "u long, v long")
+    placed = ready.join(nodes.select("node", "uid", "fp"), "node").join(sets, "uid").select(
+        "key", "a", "b", "side", "node", "fp", "shingles")
+    return placed.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "side", "node").mapInArrow(
+        search, "u long, v long")
 
 
 def keep_one(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFrame:
