@@ -174,6 +174,22 @@ def test_copies_ties_and_unequal_norms(spark):
     assert {q: [v for v, _ in w] for q, w in want.items()} == found  # the sample is all rows: nothing is missed
 
 
+@pytest.mark.parametrize("nearest", [1, 20])
+def test_a_query_is_not_its_own_neighbour_in_the_fit(nearest):
+    """The recall of the fitted visits, measured on the other rows of the sample alone."""
+    points = np.random.default_rng(4).normal(size=(3000, 16))
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    forest = rp_forest.Forest.grow(points, 1.0, 4, 7)
+    forest.calibrate(points, nearest, 0.9)
+    scores = points @ points.T
+    np.fill_diagonal(scores, -np.inf)
+    best, codes = np.argsort(-scores, axis=1)[:, :nearest], forest.codes(points)
+    hits = 0
+    for q, leaves in enumerate(forest.visited(points, forest.visits)):
+        hits += np.isin(codes[best[q]], leaves).any(axis=1).sum()
+    assert hits >= 0.87 * nearest * len(points)
+
+
 @pytest.mark.parametrize("kind", ["array<float>", "array<double>"])
 def test_vectors_that_take_no_part(spark, kind):
     nan, inf = float("nan"), float("inf")
