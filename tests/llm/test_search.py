@@ -190,6 +190,13 @@ def test_a_query_is_not_its_own_neighbour_in_the_fit(nearest):
     assert hits >= 0.87 * nearest * len(points)
 
 
+def test_repeated_rows_leave_room_for_other_ids(spark):
+    rows = [(1, [1.0, 0.0])] * 30 + [(i, [1.0, 0.0]) for i in range(2, 30)] + [(100 + i, [0.5, 0.1 * i]) for i in range(30)]
+    got = rp_forest.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=20, every=20).collect()
+    found = {q: [x.vec_id for x in sorted(got, key=lambda x: x.rank) if x.query_id == q] for q in (20, 100)}
+    assert found == {20: [i for i in range(1, 22) if i != 20], 100: list(range(1, 21))}
+
+
 @pytest.mark.parametrize("kind", ["array<float>", "array<double>"])
 def test_vectors_that_take_no_part(spark, kind):
     nan, inf = float("nan"), float("inf")
