@@ -234,6 +234,13 @@ def test_disguises_are_restored(letters, written, meant):
     assert toxicity.Restorer(letters).words(written) == meant
 
 
+def test_disguise_at_the_end_and_words_without_letters():
+    texts = ["you idiot and shit basta class glass mass pass grass idiots shits so it stops in the house win"] * 50
+    words = toxicity.Restorer(toxicity.CharacterModel(*toxicity._trigram_counts(texts))).words
+    assert words("idio+ bas+@ gla$$ 1d10+! $h!7 455 5h17") == ["idiot", "basta", "glass", "idiot", "shit", "ass", "shit"]
+    assert words("house! stops!! win!!! house$$$ 2024 555 +1 $5 | !!!") == ["house", "stops", "win", "house"]
+
+
 def brute_decode(word, model):
     """All readings of the lattice, scored one by one."""
     best = (-1e300, "")

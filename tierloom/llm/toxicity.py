@@ -3,7 +3,8 @@
 1. A character trigram model is counted over all documents.
 2. Disguised words (digits or signs for letters, letters repeated three times or more, signs strewn in, letters spaced
    out) become lattices of readings; Viterbi takes the reading the model and the channel costs together like best.
-   A word without such marks has one reading, itself.
+   A word without such marks has one reading, itself. Signs at the end are letters or punctuation, digits and signs
+   alone are letters or no word.
 3. A logistic model over words and word beginnings of the restored text gives the score. It is fitted on labelled
    training rows, at most `sample_rows` of them (all, if there are fewer).
 
@@ -43,6 +44,9 @@ LEET = {
 SUBSTITUTED, STREWN, REPEATED, GAP_ADDED, GAP_MEANT = -1.0, -1.5, -0.5, -0.3, -2.0
 # A sign that can be a letter is seldom strewn in.
 LETTER_STREWN = -6.0
+# Signs at the end of a word that are punctuation, by how common that is; digits and signs that stand for no letters.
+PUNCTUATION = {"!": -0.3, "|": -1.5, "+": -4.0, "@": -4.0, "$": -4.5}
+NO_LETTER = -3.5
 STREWN_SIGNS = frozenset(".-_*~'^/\\#%&=:,;\"`")
 
 # Codes of the character model: 0 between words, a-z, one per code point from U+00DF to U+017F, one for the rest.
@@ -131,8 +135,12 @@ class CharacterModel:
 
 
 def lattice(word: str) -> list[list[tuple[str, float]]]:
-    """For each run of equal characters the strings it may stand for, with their costs. `word` is in lower case."""
+    """For each run of equal characters the strings it may stand for, with their costs. `word` is in lower case.
+
+    Signs at the end are letters or punctuation, runs of three and more rather the latter.
+    """
     slots, i = [], 0
+    end = len(word.rstrip("".join(PUNCTUATION)))
     while i < len(word):
         c, j = word[i], i
         while j < len(word) and word[j] == c:
@@ -146,7 +154,8 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
             readings = [("", GAP_ADDED), (" ", GAP_MEANT)]
         elif c in LEET:
             most = min(n, 2)
-            readings = [(x * k, SUBSTITUTED * k) for x in LEET[c] for k in range(1, most + 1)] + [("", LETTER_STREWN)]
+            none = PUNCTUATION[c] / max(1, n - 1) if i >= end else LETTER_STREWN
+            readings = [(x * k, SUBSTITUTED * k) for x in LEET[c] for k in range(1, most + 1)] + [("", none)]
         else:
             readings = [("", STREWN)] if c in STREWN_SIGNS else [(" ", 0.0)]
         slots.append(readings)
@@ -154,8 +163,8 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
     return slots
 
 
-def viterbi(word: str, model: CharacterModel) -> str:
-    """The most likely reading of the lattice of `word`; ties go to the reading listed first."""
+def viterbi(word: str, model: CharacterModel, least: float = -math.inf) -> str:
+    """The most likely reading of the lattice of `word`; ties go to the reading listed first. Empty, if not above `least`."""
     best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
     for readings in [*lattice(word), [(" ", 0.0)]]:
         after: dict[tuple[int, int], tuple[float, tuple]] = {}
@@ -171,7 +180,10 @@ def viterbi(word: str, model: CharacterModel) -> str:
                 if known is None or s > known[0]:
                     after[b, l] = (s, (path, text))
         best = after
-    path, parts = max(best.values(), key=lambda x: x[0])[1], []
+    score, path = max(best.values(), key=lambda x: x[0])
+    if score <= least:
+        return ""
+    parts: list[str] = []
     while path:
         path, text = path
         parts.append(text)
@@ -196,11 +208,10 @@ class Restorer:
         if core.isalpha() and not _repeats(core):
             return (core,)
         if not any(c.isalpha() for c in core):
-            return ()
-        # Signs at the end may be punctuation or letters: the plain core comes first, then the lattice decides inside.
-        plain = core.rstrip("!$+|@")
-        if plain.isalpha() and not _repeats(plain):
-            return (plain,)
+            # A number, or a word all in digits and signs: whichever is more likely.
+            signs = sum(c in LEET for c in core)
+            read = viterbi(core, self.model, NO_LETTER * signs) if signs > 1 else ""
+            return tuple(read.split()) if len(read.strip()) > 1 else ()
         return tuple(viterbi(core, self.model).split())
 
     def words(self, text: str) -> list[str]:
