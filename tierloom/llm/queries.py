@@ -1,4 +1,4 @@
-"""The ten text operators over their whole tables, under the names and with the columns of the driver's contract."""
+"""The text operators over their whole tables, under the names and with the columns of the driver's contract."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tierloom.llm import (
     bpe_codec,
     decontam_cgk,
+    euler_trie,
     langid,
     license_scan,
     rp_forest,
@@ -106,3 +107,9 @@ def op9_language(spark, sf_dir):
 def op10_secrets(spark, sf_dir):
     docs = documents(spark, sf_dir)
     return secret_cnn.scan(docs, secret_cnn.fit(docs))
+
+
+@query
+def op11_prefix_trie(spark, sf_dir):
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return euler_trie.trie(euler_trie.rebuilt(euler_trie.number_turns(conversations)))
