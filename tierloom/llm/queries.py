@@ -12,6 +12,7 @@ from tierloom.llm import (
     bpe_codec,
     decontam_cgk,
     euler_trie,
+    hard_negatives,
     langid,
     license_scan,
     rp_forest,
@@ -113,3 +114,31 @@ def op10_secrets(spark, sf_dir):
 def op11_prefix_trie(spark, sf_dir):
     conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     return euler_trie.trie(euler_trie.rebuilt(euler_trie.number_turns(conversations)))
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    return hard_negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+# Whole numbers below 2^53, so inner products of doubles are exact.
+ORACLE_SQL["op12_hard_negatives"] = """
+with v as (
+  select distinct vec_id as id, (case when vec_id % 7 = 0 then (label + 1) % 10 else label end)::bigint as label,
+         list_transform(embedding, x -> floor(256 * x::double)) as x
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and list_count(embedding) = len(embedding) and len(list_filter(embedding, x -> not isfinite(x))) = 0),
+s as (
+  select a.id as anchor_id, a.label = b.label as same, b.id, list_inner_product(a.x, b.x)::bigint as score
+  from v a join v b on a.id <> b.id where a.id % 50 = 0),
+p as (
+  select anchor_id, id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select anchor_id, positive_id,
+       row_number() over (partition by anchor_id, positive_id order by score desc, id)::int as rank,
+       id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id)
+where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+qualify rank <= 3
+"""
