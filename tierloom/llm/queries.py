@@ -125,10 +125,10 @@ def op12_hard_negatives(spark, sf_dir):
 ORACLE_SQL["op12_hard_negatives"] = """
 with v as (
   select distinct vec_id as id, (case when vec_id % 7 = 0 then (label + 1) % 10 else label end)::bigint as label,
-         list_transform(embedding, x -> floor(256 * x::double)) as x
+         list_transform(embedding, lambda x: floor(256 * x::double)) as x
   from embeddings
   where vec_id is not null and label is not null and embedding is not null
-    and list_count(embedding) = len(embedding) and len(list_filter(embedding, x -> not isfinite(x))) = 0),
+    and list_count(embedding) = len(embedding) and len(list_filter(embedding, lambda x: not isfinite(x))) = 0),
 s as (
   select a.id as anchor_id, a.label = b.label as same, b.id, list_inner_product(a.x, b.x)::bigint as score
   from v a join v b on a.id <> b.id where a.id % 50 = 0),
