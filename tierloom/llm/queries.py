@@ -15,6 +15,7 @@ from tierloom.llm import (
     hard_negatives,
     langid,
     license_scan,
+    multi_index,
     rp_forest,
     secret_cnn,
     sharding,
@@ -121,6 +122,11 @@ def op12_hard_negatives(spark, sf_dir):
     return hard_negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+@query
+def op13_multi_index(spark, sf_dir):
+    return multi_index.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 # Whole numbers below 2^53, so inner products of doubles are exact.
 ORACLE_SQL["op12_hard_negatives"] = """
 with v as (
