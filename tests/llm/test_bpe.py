@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -7,6 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tierloom.llm import bpe_codec, token_counts
+from tierloom.llm.common import Generations
 from tierloom.llm.queries import REGISTRY
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -45,6 +47,35 @@ def test_cache_that_overflows_gives_equal_ids(library):
         assert ids(small.encode([t])[0][0]) == library.encode(t, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("alphabet", ["ab", "aeiou", "abcdefghijklmnopqrstuvwxyz", "thearnsi", "!?_-=", "éèa你"])
+def test_long_words(library, alphabet):
+    r = random.Random(alphabet)
+    texts = ["".join(r.choices(alphabet, weights=range(1, len(alphabet) + 1), k=n)) for n in (50, 300, 1000, 5000, 20_000)]
+    texts += ["x" + "a" * 701 + "".join(r.choices(alphabet, k=500)) + "a" * 700 + "y", "the" * 400 + " " + "the" * 401]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [ids(g) for g in bpe_codec.BatchedBpe(PATH).encode(texts)[0]] == want
+    cautious = bpe_codec.BatchedBpe(PATH)
+    cautious.safe[:] = False  # every merge is then made leftmost first
+    assert [ids(g) for g in cautious.encode(texts[:4])[0]] == want[:4]
+
+
+def test_a_megabyte_without_a_break(library):
+    text = "".join(random.Random(9).choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000))
+    codec, start = bpe_codec.BatchedBpe(PATH), time.process_time()
+    got = ids(codec.encode([text])[0][0])
+    assert time.process_time() - start < 30  # 5 to 10 seconds on an idle machine; one merge a round would take hours
+    assert got == library.encode(text, add_special_tokens=False).ids
+    assert token_counts.HeapCounter(PATH).text(text) == len(got)
+
+
+def test_two_generations_keep_what_is_met_often():
+    made = []
+    cache = Generations(lambda k: made.append(k) or k, bound=2 * 161 * 10)
+    for i in range(1000):
+        cache["a"], cache[f"x{i}"]
+    assert made.count("a") == 1 and len(cache) + len(cache.old) <= 21
+
+
 def test_odd_rows(odd, none, library):
     rows = odd.collect()
     got = token_counts.count_tokens(odd, PATH, limit=10).collect()

@@ -38,6 +38,47 @@ class BoundedCache(dict):
         return value
 
 
+class Generations(dict):
+    """value = make(key), kept for repeated keys in two generations of `bound` estimated bytes together.
+
+    When the younger one is full the older is forgotten, so what is met often stays. entry(key, value): estimated bytes;
+    long keys are not kept.
+    """
+
+    def __init__(self, make: Callable, bound: int, entry: Callable = lambda key, value: 160 + len(key), longest: int = 64):
+        super().__init__()
+        self.make, self.half, self.entry, self.longest = make, bound // 2, entry, longest
+        self.old: dict = {}
+        self.used = 0
+
+    def __missing__(self, key):
+        value = self.old.pop(key, None)
+        if value is None:
+            value = self.make(key)
+        self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
+        if len(key) > self.longest:
+            return
+        self.used += self.entry(key, value)
+        if self.used > self.half:
+            self.old = {}
+            self.old = self.copy()
+            self.clear()
+            self.used = self.entry(key, value)
+        self[key] = value
+
+    def known(self, key):
+        """The value if it is kept, else None."""
+        if key in self:
+            return self[key]
+        value = self.old.pop(key, None)
+        if value is not None:
+            self.keep(key, value)
+        return value
+
+
 def text_chunks(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """The same rows in slices of at most CHUNK_BYTES of text (one row at least)."""
     for batch in batches:

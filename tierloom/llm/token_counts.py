@@ -10,20 +10,21 @@ from heapq import heapify, heappop, heappush
 
 from pyspark.sql import DataFrame
 
-from tierloom.llm.common import BoundedCache, map_texts, white_space_tokens
+from tierloom.llm.common import Generations, map_texts, white_space_tokens
 from tierloom.llm.word_bpe import open_word_bpe, per_process
 
 
 class HeapCounter:
-    """Counts the tokens of white-space-free pieces."""
+    """Counts the tokens of white-space-free pieces; keeps counts of pieces and of words, `bound` bytes of each."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, bound: int = 64 << 20):
         self.rules = open_word_bpe(path)
         self.by_pair = {p: (r, n) for r, (p, n) in enumerate(zip(self.rules.pairs, self.rules.merged, strict=True))}
-        self.of_piece = BoundedCache(self._piece)
+        self.of_piece = Generations(self._piece, bound)
+        self.of_word = Generations(self.word, bound)
 
     def _piece(self, piece: str) -> int:
-        return sum(1 if isinstance(w, int) else self.word(w) for w in self.rules.words(piece))
+        return sum([1 if isinstance(w, int) else self.of_word[w] for w in self.rules.words(piece)])
 
     def word(self, word: str) -> int:
         """Symbols of the word less the merges made, always taking the lowest rank, then the leftmost place."""

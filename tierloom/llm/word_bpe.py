@@ -69,6 +69,8 @@ class WordBpe:
         return found
 
     def _split(self, part: str) -> list[str]:
+        if part.isascii():
+            return self._words(part.lower())
         if max(part) > _LAST_SHARED:
             normalizer, splitter = _library_split(self.path, self._pattern)
             return [w for w, _ in splitter.pre_tokenize_str(normalizer.normalize_str(part))]
