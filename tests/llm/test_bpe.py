@@ -70,10 +70,10 @@ def test_a_megabyte_without_a_break(library):
 
 def test_two_generations_keep_what_is_met_often():
     made = []
-    cache = Generations(lambda k: made.append(k) or k, bound=2 * 161 * 10)
+    cache = Generations(lambda k: made.append(k) or k, bound=20)
     for i in range(1000):
         cache["a"], cache[f"x{i}"]
-    assert made.count("a") == 1 and len(cache) + len(cache.old) <= 21
+    assert made.count("a") == 1 and len(cache) + len(cache.old) <= 20
 
 
 def test_odd_rows(odd, none, library):

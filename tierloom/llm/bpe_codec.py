@@ -24,9 +24,9 @@ _NONE = np.iinfo(np.int32).max
 
 
 class BatchedBpe:
-    """Encodes many words at a time; keeps the ids and decoded text of pieces and of words seen, `bound` bytes of each."""
+    """Encodes many words at a time; keeps the ids and decoded text of pieces and of words seen, `bound` of each."""
 
-    def __init__(self, path: str, bound: int = 48 << 20):
+    def __init__(self, path: str, bound: int = 200_000):
         self.rules = open_word_bpe(path)
         pairs = np.array(self.rules.pairs, dtype=np.int64).reshape(-1, 2)
         self.base = 1 + max([0, *self.rules.names])
@@ -46,8 +46,8 @@ class BatchedBpe:
         # Symbols this far apart never come together in a token, nor does what grows from one meet what grows from the other.
         self.reach = 2 * int(length.max()) + 2
         self.inner, self.final = (np.array(x, dtype=np.int64) for x in (self.rules.inner, self.rules.final))
-        self.piece_ids = Generations(None, bound, _size)
-        self.word_ids = Generations(None, bound, _size)
+        self.piece_ids = Generations(None, bound)
+        self.word_ids = Generations(None, bound)
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         if not len(self.keys):
@@ -193,9 +193,6 @@ class BatchedBpe:
         return ids, decoded
 
 
-def _size(key: str, value: tuple[bytes, str]) -> int:
-    return 320 + len(key) + len(value[0]) + len(value[1])
-
 
 def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """doc_id, ids (array<int>) and decoded text of each row."""

@@ -39,17 +39,15 @@ class BoundedCache(dict):
 
 
 class Generations(dict):
-    """value = make(key), kept for repeated keys in two generations of `bound` estimated bytes together.
+    """value = make(key), kept for repeated keys in two generations of at most `bound` entries together.
 
-    When the younger one is full the older is forgotten, so what is met often stays. entry(key, value): estimated bytes;
-    long keys are not kept.
+    When the younger one is full the older is forgotten, so what is met often stays. Long keys are not kept.
     """
 
-    def __init__(self, make: Callable, bound: int, entry: Callable = lambda key, value: 160 + len(key), longest: int = 64):
+    def __init__(self, make: Callable | None, bound: int, longest: int = 48):
         super().__init__()
-        self.make, self.half, self.entry, self.longest = make, bound // 2, entry, longest
+        self.make, self.half, self.longest = make, max(1, bound // 2), longest
         self.old: dict = {}
-        self.used = 0
 
     def __missing__(self, key):
         value = self.old.pop(key, None)
@@ -59,22 +57,17 @@ class Generations(dict):
         return value
 
     def keep(self, key, value) -> None:
-        if len(key) > self.longest:
-            return
-        self.used += self.entry(key, value)
-        if self.used > self.half:
-            self.old = {}
-            self.old = self.copy()
-            self.clear()
-            self.used = self.entry(key, value)
-        self[key] = value
+        if len(key) <= self.longest:
+            if len(self) >= self.half:
+                self.old = {}
+                self.old = self.copy()
+                self.clear()
+            self[key] = value
 
     def known(self, key):
         """The value if it is kept, else None."""
-        if key in self:
-            return self[key]
-        value = self.old.pop(key, None)
-        if value is not None:
+        value = self.get(key)
+        if value is None and (value := self.old.pop(key, None)) is not None:
             self.keep(key, value)
         return value
 

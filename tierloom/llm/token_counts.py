@@ -15,9 +15,9 @@ from tierloom.llm.word_bpe import open_word_bpe, per_process
 
 
 class HeapCounter:
-    """Counts the tokens of white-space-free pieces; keeps counts of pieces and of words, `bound` bytes of each."""
+    """Counts the tokens of white-space-free pieces; keeps the counts of `bound` pieces and as many words."""
 
-    def __init__(self, path: str, bound: int = 64 << 20):
+    def __init__(self, path: str, bound: int = 400_000):
         self.rules = open_word_bpe(path)
         self.by_pair = {p: (r, n) for r, (p, n) in enumerate(zip(self.rules.pairs, self.rules.merged, strict=True))}
         self.of_piece = Generations(self._piece, bound)
