@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from tierloom.functions.vectors import nearest
 from tierloom.operators import customers as cust
 from tierloom.operators import kmeans, scaling, selection, training
+from tierloom.operators import kmeans_chunks as kc
 from tierloom.operators.silhouette import silhouette
+from tierloom.sources.staging import stage
 
 SCHEMA = "CUSTOMER_ID long, SEGMENT string, MOST_RECENT_INDUSTRY_CODE_DESC string, F0 double, F1 double"
 FEATS = ["F0", "F1"]
@@ -145,41 +147,123 @@ def test_inertia_falls_with_k_and_fit_is_repeatable(spark, trained):
     assert again == pytest.approx(by_k, rel=1e-9)
 
 
-def test_inertia_never_rises(spark, trained):
+def chunks_of(spark, fitted, rows):
+    return kc.packed(fitted.points, rows)
+
+
+def by_model(df):
+    return {(r["SEGMENT_KEY"], r["K"]): r for r in df.collect()}
+
+
+def test_segments_of_many_chunks_give_the_models_of_one(spark, trained):
     _, opts, fitted = trained
-    seeds = kmeans.seed_models(fitted.points, fitted.ready, 4, 2, 7, 2)
-    models = seeds.withColumn("SEEN", F.transform("CENTERS", lambda c: F.lit(0).cast("bigint")))
-    models.persist()
-    seen = {}
-    for _ in range(4):
-        models = kmeans.lloyd_step(fitted.points, models, 2).persist()
-        for r in models.collect():
-            key = (r["SEGMENT_KEY"], r["K"], r["RESTART"])
-            assert r["INERTIA"] <= seen.get(key, math.inf) + 1e-9
-            seen[key] = r["INERTIA"]
-
-
-def test_seeds_are_distinct_points(spark, trained):
+    wanted = fitted.ready.where("STATUS = 'READY'")
+    one = by_model(fitted.models)
+    for carry in (False, True):
+        many = by_model(kmeans.fit(fitted.points, wanted, 2, 5, 2, max_iter=15, chunk_rows=25, carry_bounds=carry))
+        assert set(many) == set(one)
+        for key, r in many.items():
+            assert r["INERTIA"] == pytest.approx(one[key]["INERTIA"], rel=1e-6)
+            assert np.array(r["CENTERS"]) == pytest.approx(np.array(one[key]["CENTERS"]), abs=1e-6)
+            assert r["ITERATIONS"] == one[key]["ITERATIONS"]
+
+
+def test_carried_bounds_label_as_plain_rounds_and_skip_distances():
+    r = np.random.default_rng(2)
+    z = np.concatenate([r.normal(size=(400, 8)) + 4 * r.normal(size=8) for _ in range(12)])
+    z = np.concatenate([z, z[:50] * -1, np.zeros((1, 8))])
+    points = kc.Points(z, r.integers(1, 5, len(z)).astype(float), r.integers(-2 ** 60, 2 ** 60, len(z)))
+    centres = z[r.choice(len(z), 12, replace=False)]
+    state, computed = kc.Carried.begin(points, centres), 0
+    for rounds in range(1, 30):
+        label, _ = kc.nearest(z, centres)
+        assert (state.label == label).all()
+        assert (state.upper + 1e-9 >= np.sqrt(kc.nearest(z, centres)[1])).all()
+        moved = kc.means(*kc.sums(points, label, 12), centres)
+        if (moved == centres).all():
+            break
+        state.move(points, centres, moved)
+        centres = moved
+    assert rounds > 5 and state.distances < 0.4 * rounds * len(z) * 12
+
+
+def test_carried_bounds_on_ties_take_the_first():
+    z = np.array([[0.0], [1.0], [2.0], [3.0], [4.0]])
+    points = kc.Points(z, np.ones(5), np.arange(5))
+    state = kc.Carried.begin(points, np.array([[0.0], [3.0]]))
+    state.move(points, np.array([[0.0], [3.0]]), np.array([[3.0], [1.0]]))
+    assert state.label.tolist() == kc.nearest(z, np.array([[3.0], [1.0]]))[0].tolist() == [1, 1, 0, 0, 0]
+
+
+def test_distances_of_carried_rounds_are_fewer(spark, trained):
     fitted = trained[2]
-    for r in kmeans.seed_models(fitted.points, fitted.ready, 5, 3, 42, 2).collect():
-        assert len({tuple(c) for c in r["CENTERS"]}) == r["K"]
+    wanted = fitted.ready.where("SEGMENT_KEY = 'IND::S'")
+    chunks = chunks_of(spark, fitted, 30).where("SEGMENT_KEY = 'IND::S'")
+    plan = kc.Plan(5, 1, 3, 20, passes=1, oversample=6)
+    seeds = stage(kc.seed_large(chunks, wanted, plan, 2).where("K = 5"), "seeds")
+    limits = kmeans.tolerances(fitted.points, 1e-12, 2)
+    plain, carried = (kmeans.iterate(chunks, seeds, limits, 2, 20, carry).first() for carry in (False, True))
+    assert carried["CENTERS"] == plain["CENTERS"] and carried["ITERATIONS"] == plain["ITERATIONS"]
+    assert carried["DISTANCES"] < 120 * 5 * carried["ITERATIONS"]
+
+
+def test_inertia_never_rises_and_seeds_beat_random_ones():
+    r = np.random.default_rng(5)
+    z = np.concatenate([r.normal(size=(300, 2)) + 8 * r.normal(size=2) for _ in range(8)])
+    points = kc.Points(z, np.ones(len(z)), r.integers(-2 ** 60, 2 ** 60, len(z)))
+    fits = list(kc.fit_chunk(points, 2, 10, kc.Plan(10, 3), 1e-9))
+    best = {}
+    for k, restart, centres, inertia, _ in fits:
+        assert len({tuple(c) for c in centres}) == k
+        best[k] = min(best.get(k, math.inf), inertia)
+    assert sorted(best, key=best.get) == list(range(10, 1, -1))
+    random = []
+    for _ in range(10):
+        centres, _, _ = kc.lloyd(points, z[r.choice(len(z), 8, replace=False)], 300, 0.0)
+        random.append(kc.nearest(z, centres)[1].sum())
+    assert best[8] <= min(random) * 1.0001
+    centres = z[:6]
+    before = math.inf
+    for _ in range(10):
+        label, d2 = kc.nearest(z, centres)
+        assert d2.sum() <= before + 1e-9
+        before, centres = d2.sum(), kc.means(*kc.sums(points, label, 6), centres)
+
+
+def test_draws_follow_the_weights():
+    points = kc.Points(np.arange(2000.0)[:, None], np.where(np.arange(2000) % 2, 9.0, 1.0), np.random.default_rng(0).integers(-2 ** 62, 2 ** 62, 2000))
+    chosen = np.concatenate([kc.race(points, np.empty((0, 1)), 20, kc.Plan(), 1, n)[1][:, 0] for n in range(100)])
+    assert 0.87 < (chosen % 2).mean() < 0.93
+    assert not len(kc.race(points, points.z, 5, kc.Plan(), 1, 1)[0])  # every point lies on a centre
+    times = kc._poisson(np.full(20_000, 2.5), kc.draws(np.arange(20_000), 7))
+    assert abs(times.mean() - 2.5) < 0.05 and abs(times.var() - 2.5) < 0.15
 
 
 def test_empty_cluster_keeps_its_centre(spark):
+    assert kc.means(np.array([2.0, 0.0]), np.array([[1.0], [0.0]]), np.array([[7.0], [99.0]])).tolist() == [[0.5], [99.0]]
     points = spark.createDataFrame([("s", [0.0], 1, 1), ("s", [1.0], 1, 2)], "SEGMENT_KEY string, Z array<double>, W long, POINT_ID long")
-    models = spark.createDataFrame(
-        [("s", 2, 1, [[0.5], [99.0]], [0, 0])],
-        "SEGMENT_KEY string, K int, RESTART int, CENTERS array<array<double>>, SEEN array<bigint>")
-    assert kmeans.lloyd_step(points, models, 1).first()["CENTERS"] == [[0.5], [99.0]]
+    models = spark.createDataFrame([("s", 2, 1, [[0.5], [99.0]])], "SEGMENT_KEY string, K int, RESTART int, CENTERS array<array<double>>")
+    moved = kc.moved(models, kc.merged_means(kc.chunk_sums(kc.packed(points, 1), models), 1), 1).first()
+    assert moved["CENTERS"] == [[0.5], [99.0]] and moved["SHIFT"] == 0.0
 
 
-def test_mini_batch_improves_on_its_seeds(spark, trained):
+def test_large_segments_go_by_mini_batches(spark, trained):
     df, opts, fitted = trained
-    mini = training.fit_segments(df, training.TrainingOptions(
-        features=FEATS, clusters_max=3, min_customers=20, restarts=1, max_iter=6, batch_size=60))
-    best = {(r["SEGMENT_KEY"], r["K"]): r["INERTIA"] for r in mini.models.collect()}
-    full = {(r["SEGMENT_KEY"], r["K"]): r["INERTIA"] for r in fitted.models.collect()}
-    assert best["IND::T", 2] < 3 * full["IND::T", 2]
+    full = by_model(fitted.models)
+    mini = by_model(training.fit_segments(df, training.TrainingOptions(
+        features=FEATS, clusters_max=3, min_customers=20, restarts=2, max_iter=40, batch_size=60, mini_batch_over=100)).models)
+    assert mini["IND::S", 3]["ITERATIONS"] == 40 and mini["IND::T", 2]["ITERATIONS"] < 40  # 120 and 80 rows
+    assert mini["IND::S", 3]["INERTIA"] < 1.1 * full["IND::S", 3]["INERTIA"]
+    assert mini["IND::T", 2]["INERTIA"] == pytest.approx(full["IND::T", 2]["INERTIA"])
+
+
+def test_check_finds_wrong_models(spark, trained):
+    _, opts, fitted = trained
+    good = kmeans.check(fitted.points, fitted.models, 2, opts.tol).collect()
+    assert len(good) == 8 and all(r["INERTIA_AGREES"] and r["SETTLED"] and r["FALLS"] for r in good)
+    shifted = fitted.models.withColumn("CENTERS", F.transform("CENTERS", lambda c: F.transform(c, lambda x: x + 1.0)))
+    bad = kmeans.check(fitted.points, shifted, 2, opts.tol).collect()
+    assert not any(r["INERTIA_AGREES"] or r["SETTLED"] for r in bad)
 
 
 def test_best_k_prefers_the_smaller_on_a_tie(spark):
@@ -198,15 +282,6 @@ def test_model_gate(spark, silhouettes, need, want):
     assert selection.accepted_models(gate, "m", "/models/").count() == (want == "ok")
 
 
-def test_layout_keeps_points_and_splits_large_segments(spark):
-    points = spark.range(3000).selectExpr(
-        "if(id < 2900, 'hot', 'cold') as SEGMENT_KEY", "array(double(id), 1D) as Z", "1L as W", "id as POINT_ID")
-    laid = kmeans.clustered_layout(points, rows_per_chunk=200)
-    assert sorted(r["POINT_ID"] for r in laid.collect()) == list(range(3000))
-    parts = laid.select("SEGMENT_KEY", F.spark_partition_id().alias("p")).where("SEGMENT_KEY = 'hot'").distinct()
-    assert laid.rdd.getNumPartitions() == 1 or parts.count() > 1
-
-
 def test_unrolled_distances_agree_with_the_general_form(spark):
     rng = np.random.default_rng(3)
     rows = [(rng.integers(0, 3, 2).astype(float).tolist(), rng.integers(0, 3, (k, 2)).astype(float).tolist())

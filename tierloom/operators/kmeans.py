@@ -1,17 +1,19 @@
 """k-means for all segments, all k and all restarts at once.
 
-Rows stay distributed and are read from a staged table in every iteration; what moves are partial sums per
-(segment, k, restart, label). Centres live in a staged table too, joined by segment key, so nothing passes
-through the driver but the number of models that still move.
+Rows stay distributed as chunks of packed points (kmeans_chunks). What moves are drawn candidates and partial sums per
+(segment, k, restart, label). Centres live in a staged table, joined by segment key, so nothing passes through the driver
+but the number of models that still move.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from tierloom.functions.sampling import uniform
-from tierloom.functions.vectors import nearest, squared_distance
+from tierloom.functions.vectors import nearest
+from tierloom.operators import kmeans_chunks as kc
 from tierloom.sources.staging import stage, with_size_check
 
 MODEL = ["SEGMENT_KEY", "K", "RESTART"]
@@ -26,68 +28,6 @@ def weighted_points(rows: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("W"), F.min("CUSTOMER_ID").alias("POINT_ID"))
 
 
-def clustered_layout(points: DataFrame, rows_per_chunk: int = 100_000) -> DataFrame:
-    """The same points, laid out segment by segment for the iterations that follow.
-
-    Every segment is hashed into chunks of about rows_per_chunk points, and a chunk lies in one partition. A scan
-    task then meets few segments, so its partial sums stay few, while a large segment still spans many tasks.
-    """
-    sizes = stage(
-        points.groupBy("SEGMENT_KEY").agg(
-            F.ceil(F.count(F.lit(1)) / F.lit(rows_per_chunk)).cast("int").alias("__chunks")),
-        "segment-chunks")
-    return (
-        points.join(with_size_check(sizes), "SEGMENT_KEY")
-        .withColumn("__chunk", F.pmod(F.xxhash64("Z"), F.col("__chunks")))
-        .repartition("SEGMENT_KEY", "__chunk")
-        .sortWithinPartitions("SEGMENT_KEY")
-        .drop("__chunk", "__chunks")
-    )
-
-
-def first_centers(points: DataFrame, restarts: int, seed: int) -> DataFrame:
-    """SEGMENT_KEY, RESTART, CENTERS with one weighted random point each."""
-    race = -F.log(uniform(seed, F.lit(0), F.col("RESTART"), F.col("POINT_ID"))) / F.col("W")
-    return (
-        points.withColumn("RESTART", F.explode(F.sequence(F.lit(1), F.lit(restarts))))
-        .groupBy("SEGMENT_KEY", "RESTART")
-        .agg(F.array(F.min_by("Z", race)).alias("CENTERS"))
-    )
-
-
-def add_center(points: DataFrame, centers: DataFrame, number: int, seed: int, dims: int) -> DataFrame:
-    """The next seed per (segment, restart), drawn with probability proportional to W * d2.
-
-    Exponential race: the smallest -ln(u) / weight wins, so a min_by per group is enough. Points that coincide
-    with a centre are out; a group without any other point keeps its centres.
-    """
-    d2 = F.expr(f"array_min(transform(CENTERS, ctr -> {squared_distance('Z', 'ctr', dims)}))")
-    draw = -F.log(uniform(seed, F.lit(number), F.col("RESTART"), F.col("POINT_ID"))) / (F.col("W") * F.col("__d2"))
-    picked = (
-        points.join(with_size_check(centers.where(F.size("CENTERS") == number)), "SEGMENT_KEY")
-        .withColumn("__d2", d2).where(F.col("__d2") > 0)
-        .groupBy("SEGMENT_KEY", "RESTART").agg(F.min_by("Z", draw).alias("__next"))
-    )
-    grown = F.when(F.col("__next").isNull(), F.col("CENTERS")).otherwise(
-        F.concat("CENTERS", F.array("__next")))
-    return centers.join(picked, ["SEGMENT_KEY", "RESTART"], "left").withColumn("CENTERS", grown).drop("__next")
-
-
-def seed_models(
-    points: DataFrame, candidates: DataFrame, clusters_max: int, restarts: int, seed: int, dims: int,
-) -> DataFrame:
-    """MODEL columns and CENTERS. Seeds are nested: the first k of one run serve as the seeds for k."""
-    centers = stage(first_centers(points, restarts, seed), "seeds")
-    for number in range(1, clusters_max):
-        centers = stage(add_center(points, centers, number, seed, dims), "seeds")
-    return (
-        centers.join(candidates.where("K_HI >= K_LO").select("SEGMENT_KEY", "K_LO", "K_HI"), "SEGMENT_KEY")
-        .withColumn("__top", F.least("K_HI", F.size("CENTERS"))).where("__top >= K_LO")
-        .withColumn("K", F.explode(F.sequence("K_LO", "__top")))
-        .select(*MODEL, F.slice("CENTERS", 1, F.col("K")).alias("CENTERS"))
-    )
-
-
 def assign(points: DataFrame, models: DataFrame, dims: int | None, most: int | None = None) -> DataFrame:
     """Every point with its LABEL and D2 under every model of its segment; no model has more than `most` centres."""
     return (
@@ -107,95 +47,116 @@ def cluster_sums(assigned: DataFrame, dims: int) -> DataFrame:
     return sums.select(*MODEL, "LABEL", "N", F.expr(f"array({mean}) as MEAN"), "INERTIA")
 
 
-def lloyd_step(
-    points: DataFrame, models: DataFrame, dims: int, mini_batch: bool = False, most: int | None = None,
-) -> DataFrame:
-    """One iteration for all models: CENTERS and SEEN replaced, SHIFT and INERTIA (of the old centres) added.
-
-    An empty cluster keeps its centre. In mini-batch mode a centre moves by the share its batch has in all rows
-    it has seen so far (SEEN), and a batch may hold no row of a segment at all; otherwise every model has rows,
-    and the inner join lets Spark broadcast the small model table instead of shuffling it.
-    """
-    per_label = cluster_sums(assign(points, models, dims, most), dims)
-    per_model = per_label.groupBy(*MODEL).agg(
-        F.map_from_entries(F.collect_list(F.struct("LABEL", F.struct("N", "MEAN")))).alias("__m"),
-        F.sum("INERTIA").alias("INERTIA"))
-
-    if mini_batch:
-        rate = "__m[cast(pos as int)].N / (SEEN[pos] + __m[cast(pos as int)].N)"
-        moved = f"zip_with(ctr, __m[cast(pos as int)].MEAN, (p, q) -> p + (q - p) * {rate})"
-    else:
-        moved = "__m[cast(pos as int)].MEAN"
-    shift = squared_distance("p", "q", dims)
-    return (
-        models.drop("INERTIA").join(per_model, MODEL, "left" if mini_batch else "inner")
-        .withColumn("__new", F.expr(f"transform(CENTERS, (ctr, pos) -> coalesce({moved}, ctr))"))
-        .withColumns({
-            "SHIFT": F.expr(
-                f"aggregate(zip_with(CENTERS, __new, (p, q) -> {shift}), 0D, (total, term) -> total + term)"),
-            "SEEN": F.expr("transform(SEEN, (n, pos) -> n + coalesce(__m[cast(pos as int)].N, 0L))"),
-            "CENTERS": F.col("__new"),
-        })
-        .drop("__new", "__m")
-    )
-
-
 def tolerances(points: DataFrame, tol: float, dims: int) -> DataFrame:
-    """SEGMENT_KEY, N_POINTS, TOL: tol times the mean feature variance, against the summed centre shift."""
+    """SEGMENT_KEY, TOL: tol times the mean feature variance, against the summed centre shift."""
     parts = " + ".join(
         f"sum(W * Z[{j}] * Z[{j}]) / sum(W) - pow(sum(W * Z[{j}]) / sum(W), 2)" for j in range(dims))
-    return points.groupBy("SEGMENT_KEY").agg(
-        F.sum("W").alias("N_POINTS"), F.expr(f"greatest({parts}, 0D) / {dims} * {tol!r}D as TOL"))
+    return points.groupBy("SEGMENT_KEY").agg(F.expr(f"greatest({parts}, 0D) / {dims} * {tol!r}D as TOL"))
 
 
-def fit(
-    points: DataFrame, candidates: DataFrame, dims: int, clusters_max: int = 10, restarts: int = 10, seed: int = 42,
-    max_iter: int = 300, tol: float = 1e-4, batch_size: int = 0,
+def iterate(
+    chunks: DataFrame, seeds: DataFrame, limits: DataFrame, dims: int, max_iter: int, carry_bounds: bool = False,
 ) -> DataFrame:
-    """Best model per (SEGMENT_KEY, K): CENTERS, INERTIA, ITERATIONS, RESTART.
+    """MODEL, CENTERS, ITERATIONS, DISTANCES: Lloyd's rounds over segments of several chunks.
 
-    `points` is a staged weighted_points table, `candidates` has SEGMENT_KEY, K_LO, K_HI. Models that have
-    settled leave the iteration. With batch_size, each iteration reads a fresh hash-chosen subset of about that
-    many points per segment and runs for max_iter iterations.
+    Each round shares the sums of all chunks; models that have settled leave. With carry_bounds the label and two bounds
+    of every point and model are written beside the points each round, and distances are computed only where the bounds
+    leave a choice: worth it where a distance costs more than storing 20 bytes, with long vectors and many centres.
+    DISTANCES is then the number computed for the segment, else null.
     """
-    limits = stage(tolerances(points, tol, dims), "tolerances")
     models = stage(
-        seed_models(points, candidates, clusters_max, restarts, seed, dims)
-        .join(limits, "SEGMENT_KEY")
-        .withColumns({
-            "SEEN": F.transform("CENTERS", lambda c: F.lit(0).cast("bigint")),
-            "DONE": F.lit(False), "ITERATIONS": F.lit(0)}),
-        "models")
+        seeds.join(limits, "SEGMENT_KEY").withColumns({
+            "BEFORE": F.col("CENTERS"), "SHIFT": F.lit(0.0), "DONE": F.lit(False), "ITERATIONS": F.lit(0)}), "models")
+    state = chunks.withColumn("STATE", F.array().cast(kc._STATE))
+    spent = None
     for iteration in range(1, max_iter + 1):
         active, settled = models.where("NOT DONE"), models.where("DONE")
-        rows = points
-        if batch_size:
-            chance = F.lit(float(batch_size)) / F.col("N_POINTS")
-            rows = points.join(limits.select("SEGMENT_KEY", "N_POINTS"), "SEGMENT_KEY").where(
-                uniform(seed, F.lit("batch"), F.lit(iteration), F.col("POINT_ID")) < chance).drop("N_POINTS")
-        done = F.lit(iteration == max_iter) if batch_size else F.col("SHIFT") <= F.col("TOL")
-        stepped = (
-            lloyd_step(rows, active, dims, bool(batch_size), clusters_max)
-            .withColumns({"DONE": done, "ITERATIONS": F.lit(iteration)})
-            .select(*models.columns)
-        )
+        if carry_bounds:
+            state = stage(kc.carried_sums(state, active), "bounds")
+            parts = state.select("SEGMENT_KEY", F.inline("SUMS"))
+            cost = state.groupBy("SEGMENT_KEY").agg(F.sum("DISTANCES").alias("DISTANCES"))
+            spent = stage((cost if spent is None else spent.unionByName(cost)).groupBy("SEGMENT_KEY").agg(
+                F.sum("DISTANCES").alias("DISTANCES")), "distances")
+        else:
+            parts = kc.chunk_sums(chunks, active)
+        stepped = kc.moved(active, kc.merged_means(parts, dims), dims).withColumns(
+            {"DONE": F.col("SHIFT") <= F.col("TOL"), "ITERATIONS": F.lit(iteration)}).select(*models.columns)
         moving = Observation()
         models = stage(
             stepped.unionByName(settled).observe(moving, F.count_if(~F.col("DONE")).alias("n")), "models")
         if moving.get["n"] == 0:
             break
-    return best_restart(points, models, dims, clusters_max)
+    result = models.select(*MODEL, "CENTERS", "ITERATIONS")
+    return result.withColumn("DISTANCES", F.lit(None).cast("long")) if spent is None else result.join(spent, "SEGMENT_KEY")
 
 
-def best_restart(points: DataFrame, models: DataFrame, dims: int, most: int | None = None) -> DataFrame:
+def fit(
+    points: DataFrame, candidates: DataFrame, dims: int, clusters_max: int = 10, restarts: int = 10, seed: int = 42,
+    max_iter: int = 300, tol: float = 1e-4, batch_size: int = 1024, mini_batch_over: int | None = 20_000,
+    chunk_rows: int | None = None, carry_bounds: bool = False,
+) -> DataFrame:
+    """Best model per (SEGMENT_KEY, K): CENTERS, INERTIA, ITERATIONS, RESTART.
+
+    `points` is a staged weighted_points table, `candidates` has SEGMENT_KEY, K_LO, K_HI. Segments with more than
+    mini_batch_over rows (None: never) are fitted on max_iter mini-batches of about batch_size rows, drawn once; of the
+    others those of one chunk (chunk_rows points) are iterated to the end in a task, and larger ones round by round.
+    """
+    chunk_rows = chunk_rows or max(256, min(20_000, (4 << 20) // (8 * (dims + 2))))
+    plan = kc.Plan(clusters_max, restarts, seed, max_iter, oversample=2 * clusters_max)
+    wanted = candidates.where("K_HI >= K_LO").select("SEGMENT_KEY", "K_LO", "K_HI")
+    kind = F.when(F.col("N") > (mini_batch_over if mini_batch_over is not None else float("inf")), "batch").when(
+        F.col("CHUNKS") == 1, "small").otherwise("large")
+    chunks = stage(kc.packed(points, chunk_rows).withColumn("KIND", kind), "chunks", row_group_bytes=16 << 20)
+    kinds = chunks.select("SEGMENT_KEY", "KIND").distinct().join(wanted, "SEGMENT_KEY")
+    counts = {r["KIND"]: r["count"] for r in kinds.groupBy("KIND").count().collect()}  # three rows
+    parts = []
+    if "small" in counts:
+        parts.append(kc.fit_small(chunks.where("KIND = 'small'"), wanted, counts["small"], plan, tol))
+    shared = chunks.where("KIND <> 'small'").join(kinds.select("SEGMENT_KEY"), "SEGMENT_KEY")
+    if counts.keys() - {"small"}:
+        several = wanted.join(kinds.where("KIND <> 'small'").select("SEGMENT_KEY", "KIND"), "SEGMENT_KEY")
+        seeds = stage(kc.seed_large(shared, several, plan, dims).join(several.select("SEGMENT_KEY", "KIND"), "SEGMENT_KEY"), "seeds")
+        fitted = []
+        if "large" in counts:
+            limits = stage(tolerances(points, tol, dims), "tolerances")
+            fitted.append(iterate(
+                shared.where("KIND = 'large'"), seeds.where("KIND = 'large'").drop("KIND"), limits, dims, max_iter, carry_bounds).drop("DISTANCES"))
+        if "batch" in counts:
+            fitted.append(kc.fit_mini_batch(shared.where("KIND = 'batch'"), seeds.where("KIND = 'batch'").drop("KIND"), batch_size, plan))
+        made = stage(reduce(DataFrame.unionByName, fitted), "made")
+        parts.append(made.join(kc.inertias(shared, made), MODEL))
+    if not parts:
+        return points.sparkSession.createDataFrame([], kc._FITTED)
+    return best_restart(stage(reduce(DataFrame.unionByName, parts), "fits"))
+
+
+def best_restart(models: DataFrame) -> DataFrame:
     """Lowest inertia per (segment, k); the smaller restart number wins a tie."""
-    inertia = assign(points, models, dims, most).groupBy(*MODEL).agg(F.sum(F.col("W") * F.col("D2")).alias("INERTIA"))
     order = Window.partitionBy("SEGMENT_KEY", "K").orderBy(F.round("INERTIA", 9), "RESTART")
-    return (
-        models.join(inertia, MODEL)
-        .withColumn("__rank", F.row_number().over(order)).where("__rank = 1")
-        .select(*MODEL, "CENTERS", "INERTIA", "ITERATIONS")
-    )
+    return models.withColumn("__rank", F.row_number().over(order)).where("__rank = 1").select(
+        *MODEL, "CENTERS", "INERTIA", "ITERATIONS")
+
+
+def check(points: DataFrame, models: DataFrame, dims: int, tol: float) -> DataFrame:
+    """SEGMENT_KEY, K, ROWS, INERTIA_AGREES, SETTLED, FALLS of fitted models, by one exact step over all points.
+
+    INERTIA_AGREES: the recorded inertia is that of the centres. SETTLED: the step moves the centres by no more than a
+    settled model's (ITERATIONS of models that were stopped are not looked at). FALLS: a model has no more inertia than
+    that of the next smaller k.
+    """
+    sums = cluster_sums(assign(points, models, dims), dims)
+    step = sums.groupBy(*MODEL).agg(
+        F.sum("N").alias("ROWS"), F.sum("INERTIA").alias("MEASURED"),
+        F.map_from_entries(F.collect_list(F.struct("LABEL", "MEAN"))).alias("MEANS"))
+    limits = tolerances(points, tol, dims)
+    judged = kc.moved(models, step.select(*MODEL, "MEANS"), dims).select(*MODEL, "INERTIA", "SHIFT").join(
+        step.drop("MEANS"), MODEL).join(limits, "SEGMENT_KEY")
+    smaller = F.lag("INERTIA").over(Window.partitionBy("SEGMENT_KEY").orderBy("K"))
+    return judged.select(
+        "SEGMENT_KEY", "K", "ROWS",
+        (F.abs(F.col("INERTIA") - F.col("MEASURED")) <= 1e-6 * (1 + F.col("MEASURED"))).alias("INERTIA_AGREES"),
+        (F.col("SHIFT") <= F.col("TOL") * 1.000001 + 1e-12).alias("SETTLED"),
+        F.coalesce(F.col("INERTIA") <= smaller * 1.000001, F.lit(True)).alias("FALLS"))
 
 
 def label_points(points: DataFrame, models: DataFrame, dims: int | None) -> DataFrame:

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from tierloom.sources.staging import stage, with_size_check
 
 MODEL = ["SEGMENT_KEY", "K", "RESTART"]
-_CENTERS = pa.list_(pa.list_(pa.float64()))
+_VECTOR = pa.list_(pa.float64())
+_CENTERS = pa.list_(_VECTOR)
 # Bounds are compared with this much room, so that rounding never skips a point that might change.
 _ROOM = 1e-9
 
@@ -226,8 +227,8 @@ def _nested(column: pa.Array) -> np.ndarray:
 _FITTED = "SEGMENT_KEY string, K int, RESTART int, CENTERS array<array<double>>, INERTIA double, ITERATIONS int"
 
 
-def fit_small(chunks: DataFrame, candidates: DataFrame, plan: Plan, tol: float) -> DataFrame:
-    """All models of the segments that are one chunk. candidates: SEGMENT_KEY, K_LO, K_HI."""
+def fit_small(chunks: DataFrame, candidates: DataFrame, segments: int, plan: Plan, tol: float) -> DataFrame:
+    """All models of `segments` segments that are one chunk each. candidates: SEGMENT_KEY, K_LO, K_HI."""
 
     def work(batches):
         for row in _rows(batches):
@@ -239,14 +240,14 @@ def fit_small(chunks: DataFrame, candidates: DataFrame, plan: Plan, tol: float)
                      pa.array([c.tolist() for c in centres], _CENTERS), pa.array(inertia), pa.array(iterations, pa.int32())],
                     ["SEGMENT_KEY", "K", "RESTART", "CENTERS", "INERTIA", "ITERATIONS"])
 
-    own = chunks.where("CHUNKS = 1").join(with_size_check(candidates.select("SEGMENT_KEY", "K_LO", "K_HI")), "SEGMENT_KEY")
-    # A segment is work for seconds, so segments are spread over as many tasks as there are.
-    return own.select("SEGMENT_KEY", "ITEMS", "K_LO", "K_HI").repartition(F.col("SEGMENT_KEY")).mapInArrow(work, _FITTED)
+    own = chunks.join(with_size_check(candidates.select("SEGMENT_KEY", "K_LO", "K_HI")), "SEGMENT_KEY")
+    # A segment can be work for seconds: a number that is given keeps small partitions from being merged into one task.
+    parts = max(2 * chunks.sparkSession.sparkContext.defaultParallelism, segments // 32)
+    return own.select("SEGMENT_KEY", "ITEMS", "K_LO", "K_HI").repartition(parts, "SEGMENT_KEY").mapInArrow(work, _FITTED)
 
 
 def seed_large(chunks: DataFrame, candidates: DataFrame, plan: Plan, dims: int) -> DataFrame:
     """MODEL and CENTERS for segments of several chunks, by passes over all chunks."""
-    spark = chunks.sparkSession
     vectors = "array<array<double>>"
     keys = candidates.select("SEGMENT_KEY", "K_LO", "K_HI")
     own = chunks.select("SEGMENT_KEY", "ITEMS").join(with_size_check(keys.select("SEGMENT_KEY")), "SEGMENT_KEY")
@@ -261,7 +262,7 @@ def seed_large(chunks: DataFrame, candidates: DataFrame, plan: Plan, dims: int)
                     key, z = race(points, known, take, plan, restart, number)
                     yield pa.RecordBatch.from_arrays(
                         [row.column("SEGMENT_KEY").take(pa.array([0] * len(key), pa.int64())), pa.array([restart] * len(key), pa.int32()),
-                         pa.array(key), pa.array(z.tolist(), _CENTERS)], ["SEGMENT_KEY", "RESTART", "DRAW", "Z"])
+                         pa.array(key), pa.array(z.tolist(), _VECTOR)], ["SEGMENT_KEY", "RESTART", "DRAW", "Z"])
         return work
 
     for number in range(plan.passes + 1):
@@ -305,7 +306,6 @@ def seed_large(chunks: DataFrame, candidates: DataFrame, plan: Plan, dims: int)
                 [*MODEL, "CENTERS"])
 
     sets = drawn.select("SEGMENT_KEY", F.posexplode("DRAWN").alias("AT", "SET")).withColumn("RESTART", F.col("AT") + 1).drop("AT")
-    del spark
     return sets.join(weights, ["SEGMENT_KEY", "RESTART"]).join(keys, "SEGMENT_KEY").select(
         "SEGMENT_KEY", "RESTART", "SET", "WEIGHTS", "K_LO", "K_HI").mapInArrow(
         reduce, f"SEGMENT_KEY string, K int, RESTART int, CENTERS {vectors}")
@@ -413,6 +413,18 @@ def inertias(chunks: DataFrame, models: DataFrame) -> DataFrame:
         F.sum("N").alias("INERTIA"))
 
 
+def _poisson(rate: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """A Poisson number of each rate from one uniform number; the rate itself where it is large."""
+    times = np.zeros(len(rate), dtype=np.int64)
+    chance = np.exp(-np.minimum(rate, 500))
+    upto = chance.copy()
+    while (more := (u >= upto) & (chance > 1e-18) & (rate <= 500)).any():
+        times += more
+        chance = np.where(more, chance * rate / np.maximum(times, 1), chance)
+        upto = np.where(more, upto + chance, upto)
+    return np.where(rate > 500, np.round(rate).astype(np.int64), times)
+
+
 def mini_batches(chunks: DataFrame, batch_size: int, plan: Plan) -> DataFrame:
     """SEGMENT_KEY, BATCH, H, Z: about batch_size points of a segment for each of max_iter batches, drawn with replacement."""
 
@@ -420,12 +432,7 @@ def mini_batches(chunks: DataFrame, batch_size: int, plan: Plan) -> DataFrame:
         for row in _rows(batches):
             points, n = Points.of(row.column("ITEMS")), row.column("N")[0].as_py()
             rate = plan.max_iter * batch_size * points.w / n
-            # How often a point is drawn: Poisson, from one uniform number a point.
-            left, times, chance = draws(points.h, plan.seed, -1), np.zeros(len(points.h), dtype=np.int64), np.exp(-rate)
-            while (more := left >= chance).any():
-                left = np.where(more, left - chance, left)
-                times += more
-                chance = np.where(more, chance * rate / np.maximum(times, 1), np.inf)
+            times = _poisson(rate, draws(points.h, plan.seed, -1))
             at = np.repeat(np.arange(len(times)), times)
             nth = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
             batch = np.empty(len(at), dtype=np.int64)
@@ -433,7 +440,7 @@ def mini_batches(chunks: DataFrame, batch_size: int, plan: Plan) -> DataFrame:
                 batch[nth == i] = (draws(points.h[at[nth == i]], plan.seed, -2, i) * plan.max_iter).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [row.column("SEGMENT_KEY").take(pa.array(np.zeros(len(at), dtype=np.int64))), pa.array(batch),
-                 pa.array(points.h[at]), pa.array(points.z[at].tolist(), _CENTERS)], ["SEGMENT_KEY", "BATCH", "H", "Z"])
+                 pa.array(points.h[at]), pa.array(points.z[at].tolist(), _VECTOR)], ["SEGMENT_KEY", "BATCH", "H", "Z"])
 
     return chunks.select("SEGMENT_KEY", "N", "ITEMS").mapInArrow(work, "SEGMENT_KEY string, BATCH long, H long, Z array<double>")
 
@@ -460,12 +467,10 @@ class Running:
 def fit_mini_batch(chunks: DataFrame, seeds: DataFrame, batch_size: int, plan: Plan) -> DataFrame:
     """MODEL, CENTERS, ITERATIONS: every batch of a segment moves all its models; a segment is one task, which holds one
     batch at a time and meets max_iter batches whatever the segment's size."""
-    kind = "SEGMENT_KEY string, BATCH long, H long, Z array<double>, MODELS array<struct<K:int, RESTART:int, CENTERS:array<array<double>>>>"
     models = _packed_models(seeds).select(
         "SEGMENT_KEY", F.lit(-1).cast("long").alias("BATCH"), F.lit(0).cast("long").alias("H"), F.lit(None).cast("array<double>").alias("Z"), "MODELS")
     drawn = mini_batches(chunks, batch_size, plan).withColumn("MODELS", F.lit(None).cast(models.schema["MODELS"].dataType))
     streams = models.unionByName(drawn).repartition("SEGMENT_KEY").sortWithinPartitions("SEGMENT_KEY", "BATCH", "H")
-    del kind
 
     def work(batches):
         key, running, waiting, of = None, [], [], None

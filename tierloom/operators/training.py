@@ -28,7 +28,8 @@ class TrainingOptions:
     seed: int = 42
     max_iter: int = 300
     tol: float = 1e-4
-    batch_size: int = 0
+    batch_size: int = 1024
+    mini_batch_over: int | None = 20_000
     quantile_accuracy: int = 10_000
 
 
@@ -55,8 +56,7 @@ def training_points(customers: DataFrame, opts: TrainingOptions) -> tuple[DataFr
         usable = usable.withColumns({f: F.lit(None).cast("double") for f in cust.missing_features(rows, opts.features)})
     train = usable.select("CUSTOMER_ID", "SEGMENT_KEY", *opts.features)
     scaler = stage(scaling.robust_scaler(train, opts.features, opts.quantile_accuracy), "scaler")
-    points = stage(kmeans.weighted_points(scaling.scaled_rows(train, scaler, opts.features)), "weighted")
-    points = stage(kmeans.clustered_layout(points), "points", row_group_bytes=4 << 20)
+    points = stage(kmeans.weighted_points(scaling.scaled_rows(train, scaler, opts.features)), "points")
     return ready, scaler, points
 
 
@@ -65,7 +65,7 @@ def fit_segments(customers: DataFrame, opts: TrainingOptions = TrainingOptions()
     ready, scaler, points = training_points(customers, opts)
     models = kmeans.fit(
         points, ready.where("STATUS = 'READY'"), len(opts.features), opts.clusters_max, opts.restarts, opts.seed,
-        opts.max_iter, opts.tol, opts.batch_size)
+        opts.max_iter, opts.tol, opts.batch_size, opts.mini_batch_over)
     return TrainedSegments(ready, scaler, points, stage(models, "fitted"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from tierloom.functions.columns import model_key
 from tierloom.operators import customers as cust
 from tierloom.operators import drift, explain, kmeans, quality, scaling, scoring, segments, selection, spend, training
 from tierloom.operators import silhouette as measure
+from tierloom.operators import silhouette_bounds as bounded_measure
 from tierloom.operators.topn import top_n_per_group
 from tierloom.plans import fixtures as fx
 from tierloom.plans.fixtures import orders_input, rounded
@@ -308,6 +310,22 @@ def silhouette(spark, sf_dir):
     return rounded(_fixed(spark, sf_dir)[1].scores())
 
 
+BOUNDS_OPENNESS = 0.25
+
+
+@query
+def silhouette_bounds(spark, sf_dir):
+    """Whether the certified bounds hold the exact value and are as narrow as the openness promises."""
+    fixed = _fixed(spark, sf_dir)[1]
+    labelled = stage(kmeans.label_points(fixed.points, fixed.models, len(DEFAULT_FEATURES)), "labelled-points")
+    bounds = bounded_measure.silhouette_bounds(labelled, BOUNDS_OPENNESS)
+    # Every sum is off by a factor of root(1 + openness^2) at most.
+    most = math.sqrt(1 + BOUNDS_OPENNESS ** 2)
+    return rounded(fixed.scores().join(bounds, ["SEGMENT_KEY", "K"]).select(
+        "SEGMENT_KEY", "K", "SILHOUETTE", F.col("SILHOUETTE").between(F.col("LOWER"), F.col("UPPER")).alias("HOLDS"),
+        (F.col("UPPER") - F.col("LOWER") <= most - 1 / most + 1e-8).alias("NARROW")))
+
+
 @query
 def best_k(spark, sf_dir):
     return rounded(selection.best_k(_fixed(spark, sf_dir)[1].scores()))
@@ -344,22 +362,33 @@ def accepted_models(spark, sf_dir):
 
 
 def _training_options(**changes):
-    return training.TrainingOptions(**{
-        "segment_col": fx.COARSE, "clusters_max": 4, "min_customers": fx.MIN_CUSTOMERS, "restarts": 2,
-        "max_iter": 20, **changes})
+    """The defaults: 2 to 10 clusters, 10 restarts, 300 rounds, mini-batches of 1,024 above 20,000 rows."""
+    return training.TrainingOptions(segment_col=fx.COARSE, min_customers=fx.MIN_CUSTOMERS, **changes)
+
+
+def _fitted(spark, sf_dir, **changes):
+    customers = stage(fx.customers(orders_input(spark, sf_dir)), "customers")
+    return training.fit_segments(customers, _training_options(**changes))
 
 
 @query
 def kmeans_fit(spark, sf_dir):
-    customers = stage(fx.customers(orders_input(spark, sf_dir)), "customers")
-    fitted = training.fit_segments(customers, _training_options()).models
+    fitted = _fitted(spark, sf_dir).models
     return rounded(fitted.select("SEGMENT_KEY", "K", "RESTART", "INERTIA", "ITERATIONS"))
 
 
+@query
+def kmeans_check(spark, sf_dir):
+    """Every fitted model judged by one exact step over all points."""
+    opts = _training_options()
+    trained = _fitted(spark, sf_dir)
+    return kmeans.check(trained.points, trained.models, len(opts.features), opts.tol)
+
+
 @query
 def kmeans_minibatch(spark, sf_dir):
-    customers = stage(fx.customers(orders_input(spark, sf_dir)), "customers")
-    fitted = training.fit_segments(customers, _training_options(batch_size=256, max_iter=8)).models
+    """All segments by mini-batches, as if they were large."""
+    fitted = _fitted(spark, sf_dir, mini_batch_over=0).models
     return rounded(fitted.select("SEGMENT_KEY", "K", "RESTART", "INERTIA", "ITERATIONS"))
 
 
