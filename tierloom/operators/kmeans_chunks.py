@@ -218,6 +218,11 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(i, 1)
 
 
+def _vectors(z: np.ndarray) -> pa.Array:
+    """A list column with a vector a row."""
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(z) + 1, dtype=np.int32) * z.shape[1]), pa.array(np.ascontiguousarray(z).ravel()))
+
+
 def _nested(column: pa.Array) -> np.ndarray:
     """A column with one list of vectors."""
     rows = column.flatten()
@@ -262,7 +267,7 @@ def seed_large(chunks: DataFrame, candidates: DataFrame, plan: Plan, dims: int)
                     key, z = race(points, known, take, plan, restart, number)
                     yield pa.RecordBatch.from_arrays(
                         [row.column("SEGMENT_KEY").take(pa.array([0] * len(key), pa.int64())), pa.array([restart] * len(key), pa.int32()),
-                         pa.array(key), pa.array(z.tolist(), _VECTOR)], ["SEGMENT_KEY", "RESTART", "DRAW", "Z"])
+                         pa.array(key), _vectors(z)], ["SEGMENT_KEY", "RESTART", "DRAW", "Z"])
         return work
 
     for number in range(plan.passes + 1):
@@ -426,67 +431,88 @@ def _poisson(rate: np.ndarray, u: np.ndarray) -> np.ndarray:
 
 
 def mini_batches(chunks: DataFrame, batch_size: int, plan: Plan) -> DataFrame:
-    """SEGMENT_KEY, BATCH, H, Z: about batch_size points of a segment for each of max_iter batches, drawn with replacement."""
+    """SEGMENT_KEY, BATCH, H, Z, TIMES: about batch_size rows of a segment (all it has, if fewer) for each of max_iter
+    batches, drawn with replacement; TIMES says how often a point was drawn."""
 
     def work(batches):
         for row in _rows(batches):
             points, n = Points.of(row.column("ITEMS")), row.column("N")[0].as_py()
-            rate = plan.max_iter * batch_size * points.w / n
+            rate = plan.max_iter * min(batch_size, n) * points.w / n
             times = _poisson(rate, draws(points.h, plan.seed, -1))
             at = np.repeat(np.arange(len(times)), times)
             nth = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
             batch = np.empty(len(at), dtype=np.int64)
             for i in range(int(times.max(initial=0))):
                 batch[nth == i] = (draws(points.h[at[nth == i]], plan.seed, -2, i) * plan.max_iter).astype(np.int64)
+            drawn, times = np.unique(at * plan.max_iter + batch, return_counts=True)
+            at, batch = drawn // plan.max_iter, drawn % plan.max_iter
             yield pa.RecordBatch.from_arrays(
                 [row.column("SEGMENT_KEY").take(pa.array(np.zeros(len(at), dtype=np.int64))), pa.array(batch),
-                 pa.array(points.h[at]), pa.array(points.z[at].tolist(), _VECTOR)], ["SEGMENT_KEY", "BATCH", "H", "Z"])
+                 pa.array(points.h[at]), _vectors(points.z[at]), pa.array(times.astype(np.float64))],
+                ["SEGMENT_KEY", "BATCH", "H", "Z", "TIMES"])
 
-    return chunks.select("SEGMENT_KEY", "N", "ITEMS").mapInArrow(work, "SEGMENT_KEY string, BATCH long, H long, Z array<double>")
+    return chunks.select("SEGMENT_KEY", "N", "ITEMS").mapInArrow(
+        work, "SEGMENT_KEY string, BATCH long, H long, Z array<double>, TIMES double")
 
 
 @dataclass
 class Running:
-    """Centres of one model while mini-batches pass; seen: points each centre has taken so far."""
+    """Centres of all models of one k while mini-batches pass; seen: points each centre has taken so far."""
 
-    centres: np.ndarray
+    k: int
+    restarts: list[int]
+    centres: np.ndarray  # restart x k x dims
     seen: np.ndarray = field(init=False)
 
     def __post_init__(self):
-        self.seen = np.zeros(len(self.centres))
+        self.seen = np.zeros(self.centres.shape[:2])
 
-    def take(self, z: np.ndarray) -> None:
-        label = nearest(z, self.centres)[0]
-        n = np.bincount(label, minlength=len(self.centres))
-        total = np.stack([np.bincount(label, weights=z[:, j], minlength=len(self.centres)) for j in range(z.shape[1])], axis=1)
+    @staticmethod
+    def of(models: list[dict]) -> list[Running]:
+        by_k: dict[int, list[dict]] = {}
+        for m in models:
+            by_k.setdefault(m["K"], []).append(m)
+        return [Running(k, [m["RESTART"] for m in own], np.array([m["CENTERS"] for m in own])) for k, own in by_k.items()]
+
+    def take(self, z: np.ndarray, times: np.ndarray) -> None:
+        runs, k, dims = self.centres.shape
+        far = np.zeros((runs, len(z), k))
+        for j in range(dims):
+            diff = z[None, :, None, j] - self.centres[:, None, :, j]
+            far += diff * diff
+        at = (far.argmin(axis=2) + k * np.arange(runs)[:, None]).ravel()
+        n = np.bincount(at, weights=np.tile(times, runs), minlength=runs * k).reshape(runs, k)
+        total = np.stack([np.bincount(at, weights=np.tile(times * z[:, j], runs), minlength=runs * k).reshape(runs, k) for j in range(dims)], axis=2)
         self.seen += n
-        met = n > 0
-        self.centres[met] += (total[met] - n[met, None] * self.centres[met]) / self.seen[met, None]
+        self.centres += (total - n[..., None] * self.centres) / np.maximum(self.seen, 1)[..., None]
 
 
 def fit_mini_batch(chunks: DataFrame, seeds: DataFrame, batch_size: int, plan: Plan) -> DataFrame:
     """MODEL, CENTERS, ITERATIONS: every batch of a segment moves all its models; a segment is one task, which holds one
     batch at a time and meets max_iter batches whatever the segment's size."""
     models = _packed_models(seeds).select(
-        "SEGMENT_KEY", F.lit(-1).cast("long").alias("BATCH"), F.lit(0).cast("long").alias("H"), F.lit(None).cast("array<double>").alias("Z"), "MODELS")
+        "SEGMENT_KEY", F.lit(-1).cast("long").alias("BATCH"), F.lit(0).cast("long").alias("H"), F.lit(None).cast("array<double>").alias("Z"),
+        F.lit(None).cast("double").alias("TIMES"), "MODELS")
     drawn = mini_batches(chunks, batch_size, plan).withColumn("MODELS", F.lit(None).cast(models.schema["MODELS"].dataType))
-    streams = models.unionByName(drawn).repartition("SEGMENT_KEY").sortWithinPartitions("SEGMENT_KEY", "BATCH", "H")
+    parts = 2 * chunks.sparkSession.sparkContext.defaultParallelism  # given, so that light partitions are not merged
+    streams = models.unionByName(drawn).repartition(parts, "SEGMENT_KEY").sortWithinPartitions("SEGMENT_KEY", "BATCH", "H")
 
     def work(batches):
         key, running, waiting, of = None, [], [], None
 
         def flush():
             if waiting and running:
-                z = np.concatenate(waiting)
-                for _, _, model in running:
-                    model.take(z)
+                z, times = (np.concatenate(x) for x in zip(*waiting, strict=True))
+                for models_of_k in running:
+                    models_of_k.take(z, times)
             waiting.clear()
 
         def result():
             flush()
+            found = [(m.k, restart, np.round(c, 12).tolist()) for m in running for restart, c in zip(m.restarts, m.centres, strict=True)]
+            k, restart, centres = zip(*found, strict=True)
             return pa.RecordBatch.from_arrays(
-                [pa.array([key] * len(running)), pa.array([k for k, _, _ in running], pa.int32()),
-                 pa.array([r for _, r, _ in running], pa.int32()), pa.array([np.round(m.centres, 12).tolist() for _, _, m in running], _CENTERS)],
+                [pa.array([key] * len(k)), pa.array(k, pa.int32()), pa.array(restart, pa.int32()), pa.array(centres, _CENTERS)],
                 [*MODEL, "CENTERS"])
 
         for batch in batches:
@@ -495,8 +521,8 @@ def fit_mini_batch(chunks: DataFrame, seeds: DataFrame, batch_size: int, plan: P
             codes = batch.column("SEGMENT_KEY").dictionary_encode().indices.to_numpy()
             number = batch.column("BATCH").to_numpy()
             cuts = np.flatnonzero((codes[1:] != codes[:-1]) | (number[1:] != number[:-1])) + 1
-            for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
-                part = batch.slice(a, z - a)
+            for a, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+                part = batch.slice(a, end - a)
                 now = part.column("SEGMENT_KEY")[0].as_py(), int(number[a])
                 if now[0] != key:
                     if running:
@@ -507,9 +533,10 @@ def fit_mini_batch(chunks: DataFrame, seeds: DataFrame, batch_size: int, plan: P
                     flush()
                 of = now
                 if now[1] < 0:
-                    running = [(m["K"], m["RESTART"], Running(np.array(m["CENTERS"]))) for m in part.column("MODELS")[0].as_py()]
+                    running = Running.of(part.column("MODELS")[0].as_py())
                 else:
-                    waiting.append(part.column("Z").flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1))
+                    z = part.column("Z").flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
+                    waiting.append((z, part.column("TIMES").to_numpy(zero_copy_only=False)))
         if running:
             yield result()
 
