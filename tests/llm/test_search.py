@@ -101,7 +101,7 @@ def test_edited_passages_of_long_items_are_found(spark, size):
 
 def test_fitted_repetitions_reach_the_target():
     s = dc.Settings()
-    for size in s.sizes(s.piece_words):
+    for size in (n for n in s.sizes(s.piece_words) if n >= s.min_item_words):
         repetitions, _, recall = dc.fitted(size, s.edits(size), s)
         assert recall >= s.target_recall and repetitions <= s.most_repetitions
 
@@ -116,6 +116,25 @@ def test_exact_passages_of_the_tables(spark, sf):
         assert brute_search(item, words) <= int(0.2 * len(item))
 
 
+@pytest.mark.parametrize("unspaced", [False, True])
+def test_short_items_are_found_exactly(spark, unspaced):
+    """Items of one to four words, and sentences of a script without spaces, against every stretch of every text."""
+    r = random.Random(unspaced)
+    words = [chr(0x3042 + 2 * i) for i in range(20)] if unspaced else [f"w{i}" for i in range(20)]
+    glue = "" if unspaced else " "
+    items = [(i, [r.choice(words) for _ in range(1 + i % 4)]) for i in range(40)] + [(40, words[:12])]
+    docs = [(d, [r.choice(words) for _ in range(r.randint(0, 12))]) for d in range(150)]
+    docs.append((150, words[3:5] + words[:12] + words[7:9]))
+    found = dc.best_places(dc.find(
+        spark.createDataFrame([(d, f"{glue.join(t)}.") for d, t in docs], "doc_id long, text string"),
+        spark.createDataFrame([(i, glue.join(t).upper()) for i, t in items], "item_id long, text string"))).collect()
+    want = {
+        (d, i): next(a for a in range(len(t)) if t[a:a + len(x)] == x)
+        for d, t in docs for i, x in items if len(x) < 5 and any(t[a:a + len(x)] == x for a in range(len(t)))}
+    assert {(f.doc_id, f.item_id): f.first_word for f in found if f.item_words < 5} == want
+    assert all(f.edits == 0 for f in found if f.item_words < 5) and (150, 40) in {(f.doc_id, f.item_id) for f in found}
+
+
 def test_decontamination_odd_rows(spark, odd, none):
     items = spark.createDataFrame(
         [(1, None), (2, ""), (3, "too few words"), (None, prose(1, 40)), (5, prose(1, 40)), (5, "a a a a a a")],

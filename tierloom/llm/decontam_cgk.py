@@ -17,7 +17,10 @@ its words is at most floor(max_edit_share * item words) word edits away from the
    merged to one region before, so a passage is joined once.
 5. Every pair of region and item is checked exactly, by Myers' bit-vector search for the item anywhere in the region.
 
-Cases: a null or empty text holds no item; items of fewer than min_item_words words, and null ones, take no part;
+Items of fewer than min_item_words words may have no edits, so their windows are looked up whole, by one hash of all their
+words, and go the same way from there. In scripts that write no spaces every character is a word.
+
+Cases: a null or empty text holds no item; null items, and those without a word, take no part;
 texts are read whole, whatever their length; repeated rows each get their rows; repeated items each count; a null
 item_id or doc_id is kept; empty tables give an empty result.
 """
@@ -25,6 +28,8 @@ item_id or doc_id is kept; empty tables give an empty result.
 from __future__ import annotations
 
 import math
+import re
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -64,10 +69,12 @@ class Settings:
         return math.floor(self.max_edit_share * words + 1e-9)
 
     def sizes(self, longest: int) -> list[int]:
+        """Window sizes: those of items that are matched whole, then those of pieces."""
+        whole = list(range(1, min(self.min_item_words, longest + 1)))
         out = [self.min_item_words]
         while out[-1] < longest:
             out.append(max(out[-1] + 1, int(out[-1] * self.size_step)))
-        return [s for s in out if s <= max(longest, self.min_item_words)]
+        return whole + [s for s in out if s <= longest]
 
     def size_of(self, words: int, sizes: list[int]) -> int:
         return max(s for s in sizes if s <= words)
@@ -79,6 +86,10 @@ class Settings:
         return [(a, z - a) for a, z in zip(cut, cut[1:], strict=False)]
 
 
+# Scripts written without spaces: Thai and Lao, Burmese, Khmer, kana, Han (fixed ranges of the character tables).
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
+
 def word_hash(piece: str) -> int:
     word = piece.lower().strip(_OUTER)
     return (xxhash.xxh64_intdigest(word.encode(), 42) or 1) if word else 0
@@ -89,6 +100,8 @@ class WordHasher:
         self.of_piece = BoundedCache(word_hash)
 
     def words(self, text: str) -> np.ndarray:
+        if not text.isascii() and _UNSPACED.search(text):
+            text = _UNSPACED.sub(r" \g<0> ", text)
         found = np.array([self.of_piece[p] for p in white_space_tokens(text)], dtype=np.uint64)
         return found[found != _NO_WORD]
 
@@ -156,6 +169,19 @@ class Walk:
         return out
 
 
+class Whole:
+    """Stands for a walk where windows are matched whole: one key, of all words."""
+
+    def __init__(self, size: int):
+        self.size = size
+
+    def keys(self, windows: np.ndarray) -> np.ndarray:
+        key = np.full(len(windows), self.size << 8, dtype=np.uint64)
+        for step in range(self.size):
+            key = mix(key ^ windows[:, step])
+        return key[:, None]
+
+
 def edited_pieces(size: int, edits: int, pieces: int) -> tuple[np.ndarray, np.ndarray]:
     """pieces x size random words, and pieces x start x size: the windows around them after `edits` random edits, of
     all kinds in the even pieces and insertions only in the odd ones."""
@@ -178,7 +204,7 @@ _FITTED: dict[tuple[int, int, float, int], tuple[int, int, float]] = {}
 def fitted(size: int, edits: int, settings: Settings, pieces: int = 300) -> tuple[int, int, float]:
     """(repetitions, samples, measured recall): the fewest repetitions that find pieces of `size` words with `edits`
     edits at the target recall; with as many samples as that allows, since they keep other windows out. If none
-    reaches the target, the ones that come nearest."""
+    reaches the target, the ones that come nearest, with a warning that states the recall."""
     name = (size, edits, settings.target_recall, settings.most_repetitions)
     if name not in _FITTED:
         plain, windows = edited_pieces(size, edits, pieces)
@@ -193,6 +219,8 @@ def fitted(size: int, edits: int, settings: Settings, pieces: int = 300) -> tupl
                 best = (enough + 1, samples, float(found[enough]))
             if found[-1] >= settings.target_recall:
                 break
+        if best[2] < settings.target_recall:
+            warnings.warn(f"windows of {size} words with {edits} edits: recall {best[2]:.3f} at {best[0]} repetitions", stacklevel=2)
         _FITTED[name] = best
     return _FITTED[name]
 
@@ -278,8 +306,11 @@ class Index:
         for size, used in self.used.items():
             edits, least = used.edits, used.pairs - 2 * used.edits
             starts = np.flatnonzero(of_text[:len(words) - size - edits] >= 0)
-            starts = starts[upto[starts + size + edits - 1] - upto[starts] >= least]
-            starts = self.varied(pairs, starts, size + edits, least)
+            if not edits and not used.samples:  # matched whole: the last word must be of the same text
+                starts = starts[of_text[starts + size - 1] == of_text[starts]]
+            else:
+                starts = starts[upto[starts + size + edits - 1] - upto[starts] >= least]
+                starts = self.varied(pairs, starts, size + edits, least)
             walk = walk_of(size, used.repetitions, used.samples)
             windows = np.lib.stride_tricks.sliding_window_view(words, size)
             for i in range(0, len(starts), 4096):
@@ -308,7 +339,9 @@ class Index:
 _WALKS: dict[tuple[int, int, int], Walk] = {}
 
 
-def walk_of(size: int, repetitions: int, samples: int) -> Walk:
+def walk_of(size: int, repetitions: int, samples: int) -> Walk | Whole:
+    if not samples:
+        return Whole(size)
     found = _WALKS.get((size, repetitions, samples))
     if found is None:
         found = _WALKS[size, repetitions, samples] = Walk(size, repetitions, samples)
@@ -355,7 +388,7 @@ def find(
 
     item_type = benchmark.schema["item_id"].dataType.simpleString()
     items = stage(benchmark.select(column_of(benchmark, "text"), column_of(benchmark, "item_id")).mapInArrow(
-        coded, f"words array<long>, item_id {item_type}").where(F.size("words") >= settings.min_item_words).withColumn(
+        coded, f"words array<long>, item_id {item_type}").where(F.size("words") > 0).withColumn(
         "item", F.monotonically_increasing_id()), "items")
     longest = items.agg(F.max(F.size("words"))).first()[0]
     if longest is None:
@@ -404,7 +437,8 @@ def find(
         "size").agg(F.min("pairs").alias("pairs"), *[F.max(c).alias(c) for c in ("edits", "before", "after")]).orderBy(
         "size").collect()  # one row per window size
     windows = {
-        r["size"]: Window(r["pairs"], r["edits"], r["before"], r["after"], *fitted(r["size"], r["edits"], settings)[:2])
+        r["size"]: Window(r["pairs"], r["edits"], r["before"], r["after"], *(
+            fitted(r["size"], r["edits"], settings)[:2] if r["size"] >= settings.min_item_words else (1, 0)))
         for r in needs}
     keys = stage(items.select("item", "words").mapInArrow(item_keys, "item long, key long").distinct(), "item-keys")
     index = Index(
