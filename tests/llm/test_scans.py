@@ -1,3 +1,5 @@
+import time
+import string
 """Language, licence, secret and toxicity scans against brute force, and on odd rows."""
 
 import hashlib
@@ -169,15 +171,48 @@ def labelled_texts(n, seed):
     return texts
 
 
-def test_network_learns_and_keeps_recall(spark):
-    docs = spark.createDataFrame(list(enumerate(labelled_texts(300, 1))), "doc_id long, text string")
-    net = secret_cnn.fit(docs, recall=0.95)
-    base, every = secret_cnn.spans_of(labelled_texts(100, 2), net)
-    assert sum(map(len, base)) == 100 and sum(s.kind == "cnn" for x in every for s in x) <= 3
-    # No pattern takes these: the sign between is another one, and a letter beyond f breaks the run.
-    hidden = [f'he token == "{i}a3f09b7c12{i}xd4e5f60718a9b0{i}c1d2ab" of' for i in range(10)]
-    found = secret_cnn.spans_of(hidden, net)
-    assert not any(found[0]) and sum(map(len, found[1])) >= 5
+def planted(n, seed, texts):
+    """Texts with a secret each that no pattern takes: other separators, alphabets and telling words than theirs."""
+    r = random.Random(seed)
+    figures, letters = string.digits, string.ascii_letters
+    for _ in range(n):
+        value = r.choice([
+            "".join(r.choices(letters + figures, k=r.randint(16, 40))), "".join(r.choices(letters, k=r.randint(14, 30))),
+            "".join(r.choices(string.ascii_uppercase + figures, k=20)), r.choice(["hunter", "winter"]) + f"{r.randint(10, 99)}x"])
+        lead = r.choice(["pwd ", "Bearer ", "key: ", "passphrase ", "auth token ", "login ", "token == "])
+        yield f"{r.choice(texts)[:300]} {lead}{value} {r.choice(texts)[:60]}", value
+
+
+def test_network_finds_what_no_pattern_takes(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    texts = [r.text or "" for r in docs.orderBy("doc_id").collect()]
+    net = secret_cnn.fit(docs.where("doc_id % 2 = 0"))
+    held_out = [r.text or "" for r in docs.where("doc_id % 2 = 1").collect()]
+    base, every = secret_cnn.spans_of(held_out, net)
+    assert sum(len(e) > len(b) for b, e in zip(base, every, strict=True)) <= 0.01 * len(held_out)
+    hidden = list(planted(200, 5, [t for t in texts if t]))
+    hidden.append(("he said key: QwErTyUiOpAsDfGhJkLz and pwd hunter2x", "QwErTyUiOpAsDfGhJkLz"))
+    base, every = secret_cnn.spans_of([t for t, _ in hidden], net)
+    met = [any(t[s.start:s.end] in v or v in t[s.start:s.end] for s in spans) for (t, v), spans in zip(hidden, every, strict=True)]
+    by_pattern = [any(v in t[s.start:s.end] for s in spans) for (t, v), spans in zip(hidden, base, strict=True)]
+    assert sum(by_pattern) < 20 and sum(met) >= 0.9 * len(hidden)
+    assert all(set(b) <= set(e) for b, e in zip(base, every, strict=True))
+
+
+def test_covered_is_any_overlap_and_long_texts_are_linear():
+    r = random.Random(2)
+    spans = secret_cnn.in_order([secret_cnn.Span("hex", a, a + r.randint(1, 30)) for a in r.sample(range(500), 40)])
+    candidates = [(a, a + r.randint(1, 20)) for a in range(0, 520, 3)]
+    assert secret_cnn.covered(candidates, spans) == [any(a < s.end and s.start < z for s in spans) for a, z in candidates]
+    text, start = ("0123456789abcdef" * 2 + " ") * 30_000, time.process_time()
+    assert len(secret_cnn.spans_of([text], None)[0][0]) == 30_000
+    spans, candidates = secret_cnn.find(text)
+    assert all(secret_cnn.covered(candidates, spans)) and time.process_time() - start < 10
+
+
+def test_made_up_windows_show_both_ends():
+    w = secret_cnn.window("ab " + "x" * 100 + "END now", 3, 106)
+    assert len(w) == secret_cnn.WIDTH and b"END" in w and w.endswith(b" now" + bytes(secret_cnn.AFTER - 4))
 
 
 def test_gradients():
@@ -205,7 +240,9 @@ def test_gradients():
 
 
 def test_redaction(odd, none):
-    assert secret_cnn.fit(odd) is None and secret_cnn.fit(none) is None
+    with pytest.warns(UserWarning, match="network is off"):
+        assert secret_cnn.fit(none) is None
+    assert secret_cnn.scan(odd, secret_cnn.fit(odd)).count() == odd.count()
     rows = secret_cnn.redact(odd, None)
     assert rows.columns == odd.columns
     assert sorted(r.text or "" for r in rows.collect()) == sorted(
