@@ -34,6 +34,7 @@ from tierloom.llm.common import (
     texts_of,
     white_space_tokens,
 )
+from tierloom.sources.staging import stage
 
 # The letters that a sign may stand for.
 LEET = {
@@ -322,24 +323,37 @@ def fit(
     # At most about sample_rows rows of two numbers: the bound is what makes this broadcast safe.
     chosen = docs.select(column_of(docs, "doc_id"), column_of(docs, "text")).join(F.broadcast(labels), "doc_id")
 
-    def tables(batches):
+    def restored(batches):
         restore = Restorer(model)
-        seen: Counter = Counter()
         for chunk in text_chunks(batches):
-            toxic = chunk.column(2).to_pylist()
-            for text, t in zip(texts_of(chunk), toxic, strict=True):
-                seen.update((f, t) for f in {f for w in set(restore.words(text)) for f in features(w)})
+            words = [restore.words(text) for text in texts_of(chunk)]
+            yield pa.RecordBatch.from_arrays(
+                [chunk.column(2).cast(pa.int32()), pa.array(words, pa.list_(pa.string()))], names=["toxic", "words"])
+
+    # Decoded once: the rest of the fit reads the words of the bounded sample.
+    sample = stage(chosen.mapInArrow(restored, "toxic int, words array<string>"), "restored-words")
+
+    def few_rows(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, 64):
+                yield batch.slice(i, 64)
+
+    def tables(batches):
+        seen: Counter = Counter()
+        for part in few_rows(batches):
+            for words, t in zip(part.column(1).to_pylist(), part.column(0).to_pylist(), strict=True):
+                seen.update((f, t) for f in {f for w in set(words) for f in features(w)})
         if seen:
             names, kinds = zip(*seen, strict=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names), pa.array(kinds, pa.int32()), pa.array(list(seen.values()), pa.int64())],
                 names=["feature", "toxic", "n"])
 
-    kinds = {r["toxic"]: r["n"] for r in chosen.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    kinds = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = kinds.get(1, 0), kinds.get(0, 0)
     if not bad or not good:
         return None
-    found = chosen.mapInArrow(tables, "feature string, toxic int, n long").groupBy("feature").agg(
+    found = sample.mapInArrow(tables, "feature string, toxic int, n long").groupBy("feature").agg(
         F.sum(F.expr("if(toxic = 1, n, 0)")).alias("a"), F.sum(F.expr("if(toxic = 0, n, 0)")).alias("b")).where(
         F.expr(f"a + b >= {min_docs}"))
     gap = F.expr(f"a * ({good}D - b) - b * ({bad}D - a)")
@@ -352,22 +366,19 @@ def fit(
     empty = ToxicModel(names, np.zeros(len(names)), 0.0)
 
     def entries(batches):
-        restore = Restorer(model)
-        for chunk in text_chunks(batches):
+        for part in few_rows(batches):
             ids, counts, words = [], [], []
-            for text in texts_of(chunk):
-                own = restore.words(text)
+            for own in part.column(1).to_pylist():
                 at = empty.found(own)
                 ids.append(list(at))
                 counts.append(list(at.values()))
                 words.append(len(own))
             yield pa.RecordBatch.from_arrays(
-                [chunk.column(2).cast(pa.int32()), pa.array(ids, pa.list_(pa.int32())),
-                 pa.array(counts, pa.list_(pa.int32())), pa.array(words, pa.int64())],
+                [part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32())), pa.array(words, pa.int64())],
                 names=["toxic", "ids", "counts", "words"])
 
     # Bounded: sample_rows rows with the features of the model.
-    table = chosen.mapInArrow(entries, "toxic int, ids array<int>, counts array<int>, words long").toPandas()
+    table = sample.mapInArrow(entries, "toxic int, ids array<int>, counts array<int>, words long").toPandas()
     size = table["ids"].map(len).to_numpy()
     if not size.sum():
         return ToxicModel({}, np.zeros(0), math.log(bad / good))
