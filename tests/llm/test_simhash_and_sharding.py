@@ -86,8 +86,9 @@ def test_large_shards_of_near_copies(spark):
     assert len({shard.top(i) for i in range(50)}) == 1 and len(links) == 49
 
 
-def test_similar_pairs_of_a_hot_shard_are_found(spark):
-    """5,000 texts that share one least hash, as texts around a template do, and no other."""
+@pytest.mark.parametrize("size", [64 << 20, 40_000])
+def test_similar_pairs_of_a_hot_shard_are_found(spark, size):
+    """5,000 texts that share one least hash, as texts around a template do, and no other; also in blocks of few bytes."""
     import random
 
     import numpy as np
@@ -97,11 +98,11 @@ def test_similar_pairs_of_a_hot_shard_are_found(spark):
         if i % 2 == 0:
             fp, words = r.getrandbits(63), r.sample(range(1 << 31), 18)
         own = np.array(sorted([*words, (1 << 31) + i]), dtype=np.uint32)  # 18 of 20 in common
-        nodes.append((i, i, fp ^ (1 << i % 8), [7, *[4 * i + k for k in range(3)]]))
+        nodes.append((i, i, fp ^ (1 << i % 8), [7, *[4 * i + k for k in range(3)]], 80))
         sets.append((i, bytearray(own.tobytes())))
     found = simhash_bk.similar_links(
-        spark.createDataFrame(nodes, "node long, uid long, fp long, slots array<long>").repartition(4),
-        spark.createDataFrame(sets, "uid long, shingles binary"), 0.8).collect()
+        spark.createDataFrame(nodes, "node long, uid long, fp long, slots array<long>, bytes long").repartition(4),
+        spark.createDataFrame(sets, "uid long, shingles binary"), 0.8, shard_bytes=size).collect()
     assert {frozenset((x.u, x.v)) for x in found} == {frozenset((i, i + 1)) for i in range(0, 5000, 2)}
 
 

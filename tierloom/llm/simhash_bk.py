@@ -309,19 +309,21 @@ class SimilarShard:
 
 def similar_links(
     nodes: DataFrame, sets: DataFrame, least: float, radius: int = SIMILAR_RADIUS, shard_size: int = 2048,
+    shard_bytes: int = 64 << 20,
 ) -> DataFrame:
-    """u, v: links that connect the nodes of equal classes. nodes: node, uid, fp, slots (one row per node; staged);
-    sets: uid, shingles. The sets travel once for each shard or pair of blocks.
+    """u, v: links that connect the nodes of equal classes. nodes: node, uid, fp, slots, bytes (of the set; one row per
+    node; staged); sets: uid, shingles. The sets travel once for each shard or pair of blocks.
 
     Nodes with an equal slot share a shard (at a similarity of 0.8, 99.8 % of the pairs have one). Shards of more than
-    `shard_size` nodes are dealt into blocks of about that many, and every pair of blocks is compared in its own task:
+    `shard_size` nodes or `shard_bytes` of sets are dealt into blocks of about that many, and every pair of blocks is compared in its own task:
     no pair is lost, but the work grows with the square of such a shard.
     """
-    rows = nodes.select("node", F.explode(F.array(*[
+    rows = nodes.select("node", "bytes", F.explode(F.array(*[
         F.xxhash64(F.lit(1 << i), F.col("slots")[i]) for i in range(SLOTS)])).alias("key")).distinct()
-    sizes = stage(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shard-sizes")
-    blocks = F.ceil(F.col("n") / shard_size).cast("int")
-    ready = rows.join(sizes, "key").select("key", "node", blocks.alias("blocks")).select(
+    sizes = stage(rows.groupBy("key").agg(
+        F.count("*").alias("n"), F.sum("bytes").alias("bytes")).where("n > 1"), "shard-sizes")
+    blocks = F.ceil(F.greatest(F.col("n") / shard_size, F.col("bytes") / shard_bytes)).cast("int")
+    ready = rows.drop("bytes").join(sizes, "key").select("key", "node", blocks.alias("blocks")).select(
         "key", "node", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     ready = ready.select(
@@ -370,7 +372,7 @@ def keep_one(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFrame:
         ("uid", "doc_id")), "sketches")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")
     best = sketches.groupBy("node").agg(F.min(rank).alias("best"))
-    nodes = stage(sketches.select("node", "uid", "fp", "slots").join(
+    nodes = stage(sketches.select("node", "uid", "fp", "slots", F.octet_length("shingles").alias("bytes")).join(
         best.select("node", F.col("best.uid").alias("uid")), ["node", "uid"], "left_semi"), "nodes")
     classes = connected_components(similar_links(nodes, sketches.select("uid", "shingles"), least))
     rooted = best.join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
