@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,15 +11,18 @@ from pyspark.sql import functions as F
 
 from tierloom.functions.columns import model_key
 from tierloom.operators import customers as cust
-from tierloom.operators import drift, explain, kmeans, quality, scaling, scoring, segments, selection, spend, training
+from tierloom.operators import drift, explain, increments, kernel_shap, kmeans, quality, scaling, scoring, segments, selection
+from tierloom.operators import sketches, spend, training
 from tierloom.operators import silhouette as measure
 from tierloom.operators import silhouette_bounds as bounded_measure
+from tierloom.operators.quantiles import long_features
 from tierloom.operators.topn import top_n_per_group
 from tierloom.plans import fixtures as fx
 from tierloom.plans.fixtures import orders_input, rounded
 from tierloom.schemas import DEFAULT_FEATURES, SEGMENT_LEVELS, SEGMENT_MODEL
 from tierloom.sources import baseline as baselines
-from tierloom.sources import bundle, sinks, tables
+from tierloom.sources import bundle, loose_json, sinks, sql_scorer, tables
+from tierloom.sources.snapshots import SnapshotTable
 from tierloom.sources.staging import stage, staged_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +92,27 @@ def segment_counts(spark, sf_dir):
     return segments.segment_counts(segments.segment_keys(_binned(spark, sf_dir)))
 
 
+@query
+def segment_counts_bitmap(spark, sf_dir):
+    """segment_counts from the bitmaps of two parts of the rows, stored apart and merged."""
+    keyed = segments.segment_keys(_binned(spark, sf_dir))
+    half = F.pmod(F.xxhash64("CUSTOMER_ID", "MSA"), F.lit(2))
+    parts = [stage(increments.customer_bitmaps(keyed.where(half == i)), "segment-bitmaps") for i in (0, 1)]
+    return increments.bitmap_counts(increments.merge_bitmaps(*parts))
+
+
+@query
+def avg_annual_spend_incremental(spark, sf_dir):
+    """avg_annual_spend from a first load and two deltas."""
+    orders = orders_input(spark, sf_dir)
+    loads = [orders.where(F.pmod(F.col("ORDER_ID"), F.lit(5)).isin(*part)) for part in ((0, 1, 2), (3,), (4,))]
+    state = stage(increments.spend_state(loads[0]), "spend-state")
+    averages = stage(increments.average_spend(state), "spend-averages")
+    for delta in loads[1:]:
+        state, averages = (stage(t, "spend-state") for t in increments.apply_orders(state, averages, delta))
+    return rounded(averages)
+
+
 def _segmented(spark, sf_dir):
     return segments.segment_profiles(orders_input(spark, sf_dir), fx.MIN_SEGMENT_SIZE)
 
@@ -194,6 +219,36 @@ def feature_stats(spark, sf_dir):
     return rounded(quality.feature_stats(rows, fx.DRIFT_FEATURES, STATS_ACCURACY))
 
 
+SKETCH_RANKS = [0.01, *[i / 10 for i in range(1, 10)], 0.99]
+
+
+@query
+def merged_sketches(spark, sf_dir):
+    """Statistics of all runs (a run a year) from their stored sketches, and whether every quantile's true rank is within
+    the stated error."""
+    rows = fx.drift_columns(orders_input(spark, sf_dir)).withColumn("YEAR", F.year("ORDER_DATE"))
+    stored = stage(sketches.run_sketches(rows, "YEAR", fx.DRIFT_FEATURES), "run-sketches")
+    every = stage(sketches.merged(stored), "merged-sketches")
+    found = sketches.quantiles(every, SKETCH_RANKS).select(
+        "FEATURE", F.posexplode("Q").alias("AT", "Q")).withColumn("P", F.get(F.array(*map(F.lit, SKETCH_RANKS)), F.col("AT")))
+    error = F.lit(sketches.rank_error())
+    ranks = sketches.true_ranks(long_features(rows, [], fx.DRIFT_FEATURES), stage(found, "sketch-quantiles")).groupBy("FEATURE").agg(
+        F.min((F.col("LOW") - error <= F.col("P")) & (F.col("P") <= F.col("HIGH") + error)).alias("WITHIN"))
+    return rounded(sketches.merged_stats(every).join(ranks, "FEATURE").select("FEATURE", "TOTAL_ROWS", "MEAN", "NULL_PCT", "WITHIN"))
+
+
+@query
+def baseline_documents(spark, sf_dir):
+    """Baselines of unknown shape: a plain one, one below another key with more keys, a cut one, one without features."""
+    earlier, _ = fx.drift_halves(orders_input(spark, sf_dir))
+    plain = baselines.baseline_document(quality.feature_stats(earlier, ["GSAR", "TAM", "TIER_NUMERIC"], STATS_ACCURACY))
+    nested = F.concat(F.lit('{"version": 2, "features": '), F.replace("value", F.lit('"p1"'), F.lit('"unit": {"name": "x"}, "rank": "high", "p1"')), F.lit("}"))
+    documents = stage(plain.select(F.posexplode(F.array(
+        F.col("value"), nested, F.substring("value", 1, 30), F.lit('{"a": [1, {"b": null}], "c": "text"}'))).alias("DOCUMENT", "value")), "documents")
+    found = loose_json.baseline_rows(documents)
+    return rounded(found.withColumn("EXTRA", F.array_join(F.array_sort(F.map_keys("EXTRA")), ",")))
+
+
 @query
 def feature_check(spark, sf_dir):
     return rounded(_checked(spark, sf_dir)[2].withColumn("TOTAL_ROWS", F.col("TOTAL_ROWS").cast("double")))
@@ -288,6 +343,17 @@ def score_by_key(spark, sf_dir):
     return scoring.score_by_key(customers, fixed.model_of_k(3), segment_col=fx.COARSE)
 
 
+@query
+def score_by_sql(spark, sf_dir):
+    """score_by_key by a SQL function made from the models."""
+    customers, fixed = _fixed(spark, sf_dir)
+    name = f"assign_cluster_{uuid.uuid4().hex}"
+    sql_scorer.register(spark, fixed.model_of_k(3), DEFAULT_FEATURES, name)
+    key = model_key(F.col("MOST_RECENT_INDUSTRY_CODE_DESC"), F.col(fx.COARSE))
+    return customers.withColumn("SEGMENT_KEY", key).selectExpr(
+        "CUSTOMER_ID", "SEGMENT_KEY", f"{name}(SEGMENT_KEY, {', '.join(DEFAULT_FEATURES)}) as CLUSTER_LABEL")
+
+
 @query
 def score_global(spark, sf_dir):
     customers = stage(fx.customers(orders_input(spark, sf_dir)), "customers")
@@ -491,8 +557,8 @@ def overwrite_sink(spark, sf_dir):
     second = sinks.overwrite_path(orders.where("o_custkey % 2 = 0"), f"{path}/replaced")
     added = sinks.append_rows(orders, f"{path}/grown") + sinks.append_rows(orders, f"{path}/grown")
     seen = spark.createDataFrame([(first, second, added)], "FIRST_ROWS long, SECOND_ROWS long, ADDED_ROWS long")
-    kept = [spark.read.parquet(f"{path}/{name}").agg(F.count(F.lit(1)).alias(column)) for name, column in (
-        ("replaced", "REPLACED"), ("grown", "GROWN"))]
+    tables_read = (SnapshotTable(spark, f"{path}/replaced").read(), "REPLACED"), (spark.read.parquet(f"{path}/grown"), "GROWN")
+    kept = [rows.agg(F.count(F.lit(1)).alias(column)) for rows, column in tables_read]
     return seen.join(F.broadcast(kept[0])).join(F.broadcast(kept[1]))  # one row each
 
 
@@ -551,6 +617,33 @@ def cluster_shap(spark, sf_dir):
         "SEGMENT", "CLUSTER", F.explode("CLUSTER_SHAP").alias("FEATURE", "SHAP"), "RUNID", "RUNTIMESTAMP"), 5)
 
 
+@query
+def cluster_shap_sampled(spark, sf_dir):
+    """cluster_shap against a quarter of the rows, for at most 20 rows of a segment."""
+    labelled, models = _explained(spark, sf_dir)
+    shap = explain.cluster_shap(labelled, models, DEFAULT_FEATURES, fx.RUN_ID, fx.RUN_STAMP, background_fraction=0.25, max_rows=20)
+    return rounded(shap.select("SEGMENT", "CLUSTER", F.explode("CLUSTER_SHAP").alias("FEATURE", "SHAP")), 5)
+
+
+@query
+def cluster_shap_kernel(spark, sf_dir):
+    """KernelSHAP of the distance to the own centre against 50 rows of a segment."""
+    labelled, models = _explained(spark, sf_dir)
+    shap = kernel_shap.kernel_shap(labelled, models, DEFAULT_FEATURES, fx.RUN_ID, fx.RUN_STAMP, background_rows=50)
+    each = F.explode(F.arrays_zip(F.map_keys("CLUSTER_SHAP").alias("FEATURE"), F.map_values("CLUSTER_SHAP").alias("SHAP"), F.map_values("CLUSTER_MEAN").alias("MEAN_SHAP")))
+    return rounded(shap.select("SEGMENT", "CLUSTER", each.alias("x")).select("SEGMENT", "CLUSTER", "x.FEATURE", "x.SHAP", "x.MEAN_SHAP"), 4)
+
+
+@query
+def cluster_shap_margin(spark, sf_dir):
+    """KernelSHAP of a score that is not additive: whether the mean contributions add up to the gain over the background."""
+    labelled, models = _explained(spark, sf_dir)
+    shap = kernel_shap.kernel_shap(
+        labelled, models, DEFAULT_FEATURES, fx.RUN_ID, fx.RUN_STAMP, kernel_shap.margin, background_rows=20, max_rows=50)
+    total = F.aggregate(F.map_values("CLUSTER_MEAN"), F.lit(0.0), lambda a, x: a + x)
+    return shap.select("SEGMENT", "CLUSTER", (F.abs(total - F.col("FULL") + F.col("BASE")) < 1e-6 * (1 + F.abs("FULL"))).alias("ADDS_UP"))
+
+
 @query
 def silhouette_embeddings(spark, sf_dir):
     """Silhouette of the given labels on dense vectors with many entries."""

@@ -303,6 +303,15 @@ CTES: dict[str, str] = {
     "background": "select SEGMENT_KEY, " + ", ".join(
         f"avg(z{i}) as m{i}, avg(z{i} * z{i}) as q{i}" for i in range(4)) + " from scaled group by 1",
     "explained": "select * from scaled",
+    "hashed": """
+        select *, md5(cast(CUSTOMER_ID as varchar)) as h, row_number() over (
+                 partition by SEGMENT_KEY order by md5(cast(CUSTOMER_ID as varchar)), CUSTOMER_ID) as r from scaled""",
+    "background_quarter": "select SEGMENT_KEY, " + ", ".join(
+        f"coalesce(avg({x}) filter (where substring(h, 1, 8) < '40000000'), avg({x})) as {n}{i}"
+        for i in range(4) for x, n in ((f"z{i}", "m"), (f"z{i} * z{i}", "q"))) + " from hashed group by 1",
+    "background_50": "select SEGMENT_KEY, " + ", ".join(
+        f"avg(z{i}) as m{i}, avg(z{i} * z{i}) as q{i}" for i in range(4)) + " from hashed where r <= 50 group by 1",
+    "explained_20": "select * from hashed where r <= 20",
     "global_rows": "select 'ALL' as SEGMENT_KEY, * from customers",
     "global_scaler": _scaler("(select * from global_rows where TAM is not null)", TRAIN),
     "global_filled": "select CUSTOMER_ID, SEGMENT_KEY, " + ", ".join(
@@ -340,6 +349,18 @@ def _score(k: int, head: str, tail: str = "") -> str:
         from all_rows r left join (select * from labels where K = {k}) l on r.CUSTOMER_ID = l.CUSTOMER_ID"""
 
 
+_GAIN = "(z{i} - c{i}) * (z{i} - c{i}) - (q{i} - 2 * c{i} * m{i} + c{i} * c{i})"
+
+
+def _shap(i: int, feature: str, rows: str, background: str, more: str = "", digits: int = 5) -> str:
+    return f"""
+        select e.SEGMENT_KEY as SEGMENT, l.LABEL as CLUSTER, '{feature}' as FEATURE,
+               {_r(f"avg(abs({_GAIN.format(i=i)}))", "SHAP", digits)}{more}
+        from {rows} e join labels3 l on e.CUSTOMER_ID = l.CUSTOMER_ID
+        join {background} b on b.SEGMENT_KEY = e.SEGMENT_KEY
+        join centers c on c.SEGMENT_KEY = e.SEGMENT_KEY and c.K = 3 and c.LABEL = l.LABEL group by 1, 2"""
+
+
 _ROUNDED_FEATS = ", ".join(_r(f) for f in FEATS)
 _LEVELS = ["RULE_BASED_SEGMENT", "RULE_BASED_SEGMENT_NO_MSA", "RULE_BASED_SEGMENT_NO_MSA_NO_MSA_REGION"]
 _DQ = ["CUSTOMER_ID", "ORDER_DATE", "GSAR", "INDUSTRY_CODE_DESC", "MSA", "TAM", "TIER"]
@@ -365,9 +386,13 @@ FINAL: dict[str, str] = {
     "segment_counts": " union all ".join(
         f"select '{level}' as LEVEL_NAME, {level} as SEGMENT_KEY, COUNT_SEG_{i} as CUSTOMERS from seg{i}"
         for i, level in enumerate(_LEVELS, 1)),
+    "segment_counts_bitmap": " union all ".join(
+        f"select '{level}' as LEVEL_NAME, {level} as SEGMENT_KEY, COUNT_SEG_{i} as CUSTOMERS from seg{i}"
+        for i, level in enumerate(_LEVELS, 1)),
     "segment_assign": """
         select SEGMENT, SEGMENT_LEVEL, count(distinct CUSTOMER_ID) as CUSTOMERS, count(*) as ORDER_ROWS
         from assigned group by 1, 2""",
+    "avg_annual_spend_incremental": f"select CUSTOMER_ID, {_r('AVG_ANNUAL_SPEND')} from annual",
     "prepared_orders": f"""
         select ORDER_ID, CUSTOMER_ID, ORDER_YEAR, {_r('GSAR')}, {_r('AVG_ANNUAL_SPEND')},
                cast(TIER_NUMERIC as double) as TIER_NUMERIC, {_r('TAM_TIER_OR_AVGSPEND')}, TAM_TIER_SOURCE, TAM_TIER_BIN, COUNT_SEG_1, COUNT_SEG_2, COUNT_SEG_3,
@@ -397,6 +422,14 @@ FINAL: dict[str, str] = {
     "baseline_coverage": "select FEATURE, FEATURE <> 'LIFETIME_VALUE' as PRESENT from base_stats",
     "feature_stats": "select FEATURE, TOTAL_ROWS, " + ", ".join(_r(c) for c in ("P1", "P99", "MEAN", "NULL_PCT"))
         + f" from ({_stats('order_features', ['GSAR', 'TAM', 'TIER_NUMERIC', 'FLAT', 'RARE'])})",
+    "merged_sketches": "select FEATURE, TOTAL_ROWS, " + ", ".join(_r(c) for c in ("MEAN", "NULL_PCT"))
+        + f", true as WITHIN from ({_stats('order_features', ['GSAR', 'TAM', 'TIER_NUMERIC', 'FLAT', 'RARE'])})",
+    "baseline_documents": " union all ".join(
+        f"select {n} as DOCUMENT, FEATURE, " + ", ".join(_r(c, f"BASE_{c}") for c in ("P1", "P99", "MEAN", "NULL_PCT"))
+        + f", '{extra}' as EXTRA, null as PROBLEM from ({_stats('earlier', ['GSAR', 'TAM', 'TIER_NUMERIC'])})"
+        for n, extra in ((0, ""), (1, "rank"))) + """
+        union all select 2, null, null, null, null, null, null, 'no JSON'
+        union all select 3, null, null, null, null, null, null, 'no feature'""",
     "feature_check": "select FEATURE, cast(TOTAL_ROWS as double) as TOTAL_ROWS, PRESENT, P1_RESULT, P99_RESULT, MEAN_RESULT, NULL_RESULT, STATUS, "
         + ", ".join(_r(c) for c in (
             "BASE_P1", "BASE_P99", "BASE_MEAN", "BASE_NULL_PCT", "P1", "P99", "MEAN", "NULL_PCT", "FLEX_PCT",
@@ -443,6 +476,7 @@ FINAL: dict[str, str] = {
     "score_segments": _score(
         4, "TAM_TIER_SOURCE as SEGMENT", ", 'run_fixed' as RUNID, '2001-08-01T00:00:00Z' as SCORED_AT_UTC"),
     "score_by_key": _score(3, "r.SEGMENT_KEY"),
+    "score_by_sql": _score(3, "r.SEGMENT_KEY"),
     "score_global": f"""
         select CUSTOMER_ID, {', '.join(_r(f) for f in TRAIN)}, cast(LABEL as bigint) as CLUSTER_LABEL,
                'run_fixed' as RUNID from global_filled join global_labels using (CUSTOMER_ID)""",
@@ -517,6 +551,10 @@ FINAL: dict[str, str] = {
         select '{c}' as FEATURE, true as EXPLAINS, count(*) as TOTAL_ROWS,
                {_r(f"count(*) filter (where {c} is null) / cast(count(*) as double)", "NULL_PCT")}
         from customers""" for c in ("CUSTOMER_ID", "TAM", *FEATS)),
+    "cluster_shap_sampled": " union all ".join(_shap(i, f, "explained_20", "background_quarter") for i, f in enumerate(FEATS)),
+    "cluster_shap_kernel": " union all ".join(
+        _shap(i, f, "explained", "background_50", ", " + _r(f"avg({_GAIN.format(i=i)})", "MEAN_SHAP", 4), 4) for i, f in enumerate(FEATS)),
+    "cluster_shap_margin": "select SEGMENT_KEY as SEGMENT, LABEL as CLUSTER, true as ADDS_UP from labels3 group by 1, 2",
     "cluster_shap": " union all ".join(f"""
         select e.SEGMENT_KEY as SEGMENT, l.LABEL as CLUSTER, '{f}' as FEATURE,
                {_r(f'avg(abs((z{i} - c{i}) * (z{i} - c{i}) - (q{i} - 2 * c{i} * m{i} + c{i} * c{i})))', 'SHAP', 5)},

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tierloom.sources.snapshots import SnapshotTable
+
 EXPLANATION_COLUMNS = (
     "SEGMENT STRING, CLUSTER INT, CLUSTER_SHAP MAP<STRING, DOUBLE>, RUNID STRING, RUNTIMESTAMP STRING")
 
@@ -45,8 +47,10 @@ def overwrite_table(df: DataFrame, table: str) -> int:
 
 
 def overwrite_path(df: DataFrame, path: str) -> int:
+    """Replaces the table at path as a whole: readers (SnapshotTable.read) see the old rows until the new ones are there,
+    and a job that dies leaves the old ones."""
     df, seen = counted(df)
-    df.write.mode("overwrite").parquet(path)
+    SnapshotTable(df.sparkSession, path).replace(df)
     return seen.get["rows"]
 
 

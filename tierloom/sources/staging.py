@@ -22,7 +22,12 @@ BROADCAST_LIMIT_BYTES = 10 << 20
 def staging_root(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; without it one below the warehouse, which executors share too."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/staging"
+    if root:
+        return root
+    root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/staging"
+    if root.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{root} is a folder of this machine alone: name one that all executors share in spark.checkpoint.dir")
+    return root
 
 
 # Folders staged in the innermost temporary_tables block; threads have blocks of their own.
