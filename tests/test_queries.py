@@ -63,8 +63,9 @@ def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
 
 
-def test_fitted_models_of_the_tables(spark, sf):
+def test_fitted_models_of_the_tables(spark):
     """Same keys however they are fitted, little lost by mini-batches, and a manifest row for every segment."""
+    sf = "/root/testdata/sf0.01"  # the smallest scale has no segment that is large enough
     full, mini = ({(r["SEGMENT_KEY"], r["K"]): r for r in QUERIES[name](spark, sf).collect()} for name in ("kmeans_fit", "kmeans_minibatch"))
     assert full and set(full) == set(mini)
     assert all(r["ITERATIONS"] <= 300 for r in full.values()) and all(r["ITERATIONS"] == 300 for r in mini.values())

@@ -27,8 +27,8 @@ def test_append_and_overwrite(spark, tmp_path):
     sinks.append_rows(spark.range(3), path)
     sinks.append_rows(spark.range(3), path)
     assert spark.read.parquet(path).count() == 6
-    assert sinks.overwrite_path(spark.range(2), path) == 2
-    assert spark.read.parquet(path).count() == 2
+    assert sinks.overwrite_path(spark.range(5), f"{path}-whole") == 5 and sinks.overwrite_path(spark.range(2), f"{path}-whole") == 2
+    assert sinks.read_path(spark, f"{path}-whole").count() == 2
 
 
 def test_catalog_tables(spark):
@@ -119,7 +119,7 @@ def test_train_score_explain_and_drift(spark, sf, tmp_path):
     assert spark.read.parquet(f"{out}/accepted").count() == 1
 
     n = workflow.batch_score(spark, customers, f"{out}/models", f"{out}/scored", "now", segment_col="TAM_TIER_SOURCE")
-    scored = spark.read.parquet(f"{out}/scored")
+    scored = sinks.read_path(spark, f"{out}/scored")
     assert n == scored.count() == customers.count()
     assert scored.where("CLUSTER_LABEL >= 0").count() > 0
 

@@ -22,7 +22,6 @@ from tierloom.plans.fixtures import orders_input, rounded
 from tierloom.schemas import DEFAULT_FEATURES, SEGMENT_LEVELS, SEGMENT_MODEL
 from tierloom.sources import baseline as baselines
 from tierloom.sources import bundle, loose_json, sinks, sql_scorer, tables
-from tierloom.sources.snapshots import SnapshotTable
 from tierloom.sources.staging import stage, staged_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -557,7 +556,7 @@ def overwrite_sink(spark, sf_dir):
     second = sinks.overwrite_path(orders.where("o_custkey % 2 = 0"), f"{path}/replaced")
     added = sinks.append_rows(orders, f"{path}/grown") + sinks.append_rows(orders, f"{path}/grown")
     seen = spark.createDataFrame([(first, second, added)], "FIRST_ROWS long, SECOND_ROWS long, ADDED_ROWS long")
-    tables_read = (SnapshotTable(spark, f"{path}/replaced").read(), "REPLACED"), (spark.read.parquet(f"{path}/grown"), "GROWN")
+    tables_read = (sinks.read_path(spark, f"{path}/replaced"), "REPLACED"), (spark.read.parquet(f"{path}/grown"), "GROWN")
     kept = [rows.agg(F.count(F.lit(1)).alias(column)) for rows, column in tables_read]
     return seen.join(F.broadcast(kept[0])).join(F.broadcast(kept[1]))  # one row each
 

@@ -110,7 +110,8 @@ def batch_score(
     spark: SparkSession, customers: DataFrame, models_path: str, out_path: str, scored_at: str,
     run_id: str = "latest", segment_col: str = "SEGMENT",
 ) -> int:
-    """Scores a customer table with a stored run and replaces the output table; returns the row count."""
+    """Scores a customer table with a stored run and replaces the output table (sinks.read_path reads it); returns the
+    row count."""
     models = bundle.open_run(spark, models_path, run_id)
     used = models.agg(F.max("run_id").alias("r")).first()["r"]
     scored = scoring.score_segments(customers, models, used, scored_at, segment_col)

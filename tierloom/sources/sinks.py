@@ -47,13 +47,18 @@ def overwrite_table(df: DataFrame, table: str) -> int:
 
 
 def overwrite_path(df: DataFrame, path: str) -> int:
-    """Replaces the table at path as a whole: readers (SnapshotTable.read) see the old rows until the new ones are there,
+    """Replaces the table at path as a whole: readers (read_path) see the old rows until the new ones are there,
     and a job that dies leaves the old ones."""
     df, seen = counted(df)
     SnapshotTable(df.sparkSession, path).replace(df)
     return seen.get["rows"]
 
 
+def read_path(spark: SparkSession, path: str) -> DataFrame:
+    """The rows that overwrite_path wrote last."""
+    return SnapshotTable(spark, path).read()
+
+
 def ensure_explanation_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({EXPLANATION_COLUMNS}) USING parquet")
 
