@@ -22,6 +22,15 @@ def test_writing_a_run_twice_keeps_its_rows_once(spark, tmp_path):
     assert counts == {"RUN_A_1": 10, "other": 4}
 
 
+@pytest.mark.parametrize("base, run_id, want", [
+    ("T", "", "T"), ("T", "run 1/x", "T_run_1_x"), ("T_run_1", "run_1", "T_run_1"), ("T_RUN_20250101_000000", "_RUN_20250101_000000", "T_RUN_20250101_000000"),
+    ("T_RUN_20250101_000000", "RUN_20250102_000000", "T_RUN_20250101_000000"), ("T_20250101_000000", "20250102_000000", "T_20250101_000000"),
+    ("T_PREPROCESS_RUN_20250101_000000", "EXTRACT_RUN_20250102_000000", "T_PREPROCESS_RUN_20250101_000000_EXTRACT_RUN_20250102_000000"),
+    ("T", "é" * 3 + "a" * 60, "T_" + "a" * 47)])
+def test_run_suffix_is_appended_once(base, run_id, want):
+    assert sinks.run_table_name(base, run_id) == want
+
+
 def test_append_and_overwrite(spark, tmp_path):
     path = str(tmp_path / "t")
     sinks.append_rows(spark.range(3), path)

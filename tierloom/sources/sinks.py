@@ -18,6 +18,21 @@ def safe_run_id(run_id: str) -> str:
     return re.sub(r"[^A-Za-z0-9_]+", "_", run_id).strip("_")
 
 
+# How run chunks of table names read.
+_RUN_CHUNK, _RUN_STAMP = r"(?:CONN_EXTRACT_|PREPROCESS_|EXTRACT_)?(?:RUN_)?", r"\d{8}_\d{6}"
+_TWO_CHUNKS = re.compile(rf"({_RUN_CHUNK})({_RUN_STAMP})_\1{_RUN_STAMP}$", re.IGNORECASE)
+_LONGEST_SUFFIX = 48
+
+
+def run_table_name(base: str, run_id: str) -> str:
+    """base with the run id appended once: a name that ends in it stays, and of two run chunks of one kind at the end the
+    first stays."""
+    suffix = re.sub(r"[^A-Za-z0-9_]+", "_", run_id)[:_LONGEST_SUFFIX].rstrip("_")
+    if suffix and not suffix.startswith("_"):
+        suffix = f"_{suffix}"
+    return _TWO_CHUNKS.sub(r"\1\2", base if base.endswith(suffix) else base + suffix)
+
+
 def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     """df with a row count observed while it is written; read it as observation.get['rows']."""
     seen = Observation()
