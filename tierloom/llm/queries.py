@@ -148,3 +148,57 @@ from p join s using (anchor_id)
 where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
 qualify rank <= 3
 """
+
+
+# CRC-32 bit by bit; a prefix is the text of its turns' digests; a node's ancestors are the prefixes of its smallest member.
+ORACLE_SQL["op11_prefix_trie"] = """
+with t as (
+  select conv_id, coalesce(text, '') as x, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as code,
+         row_number() over (partition by conv_id order by turn nulls first,
+           sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) as nth
+  from conversations where conv_id is not null),
+c as (
+  select conv_id, n, conv_id - conv_id % 100 as first, xor(list_reduce(
+           list_prepend(4294967295, list_transform(range(8 * length(s)), lambda i: (ascii(s[(i // 8 + 1)::int]) >> (i % 8)::int) & 1)),
+           lambda a, b: case when (a & 1) <> b then xor(a >> 1, 3988292384) else a >> 1 end), 4294967295) % 6 as h
+  from (select conv_id, conv_id::varchar as s, count(*) as n from t group by 1)),
+r as (
+  select c.conv_id, t.nth as d, code, x from c join t on t.conv_id = c.first and t.nth <= h
+  union all
+  select c.conv_id, t.nth - c.h + least(c.h, coalesce(b.n, 0)), code, x
+  from t join c on t.conv_id = c.conv_id left join c b on b.conv_id = c.first where t.nth > c.h),
+p as (
+  select conv_id, d, string_agg(code, '') over (partition by conv_id order by d) as key, x from r
+  union all select conv_id, 0, '', '' from c),
+nodes as (select key, d, min(conv_id) as cid, count(*) as n, max(length(x)) as len from p group by 1, 2),
+kin as (select left(key, (64 * (d - 1))::int) as key, count(*) as n_children from nodes where d > 0 group by 1),
+u as (select nodes.*, coalesce(n_children, 0) as n_children from nodes left join kin using (key)),
+up as (select u.*, a.cid as above, a.d as above_d, a.key as above_key
+       from u join p on p.conv_id = u.cid and p.d <= u.d join nodes a on a.key = p.key),
+sub as (select above_key as key, sum((n_children = 0)::int)::bigint as n_leaves, sum((n - 1) * len)::bigint as saved_tokens, count(*) as size
+        from up group by 1),
+places as (select key, row_number() over (order by path) - 1 as place
+           from (select key, list(above order by above_d) as path from up group by 1)),
+ends as (select key, sha256(string_agg(p.conv_id::varchar, ',' order by p.conv_id)) as ends_sha256
+         from p join (select conv_id, max(d) as d from p group by 1) l on l.conv_id = p.conv_id and l.d = p.d group by 1)
+select u.cid as conv_id, u.d::bigint as depth, a.cid as parent_conv_id, u.n as n_convs, u.n_children, n_leaves, saved_tokens,
+       coalesce(ends_sha256, sha256('')) as ends_sha256, (2 * place - u.d)::bigint as enter_at, (2 * place - u.d + 2 * size - 1)::bigint as leave_at
+from u join sub using (key) join places using (key) left join ends using (key)
+left join nodes a on u.d > 0 and a.key = left(u.key, (64 * (u.d - 1))::int)
+"""
+
+# All pairs: what the search finds at its recall.
+ORACLE_SQL["op13_multi_index"] = """
+with recursive v as (
+  select vec_id, embedding::double[] as x, embedding is not null and list_count(embedding) = len(embedding)
+         and len(list_filter(embedding, lambda y: not isfinite(y))) = 0 and len(list_filter(embedding, lambda y: y <> 0)) > 0 as sound
+  from embeddings),
+links as (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.sound and b.sound and a.vec_id <> b.vec_id
+  and list_cosine_similarity(a.x, b.x) >= 0.9),
+reach as (
+  select vec_id as a, vec_id as b from v
+  union select reach.a, links.b from reach join links on reach.b = links.a)
+select vec_id, (select count(*) from links where a = vec_id) as n_links, min(reach.b) as component_id, vec_id = min(reach.b) as kept
+from v join reach on reach.a = vec_id group by vec_id
+"""
