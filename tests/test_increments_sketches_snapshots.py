@@ -112,8 +112,8 @@ def test_overwrite_path_commits(spark, tmp_path):
 
 def model_rows(spark, n=2):
     rows = [("r", "t", f"IND::S'{i}", "IND", f"S'{i}", "CLUSTERED", 9, 2, 0.5, None, ["f0", "f1"], [1.0, 2.0] if i else None,
-             [2.0, 0.5] if i else None, [[0.0, 0.0], [1.0 + i, 1.0], [0.0, 0.0]], None) for i in range(n)]
-    rows.append(("r", "t", "IND::skip", "IND", "skip", "SKIPPED_TOO_SMALL", 1, None, None, None, None, None, None, None, None))
+             [2.0, 0.5] if i else None, [[0.0, 0.0], [1.0 + i, 1.0], [0.0, 0.0]], None, None, None, None) for i in range(n)]
+    rows.append(("r", "t", "IND::skip", "IND", "skip", "SKIPPED_TOO_SMALL", 1, *[None] * 11))
     return spark.createDataFrame(rows, SEGMENT_MODEL)
 
 

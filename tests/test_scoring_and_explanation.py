@@ -14,7 +14,7 @@ ROWS = "CUSTOMER_ID long, SEGMENT string, MOST_RECENT_INDUSTRY_CODE_DESC string,
 def model(key="IND::S", features=("f0", "f1"), center=(1.0, 1.0), scale=(2.0, 2.0), centroids=((0.0, 0.0), (2.0, 2.0)),
           status="CLUSTERED"):
     return ("run", "t", key, *key.split("::"), status, 10, 2, 0.5, None, list(features),
-            list(center) if center else None, list(scale) if scale else None, [list(c) for c in centroids], None)
+            list(center) if center else None, list(scale) if scale else None, [list(c) for c in centroids], None, None, None, None)
 
 
 def models(spark, *rows):

@@ -87,7 +87,8 @@ def test_json_export_and_import(spark, tmp_path):
 def test_import_of_pretty_printed_documents(spark, tmp_path):
     doc = {"status": "CLUSTERED", "industry": "CONSUMER", "segment": "A B", "customer_count": 9, "best_k": 2,
            "best_silhouette": 0.4, "results_k": [{"k": 2, "silhouette": 0.4}], "features": ["X"],
-           "scaler": {"center": [1.0], "scale": None}, "centroids": [[0.0], [4]], "data_table": "other.table"}
+           "scaler": {"center": [1.0], "scale": None}, "centroids": [[0.0], [4]], "data_table": "other.table",
+           "x_cols": ["X"], "y_col": ["OWN_LABEL"], "target_table": "db.shap"}
     manifest = {"run_id": "r", "run_timestamp": "t", "industries": ["CONSUMER"], "feature_cols": ["X"], "segments": {
         "CONSUMER::A B": {"customer_count": 9, "status": "CLUSTERED", "artifact": "segment_CONSUMER_A_B.json",
                           "best_k": 2, "best_silhouette": 0.4},
@@ -98,7 +99,9 @@ def test_import_of_pretty_printed_documents(spark, tmp_path):
     rows = {r["segment_key"]: r for r in bundle.import_json(spark, str(tmp_path)).collect()}
     assert rows["CONSUMER::A B"]["centroids"] == [[0.0], [4.0]] and rows["CONSUMER::A B"]["scale"] is None
     assert rows["CONSUMER::A B"]["input_table"] == "other.table"
-    assert rows["CONSUMER::C"]["status"] == "SKIPPED_TOO_SMALL"
+    named = rows["CONSUMER::A B"]
+    assert (named["x_cols"], named["y_col"], named["output_table"]) == (["X"], "OWN_LABEL", "db.shap")
+    assert rows["CONSUMER::C"]["status"] == "SKIPPED_TOO_SMALL" and rows["CONSUMER::C"]["y_col"] is None
     assert rows["CONSUMER::D"]["status"] == "ARTIFACT_MISSING"
 
 
@@ -142,6 +145,29 @@ def test_train_score_explain_and_drift(spark, sf, tmp_path):
     assert workflow.watch_drift_by_stats(customers, base, f"{out}/reports", "d2") == "ok"
 
 
+def test_models_name_columns_labels_and_target(spark, tmp_path):
+    """One model names its table, a column to report, a label column and a table for its rows."""
+    rows = [(i, "S" if i % 2 else "T", "ind", float(i % 7), float(i % 3), i % 2 if i < 18 else 9) for i in range(20)]
+    customers = spark.createDataFrame(
+        rows, "CUSTOMER_ID long, SEGMENT string, MOST_RECENT_INDUSTRY_CODE_DESC string, F0 double, F1 double, OWN int")
+    customers.where("CUSTOMER_ID < 15").write.parquet(str(tmp_path / "own"))
+    special = F.col("segment_key") == "IND::S"
+    models = spark.createDataFrame([model("IND::S"), model("IND::T")], SEGMENT_MODEL).withColumns({
+        "input_table": F.when(special, str(tmp_path / "own")), "x_cols": F.when(special, F.array(F.lit("f1"))),
+        "y_col": F.when(special, "OWN"), "output_table": F.when(special, "tierloom_named.shap")})
+    bundle.write_bundle(models, str(tmp_path / "models"))
+    spark.sql("CREATE DATABASE IF NOT EXISTS tierloom_named")
+    try:
+        n = workflow.explain_clusters(spark, customers, str(tmp_path / "models"), str(tmp_path / "out"), "run", "t")
+        shap = {(r["SEGMENT"], r["CLUSTER"]): r["CLUSTER_SHAP"] for r in spark.read.parquet(str(tmp_path / "out/cluster_shap")).collect()}
+        assert n == len(shap) and {k for k in shap if k[0] == "IND::S"} == {("IND::S", 1)}  # odd ids carry label 1
+        assert set(shap["IND::S", 1]) == {"f1"} and set(shap["IND::T", 0]) == {"f0", "f1"}
+        stored = spark.table("tierloom_named.shap").collect()
+        assert [(r["SEGMENT"], r["CLUSTER"], r["RUNID"]) for r in stored] == [("IND::S", 1, "run")]
+    finally:
+        spark.sql("DROP DATABASE tierloom_named CASCADE")
+
+
 def test_gates_stop_the_run(spark, sf, tmp_path):
     orders = fx.orders_input(spark, sf)
     few = workflow.train_validate_accept(

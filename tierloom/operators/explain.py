@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from tierloom.functions.vectors import nearest
 from tierloom.operators.scoring import with_model
 from tierloom.operators.topn import top_n_per_group
 from tierloom.sources.staging import stage, with_size_check
+from tierloom.sources.tables import read_table
 
 
 def select_segments(models: DataFrame, prefix: str = "") -> DataFrame:
@@ -22,15 +24,49 @@ def select_segments(models: DataFrame, prefix: str = "") -> DataFrame:
 
 def scaled_labelled(
     rows: DataFrame, models: DataFrame, segment_col: str = "SEGMENT",
-    industry_col: str = "MOST_RECENT_INDUSTRY_CODE_DESC",
+    industry_col: str = "MOST_RECENT_INDUSTRY_CODE_DESC", label_col: str | None = None,
 ) -> DataFrame:
-    """CUSTOMER_ID, SEGMENT_KEY, Z, CLUSTER_LABEL of the rows that have a model and all features."""
+    """CUSTOMER_ID, SEGMENT_KEY, Z, CLUSTER_LABEL of the rows that have a model and all features.
+
+    The label is that of the closest centre, or the table's own in label_col; a row whose own label is none of its model's
+    clusters is left out.
+    """
     key = model_key(F.col(industry_col), F.col(segment_col))
-    return (
-        with_model(rows, models, key).where(F.col("Z").isNotNull())
-        .withColumn("CLUSTER_LABEL", F.expr(f"({nearest('Z', 'centroids')}).label"))
-        .select("CUSTOMER_ID", "SEGMENT_KEY", "Z", "CLUSTER_LABEL")
-    )
+    found = with_model(rows, models, key).where(F.col("Z").isNotNull())
+    if label_col is None:
+        found = found.withColumn("CLUSTER_LABEL", F.expr(f"({nearest('Z', 'centroids')}).label"))
+    else:
+        found = found.withColumn("CLUSTER_LABEL", F.col(label_col.upper()).try_cast("int")).where(
+            "CLUSTER_LABEL between 0 and size(centroids) - 1")
+    return found.select("CUSTOMER_ID", "SEGMENT_KEY", "Z", "CLUSTER_LABEL")
+
+
+def explain_models(
+    customers: DataFrame, models: DataFrame, run_id: str, run_timestamp: str, background_fraction: float = 1.0, max_rows: int = 0,
+    segment_col: str = "SEGMENT",
+) -> DataFrame | None:
+    """cluster_shap of all clustered models, with TARGET (the table a model names for its rows, else null).
+
+    A model may name its input table, the features to report (x_cols) and the column that holds the labels (y_col); what it
+    does not name comes from `customers`, all its features, and the closest centre. Models that name the same are handled
+    together, and there are few such kinds. None if no model is clustered. models: staged.
+    """
+    parts = []
+    named = ["input_table", "features", "x_cols", "y_col", "output_table"]
+    for kind in models.where("status = 'CLUSTERED'").select(named).distinct().collect():
+        same = F.lit(True)
+        for c in named:
+            value = F.array(*[F.lit(x) for x in kind[c]]).cast("array<string>") if isinstance(kind[c], list) else F.lit(kind[c])
+            same = same & F.col(c).eqNullSafe(value)
+        own = models.where("status = 'CLUSTERED'").where(same)
+        rows = read_table(customers.sparkSession, kind["input_table"]) if kind["input_table"] else customers
+        labelled = stage(scaled_labelled(rows, own, segment_col, label_col=kind["y_col"]), "labelled")
+        shap = cluster_shap(labelled, own, kind["features"], run_id, run_timestamp, background_fraction, max_rows)
+        if kind["x_cols"]:
+            wanted = F.array(*[F.lit(c.upper()) for c in kind["x_cols"]])
+            shap = shap.withColumn("CLUSTER_SHAP", F.map_filter("CLUSTER_SHAP", lambda f, _: F.array_contains(wanted, F.upper(f))))
+        parts.append(shap.withColumn("TARGET", F.lit(kind["output_table"]).cast("string")))
+    return reduce(DataFrame.unionByName, parts) if parts else None
 
 
 def background_moments(labelled: DataFrame, dims: int, fraction: float) -> DataFrame:

@@ -48,7 +48,8 @@ def model_table(
             F.when(clustered, F.col("CENTER")).alias("center"),
             F.when(clustered, F.col("SCALE")).alias("scale"),
             F.when(clustered, F.col("centroids")).alias("centroids"),
-            F.lit(input_table).cast("string").alias("input_table"))
+            F.lit(input_table).cast("string").alias("input_table"),
+            *[F.lit(None).alias(c) for c in ("x_cols", "y_col", "output_table")])
     )
     return table.select(*[F.col(f.name).cast(f.dataType) for f in SEGMENT_MODEL])
 

@@ -624,6 +624,20 @@ def cluster_shap_sampled(spark, sf_dir):
     return rounded(shap.select("SEGMENT", "CLUSTER", F.explode("CLUSTER_SHAP").alias("FEATURE", "SHAP")), 5)
 
 
+@query
+def cluster_shap_tables(spark, sf_dir):
+    """Models of one industry name a table of their own, two columns, and a target table."""
+    customers, fixed = _fixed(spark, sf_dir)
+    path = staged_path(spark, "own-customers")
+    customers.where("CUSTOMER_ID % 2 = 0").write.parquet(path)
+    special = F.col("segment_key").startswith("AUTO")
+    models = stage(fixed.model_of_k(3).withColumns({
+        "input_table": F.when(special, path), "x_cols": F.when(special, F.array(*map(F.lit, DEFAULT_FEATURES[:2]))),
+        "output_table": F.when(special, "auto_shap")}), "named-models")
+    shap = explain.explain_models(customers, models, fx.RUN_ID, fx.RUN_STAMP, segment_col=fx.COARSE)
+    return rounded(shap.select("SEGMENT", "CLUSTER", F.explode("CLUSTER_SHAP").alias("FEATURE", "SHAP"), "TARGET"), 5)
+
+
 @query
 def cluster_shap_kernel(spark, sf_dir):
     """KernelSHAP of the distance to the own centre against 50 rows of a segment."""

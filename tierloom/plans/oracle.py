@@ -311,6 +311,9 @@ CTES: dict[str, str] = {
         for i in range(4) for x, n in ((f"z{i}", "m"), (f"z{i} * z{i}", "q"))) + " from hashed group by 1",
     "background_50": "select SEGMENT_KEY, " + ", ".join(
         f"avg(z{i}) as m{i}, avg(z{i} * z{i}) as q{i}" for i in range(4)) + " from hashed where r <= 50 group by 1",
+    "explained_tables": "select * from scaled where SEGMENT_KEY not like 'AUTO%' or CUSTOMER_ID % 2 = 0",
+    "background_tables": "select SEGMENT_KEY, " + ", ".join(
+        f"avg(z{i}) as m{i}, avg(z{i} * z{i}) as q{i}" for i in range(4)) + " from explained_tables group by 1",
     "explained_20": "select * from hashed where r <= 20",
     "global_rows": "select 'ALL' as SEGMENT_KEY, * from customers",
     "global_scaler": _scaler("(select * from global_rows where TAM is not null)", TRAIN),
@@ -552,6 +555,9 @@ FINAL: dict[str, str] = {
                {_r(f"count(*) filter (where {c} is null) / cast(count(*) as double)", "NULL_PCT")}
         from customers""" for c in ("CUSTOMER_ID", "TAM", *FEATS)),
     "cluster_shap_sampled": " union all ".join(_shap(i, f, "explained_20", "background_quarter") for i, f in enumerate(FEATS)),
+    "cluster_shap_tables": "select * from (" + " union all ".join(
+        _shap(i, f, "explained_tables", "background_tables", ", case when e.SEGMENT_KEY like 'AUTO%' then 'auto_shap' end as TARGET")
+        + ", 5" for i, f in enumerate(FEATS)) + ") where TARGET is null or FEATURE in ('RECENCY_DAYS', 'ORDER_FREQUENCY')",
     "cluster_shap_kernel": " union all ".join(
         _shap(i, f, "explained", "background_50", ", " + _r(f"avg({_GAIN.format(i=i)})", "MEAN_SHAP", 4), 4) for i, f in enumerate(FEATS)),
     "cluster_shap_margin": "select SEGMENT_KEY as SEGMENT, LABEL as CLUSTER, true as ADDS_UP from labels3 group by 1, 2",

@@ -175,26 +175,18 @@ def explain_clusters(
 ) -> int:
     """Explains the clusters of the selected segments; writes the table and per-segment JSON records.
 
-    Segments whose model names an input table are read from there, the others from `customers`. Models are
-    handled together per input table and feature list, of which there are few.
+    Segments whose model names an input table, columns, a label column or a target table are explained with these; rows for
+    a target table go there too. Returns the number of rows.
     """
     models = explain.select_segments(bundle.open_run(spark, models_path, run_id), segment_prefix)
     models = stage(models.where(F.col("status") == "CLUSTERED"), "selected-models")
-    parts = []
-    for kind in models.select("input_table", "features").distinct().collect():
-        own = models.where(
-            F.col("input_table").eqNullSafe(kind["input_table"])
-            & (F.col("features") == F.array(*[F.lit(f) for f in kind["features"]])))
-        rows = tables.read_table(spark, kind["input_table"]) if kind["input_table"] else customers
-        labelled = stage(explain.scaled_labelled(rows, own, segment_col), "labelled")
-        parts.append(explain.cluster_shap(
-            labelled, own, kind["features"], run_id, run_timestamp, background_fraction, max_rows))
-    if not parts:
+    shap = explain.explain_models(customers, models, run_id, run_timestamp, background_fraction, max_rows, segment_col)
+    if shap is None:
         return 0
-    shap = parts[0]
-    for p in parts[1:]:
-        shap = shap.unionByName(p)
-    rows = sinks.write_run(shap, f"{out}/cluster_shap", run_id)
+    shap = stage(shap, "explanations")
+    for target in [r["TARGET"] for r in shap.where("TARGET is not null").select("TARGET").distinct().collect()]:
+        sinks.append_explanations(spark, shap.where(F.col("TARGET") == target), target)
+    rows = sinks.write_run(shap.drop("TARGET"), f"{out}/cluster_shap", run_id)
     written = spark.read.parquet(f"{out}/cluster_shap").where(F.col("RUN_ID") == sinks.safe_run_id(run_id))
     sinks.write_explanations(written.drop("RUN_ID"), f"{out}/cluster_shap_json/{sinks.safe_run_id(run_id)}")
     return rows

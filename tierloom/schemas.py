@@ -55,6 +55,10 @@ SEGMENT_MODEL = T.StructType([
     T.StructField("scale", VECTOR),
     T.StructField("centroids", T.ArrayType(VECTOR)),
     T.StructField("input_table", T.StringType()),
+    # What an explanation of the segment reads and writes, where it is not the job's: columns, label column, table.
+    T.StructField("x_cols", T.ArrayType(T.StringType())),
+    T.StructField("y_col", T.StringType()),
+    T.StructField("output_table", T.StringType()),
 ])
 
 # JSON documents of a bundle folder: manifest.json and the segment files it names.
@@ -92,4 +96,8 @@ SEGMENT_DOCUMENT = T.StructType([
     T.StructField("centroids", T.ArrayType(VECTOR)),
     T.StructField("input_table", T.StringType()),
     T.StructField("data_table", T.StringType()),
+    T.StructField("x_cols", T.ArrayType(T.StringType())),
+    T.StructField("y_col", T.StringType()),
+    T.StructField("output_table", T.StringType()),
+    T.StructField("target_table", T.StringType()),
 ])

@@ -75,7 +75,7 @@ def export_json(
     manifest.select(*MANIFEST_DOCUMENT.fieldNames()).write.mode("overwrite").json(f"{folder}/manifest.json")
     models.where(F.col("status") == "CLUSTERED").select(
         "status", "industry", "segment", "customer_count", "best_k", "best_silhouette", "results_k", "features",
-        F.struct("center", "scale").alias("scaler"), "centroids", "input_table", artifact.alias("artifact"),
+        F.struct("center", "scale").alias("scaler"), "centroids", "input_table", "x_cols", "y_col", "output_table", artifact.alias("artifact"),
     ).write.mode("overwrite").json(f"{folder}/segments")
 
 
@@ -110,7 +110,10 @@ def import_json(
         F.coalesce("info.best_silhouette", "doc.best_silhouette").alias("best_silhouette"),
         F.coalesce("doc.results_k", "info.results_k").alias("results_k"),
         "doc.features", "doc.scaler.center", "doc.scaler.scale", "doc.centroids",
-        F.coalesce("doc.input_table", "doc.data_table").alias("input_table"))
+        F.coalesce("doc.input_table", "doc.data_table").alias("input_table"), "doc.x_cols",
+        # The label column comes as a name or as a list with one name.
+        F.nullif(F.regexp_extract("doc.y_col", r'^\s*\[?\s*"?([^"\[\]]*?)"?\s*\]?\s*$', 1), F.lit("")).alias("y_col"),
+        F.coalesce("doc.output_table", "doc.target_table").alias("output_table"))
     return table.select(*[F.col(f.name).cast(f.dataType) for f in SEGMENT_MODEL])
 
 

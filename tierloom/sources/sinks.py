@@ -78,6 +78,14 @@ def ensure_explanation_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({EXPLANATION_COLUMNS}) USING parquet")
 
 
+def append_explanations(spark: SparkSession, df: DataFrame, table: str) -> int:
+    """Adds explanation rows to a catalog table, which is made if it is not there."""
+    ensure_explanation_table(spark, table)
+    df, seen = counted(df.select(*spark.table(table).columns))
+    df.write.mode("append").insertInto(table)
+    return seen.get["rows"]
+
+
 def write_report(df: DataFrame, root: str, name: str, run_id: str) -> str:
     """JSON lines under root/<run_id>/<name>; reports have one row per feature, label, segment or run."""
     path = f"{root.rstrip('/')}/{safe_run_id(run_id)}/{name}"
