@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierloom.llm.components import connected_components
 from tierloom.sources.staging import stage, with_size_check
@@ -168,7 +169,7 @@ def links_between(left: Side, right: Side | None, cell: int, visitors: bool, thr
 
 
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
 
 
 def _digests() -> list[Column]:
@@ -196,7 +197,7 @@ def _placed(classes: DataFrame, index: MultiIndex, dims: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], names=["key", "weight", "v", "cells"])
 
     return stage(classes.select("key", "weight", "v").mapInArrow(
-        work, "key long, weight long, v array<double>, cells array<long>"), "placed_vectors")
+        work, f"key long, weight long, v {classes.schema['v'].dataType.simpleString()}, cells array<long>"), "placed_vectors")
 
 
 def _dealt(placed: DataFrame, block_rows: int) -> DataFrame:
@@ -287,8 +288,11 @@ def near_duplicates(
     sample_rows: int = 20_000, block_rows: int = BLOCK_ROWS, id_col: str = "vec_id", vector_col: str = "embedding",
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of vectors."""
-    everyone = vectors.select(
-        F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
+    # Four-byte components stay as they are: every double made of them is exact, and half as much is shuffled.
+    kept = F.col(f"`{vector_col}`")
+    if not isinstance(vectors.schema[vector_col].dataType.elementType, T.FloatType):
+        kept = kept.cast("array<double>")
+    everyone = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), kept.alias("v"))
     sound = F.col("id").isNotNull() & F.col("v").isNotNull() & F.coalesce(
         ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("v", lambda x: x != 0), F.lit(False))
     length = everyone.where(sound).groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
@@ -303,7 +307,7 @@ def near_duplicates(
     count = classes.count()
     if dims < 2:
         # Halves need two components; a zero beside the only one changes no cosine.
-        classes, dims = classes.withColumn("v", F.concat("v", F.array(F.lit(0.0)))), 2
+        classes, dims = classes.withColumn("v", F.concat("v", F.array(F.lit(0.0)).cast(classes.schema["v"].dataType))), 2
     index = fit(classes, count, dims, threshold, cell_rows, sample_rows, target_recall)
     found = stage(_verified(_dealt(_placed(classes, index, dims), block_rows), dims, threshold), "verified_links")
     linked = found.groupBy("key").agg(F.sum("links").alias("links"))
