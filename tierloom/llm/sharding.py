@@ -3,7 +3,7 @@
 Rows of one group are linked with each other. Every row starts in a shard by hash. In a round each linked row looks up,
 through a join with its group's counts per shard, the shard with most of its group among those with room, and asks to
 move there. Moves are granted per pair of shards, largest gains first, so that no shard exceeds its quota plus a slack;
-within a pair and gain class a hash decides. Rounds end when nobody wants to move. Then counts are made exact: rows over
+within a pair and gain class a hash decides. Rounds end when nobody wants to move, or after `rounds` (20) of them. Then counts are made exact: rows over
 quota, those without neighbours in their shard first, fill the shards under quota. In the end the shards' row counts
 differ by at most one, and slots number each shard's rows without gaps.
 
