@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 
-TABLES = ("region", "nation", "customer", "orders", "embeddings")
+TABLES = ("region", "nation", "customer", "orders", "embeddings", "conversations")
 QUERIES = entry_point.queries()
 SQL = entry_point.oracle_sql()
 

@@ -44,12 +44,12 @@ def scaled_labelled(
 def explain_models(
     customers: DataFrame, models: DataFrame, run_id: str, run_timestamp: str, background_fraction: float = 1.0, max_rows: int = 0,
     segment_col: str = "SEGMENT",
-) -> DataFrame | None:
+) -> DataFrame:
     """cluster_shap of all clustered models, with TARGET (the table a model names for its rows, else null).
 
     A model may name its input table, the features to report (x_cols) and the column that holds the labels (y_col); what it
     does not name comes from `customers`, all its features, and the closest centre. Models that name the same are handled
-    together, and there are few such kinds. None if no model is clustered. models: staged.
+    together, and there are few such kinds. No rows if no model is clustered. models: staged.
     """
     parts = []
     named = ["input_table", "features", "x_cols", "y_col", "output_table"]
@@ -66,7 +66,8 @@ def explain_models(
             wanted = F.array(*[F.lit(c.upper()) for c in kind["x_cols"]])
             shap = shap.withColumn("CLUSTER_SHAP", F.map_filter("CLUSTER_SHAP", lambda f, _: F.array_contains(wanted, F.upper(f))))
         parts.append(shap.withColumn("TARGET", F.lit(kind["output_table"]).cast("string")))
-    return reduce(DataFrame.unionByName, parts) if parts else None
+    none = "SEGMENT string, CLUSTER int, CLUSTER_SHAP map<string, double>, RUNID string, RUNTIMESTAMP string, TARGET string"
+    return reduce(DataFrame.unionByName, parts) if parts else customers.sparkSession.createDataFrame([], none)
 
 
 def background_moments(labelled: DataFrame, dims: int, fraction: float) -> DataFrame:

@@ -181,9 +181,9 @@ def explain_clusters(
     models = explain.select_segments(bundle.open_run(spark, models_path, run_id), segment_prefix)
     models = stage(models.where(F.col("status") == "CLUSTERED"), "selected-models")
     shap = explain.explain_models(customers, models, run_id, run_timestamp, background_fraction, max_rows, segment_col)
-    if shap is None:
-        return 0
     shap = stage(shap, "explanations")
+    if shap.isEmpty():
+        return 0
     for target in [r["TARGET"] for r in shap.where("TARGET is not null").select("TARGET").distinct().collect()]:
         sinks.append_explanations(spark, shap.where(F.col("TARGET") == target), target)
     rows = sinks.write_run(shap.drop("TARGET"), f"{out}/cluster_shap", run_id)
