@@ -340,14 +340,21 @@ def fit(
 
     def tables(batches):
         seen: Counter = Counter()
+
+        def counted():
+            names, kinds = zip(*seen, strict=True)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(names), pa.array(kinds, pa.int32()), pa.array(list(seen.values()), pa.int64())],
+                names=["feature", "toxic", "n"])
+
         for part in few_rows(batches):
             for words, t in zip(part.column(1).to_pylist(), part.column(0).to_pylist(), strict=True):
                 seen.update((f, t) for f in {f for w in set(words) for f in features(w)})
+            if len(seen) > 50_000:  # partial counts: what a task holds stays bounded
+                yield counted()
+                seen.clear()
         if seen:
-            names, kinds = zip(*seen, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names), pa.array(kinds, pa.int32()), pa.array(list(seen.values()), pa.int64())],
-                names=["feature", "toxic", "n"])
+            yield counted()
 
     kinds = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = kinds.get(1, 0), kinds.get(0, 0)
