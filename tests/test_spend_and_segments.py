@@ -111,3 +111,15 @@ def test_small_and_huge_amounts(spark):
     df = orders(spark, *[order(1, 2000, 0.00004)] * 1000, order(2, 2000, 1e15), order(2, 2000, 1e15), order(3, 2000, 1e40))
     got = one(spend.avg_annual_spend(df), "AVG_ANNUAL_SPEND")
     assert got == {1: pytest.approx(0.04), 2: 2e15, 3: None}
+
+
+def test_quartiles_are_exact_in_groups_beyond_the_sketch(spark):
+    """A group far larger than the sketch's accuracy, and a NULL industry as a group of its own."""
+    profiles = spark.range(20_000).selectExpr(
+        "id as CUSTOMER_ID", "if(id % 4 = 0, null, 'A') as INDUSTRY_CODE_DESC", "'TAM' as TAM_TIER_SOURCE",
+        "cast(pmod(xxhash64(id), 1000003) as double) as TAM_TIER_OR_AVGSPEND").repartition(7)
+    got = {r[0]: tuple(r)[2:] for r in spend.spend_thresholds(profiles, accuracy=100).collect()}
+    groups = {}
+    for r in profiles.collect():
+        groups.setdefault(r["INDUSTRY_CODE_DESC"], []).append(r["TAM_TIER_OR_AVGSPEND"])
+    assert got == {k: tuple(sorted(v)[-(-len(v) * i // 4) - 1] for i in (1, 2, 3)) for k, v in groups.items()}
