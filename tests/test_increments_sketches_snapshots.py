@@ -206,6 +206,26 @@ def test_many_features_are_explained_from_drawn_coalitions(spark):
     assert all(r["CLUSTER_MEAN"]["f"] == pytest.approx(r["FULL"] - r["BASE"]) for r in one)
 
 
+def test_additive_scores_need_no_coalitions(spark):
+    """The closed form but for the order of the sums, so that ties round alike; the regression over coalitions agrees."""
+    _, labelled, models = labelled_rows(spark)
+    names = ["a", "b", "c"]
+
+    def values(df):
+        return {(r["SEGMENT"], r["CLUSTER"]): r.asDict() for r in df.collect()}
+
+    found = kernel_shap.kernel_shap(labelled, models, names, "r", "t")
+    assert "aggregate(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got, closed = values(found), values(explain.cluster_shap(labelled, models, names, "r", "t"))
+    for k, r in got.items():
+        assert r["CLUSTER_SHAP"] == pytest.approx(closed[k]["CLUSTER_SHAP"], abs=1e-14)
+    slow = values(kernel_shap.kernel_shap(labelled, models, names, "r", "t", lambda x: kernel_shap.own_distance(x)))
+    for k, r in got.items():
+        for c in ("CLUSTER_SHAP", "CLUSTER_MEAN"):
+            assert r[c] == pytest.approx(slow[k][c], abs=1e-9)
+        assert (r["BASE"], r["FULL"]) == pytest.approx((slow[k]["BASE"], slow[k]["FULL"]), abs=1e-9)
+
+
 def test_documents_of_unknown_shape(spark):
     docs = spark.createDataFrame([
         (1, '{"A": {"p1": 1, "p99": "9.5", "note": "x"}, "B": {"mean": "n/a"}, "C": 3}'), (2, '{"v": 1, "stats": {"D": {"null_pct": 0.5, "more": {"deep": [1]}}}}'),

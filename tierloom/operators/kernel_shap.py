@@ -7,19 +7,24 @@ coalitions, the least-squares solution, constrained to add up to the score of th
 fixed linear map of the coalition scores, so a row's values are sums of columns. The normal equations are also summed up
 per (segment, cluster) and solved there, which gives the mean contribution with its sign: those sums merge over tasks,
 partitions and runs.
+
+The regression of an additive score needs no coalitions: any that determine it give each feature its own term less the
+term's background mean, which is what is taken then (Additive), at a cost that neither coalitions nor background enter.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierloom.functions.sampling import hash_order
+from tierloom.operators.explain import background_moments
 from tierloom.operators.topn import top_n_per_group
 from tierloom.sources.staging import stage, with_size_check
 
@@ -31,9 +36,23 @@ def _distance(values: Sequence[str], centre: str) -> str:
     return " + ".join(f"({x} - {centre}[{j}]) * ({x} - {centre}[{j}])" for j, x in enumerate(values))
 
 
-def own_distance(values: Sequence[str]) -> str:
-    """Squared distance to the row's own centre: additive over features."""
-    return _distance(values, "get(centroids, CLUSTER_LABEL)")
+@dataclass(frozen=True)
+class Additive:
+    """A score that sums up a term a feature. term: SQL from the feature's value and number; mean: SQL of its mean over rows,
+    from the means of value and squared value, and the number."""
+
+    term: Callable[[str, int], str]
+    mean: Callable[[str, str, int], str]
+
+    def __call__(self, values: Sequence[str]) -> str:
+        return " + ".join(self.term(x, j) for j, x in enumerate(values))
+
+
+_OWN = "get(centroids, CLUSTER_LABEL)"
+# Squared distance to the row's own centre.
+own_distance = Additive(
+    lambda x, j: f"({x} - {_OWN}[{j}]) * ({x} - {_OWN}[{j}])",
+    lambda m1, m2, j: f"({m2} - 2 * {_OWN}[{j}] * {m1} + {_OWN}[{j}] * {_OWN}[{j}])")
 
 
 def margin(values: Sequence[str]) -> str:
@@ -85,18 +104,21 @@ def kernel_shap(
     CLUSTER_MEAN add up to FULL - BASE.
     """
     dims = len(features)
+    names = F.array(*[F.lit(f) for f in features])
+    if isinstance(score, Additive):
+        sums = _additive_sums(labelled, models, dims, score, background_rows, max_rows)
+        return _explained(sums, names, run_id, run_timestamp)
     if dims == 1:
         kept, weight = np.zeros((0, 1), dtype=np.int64), np.zeros(0)
     else:
         kept, weight = coalitions(dims, most_coalitions, seed)
     xtw, xtwx = design(kept, weight)
-    order = [hash_order("CUSTOMER_ID"), F.col("CUSTOMER_ID")]
-    background = top_n_per_group(labelled, ["SEGMENT_KEY"], order, background_rows).groupBy("SEGMENT_KEY").agg(
+    background = _first_rows(labelled, background_rows).groupBy("SEGMENT_KEY").agg(
         F.array_sort(F.collect_list("Z")).alias("__bg"))
     context = stage(background.join(
         models.select(F.col("segment_key").alias("SEGMENT_KEY"), "centroids"), "SEGMENT_KEY"), "explain-context")
     if max_rows > 0:
-        labelled = top_n_per_group(labelled, ["SEGMENT_KEY"], order, max_rows)
+        labelled = _first_rows(labelled, max_rows)
 
     def value(row: Sequence[int]) -> str:
         mixed = score([f"Z[{j}]" if k else f"b[{j}]" for j, k in enumerate(row)])
@@ -119,14 +141,39 @@ def kernel_shap(
         F.count(F.lit(1)).alias("N"), F.sum("__base").alias("BASE"), F.sum("__full").alias("FULL"),
         F.array(*[F.avg(F.abs(F.expr(weighted(line)))) for line in solved(kept, xtw, xtwx)]).alias("MEAN_ABS"),
         F.array(*[F.sum(F.expr(t)) for t in totals]).cast("array<double>").alias("XTWY"))
-    names = F.array(*[F.lit(f) for f in features])
-    return solve(sums, xtwx).select(
+    return _explained(solve(sums, xtwx), names, run_id, run_timestamp)
+
+
+def _first_rows(labelled: DataFrame, rows: int) -> DataFrame:
+    """The first rows of each segment by hash."""
+    return top_n_per_group(labelled, ["SEGMENT_KEY"], [hash_order("CUSTOMER_ID"), F.col("CUSTOMER_ID")], rows)
+
+
+def _explained(sums: DataFrame, names: Column, run_id: str, run_timestamp: str) -> DataFrame:
+    return sums.select(
         F.col("SEGMENT_KEY").alias("SEGMENT"), F.col("CLUSTER_LABEL").alias("CLUSTER"),
         F.map_from_arrays(names, "MEAN_ABS").alias("CLUSTER_SHAP"), F.map_from_arrays(names, "MEAN").alias("CLUSTER_MEAN"),
         (F.col("BASE") / F.col("N")).alias("BASE"), (F.col("FULL") / F.col("N")).alias("FULL"),
         F.lit(run_id).alias("RUNID"), F.lit(run_timestamp).alias("RUNTIMESTAMP"))
 
 
+def _additive_sums(
+    labelled: DataFrame, models: DataFrame, dims: int, score: Additive, background_rows: int, max_rows: int,
+) -> DataFrame:
+    """SEGMENT_KEY, CLUSTER_LABEL, N, BASE, FULL, MEAN_ABS, MEAN of a score that is additive."""
+    moments = background_moments(_first_rows(labelled, background_rows), dims, 1.0)
+    context = stage(moments.join(
+        models.select(F.col("segment_key").alias("SEGMENT_KEY"), "centroids"), "SEGMENT_KEY"), "explain-context")
+    if max_rows > 0:
+        labelled = _first_rows(labelled, max_rows)
+    terms = [score.term(f"Z[{j}]", j) for j in range(dims)]
+    means = [score.mean(f"M1[{j}]", f"M2[{j}]", j) for j in range(dims)]
+    gains = [F.expr(f"{t} - {m}") for t, m in zip(terms, means, strict=True)]
+    return labelled.join(with_size_check(context), "SEGMENT_KEY").groupBy("SEGMENT_KEY", "CLUSTER_LABEL").agg(
+        F.count(F.lit(1)).alias("N"), F.sum(F.expr(" + ".join(means))).alias("BASE"), F.sum(F.expr(" + ".join(terms))).alias("FULL"),
+        F.array(*[F.avg(F.abs(g)) for g in gains]).alias("MEAN_ABS"), F.array(*[F.avg(g) for g in gains]).alias("MEAN"))
+
+
 def solve(sums: DataFrame, xtwx: np.ndarray) -> DataFrame:
     """sums with MEAN: the solution of the normal equations (N times xtwx against XTWY) of each row, constrained to add up
     to FULL - BASE."""
