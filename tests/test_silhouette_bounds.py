@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from tierloom.operators.silhouette import silhouette
+from tierloom.operators.silhouette import _Block, distances, silhouette
 from tierloom.operators.silhouette_bounds import silhouette_bounds
 
 SCHEMA = "SEGMENT_KEY string, Z array<double>, W long, KS array<int>, LABELS array<int>"
@@ -55,3 +55,16 @@ def test_single_label_copies_and_lone_points(spark):
         assert r["LOWER"] == pytest.approx(exact[k]["SILHOUETTE"], abs=1e-8) == r["UPPER"]
     assert found["one", 2]["LOWER"] == -1.0
     assert silhouette_bounds(df.limit(0)).collect() == []
+
+
+def test_distances_keep_their_digits_and_blocks_their_memory():
+    """Near points far from the origin, copies, and a tile of near points only; a large block works in bounded tiles."""
+    r = np.random.default_rng(4)
+    for z in (r.normal(size=(300, 5)) * [1, 1e3, 1, 1, 1] + 1e5, np.repeat(r.normal(size=(40, 3)), 3, axis=0) + 1e-7 * r.normal(size=(120, 3)),
+              np.r_[np.full((1, 2), 1e9), 1e-3 * r.normal(size=(200, 2))]):
+        want = np.sqrt(((z[:, None] - z[None]) ** 2).sum(axis=2))
+        np.testing.assert_allclose(distances(z, z), want, rtol=1e-9)
+    block = _Block("a")
+    block.hold(r.normal(size=(20_000, 2)), np.ones(20_000), np.array([2]), np.zeros((20_000, 1), dtype=np.int32))
+    block.open()
+    assert block.buffer.size <= 250_000 and block.step >= 100

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierloom.functions.sampling import uniform
+from tierloom.operators.silhouette import distances
 from tierloom.sources.staging import stage, with_size_check
 
 _ITEM = "struct<Z:array<double>, W:double, LABELS:array<int>>"
@@ -96,7 +97,7 @@ def _bounded(cells: DataFrame, context: DataFrame, openness: float) -> DataFrame
             ks = row.column("KS").flatten().to_numpy()
             marks = _marks(_matrix(every.field("LABELS")), every.field("N").to_numpy(zero_copy_only=False), ks)
             middle = z.mean(axis=0)
-            gap = np.maximum(_distances(middle[None], mean)[0] - _distances(middle[None], z).max(), 0)
+            gap = np.maximum(distances(middle[None], mean)[0] - distances(middle[None], z).max(), 0)
             names, of = np.unique(every.field("CELL").to_numpy(), return_inverse=True)
             wide = np.zeros(len(names), dtype=bool)
             np.logical_or.at(wide, of, v > (openness * gap) ** 2)
@@ -104,7 +105,7 @@ def _bounded(cells: DataFrame, context: DataFrame, openness: float) -> DataFrame
             low = np.zeros((len(z), marks.shape[1]))
             high = low.copy()
             for i in range(0, len(z), 512):
-                d = _distances(z[i:i + 512], mean[closed])
+                d = distances(z[i:i + 512], mean[closed])
                 low[i:i + 512] = d @ marks[closed]
                 high[i:i + 512] = np.sqrt(d * d + v[closed]) @ marks[closed]
             lists = [names[wide], marks.sum(axis=0), low.ravel(), high.ravel()]
@@ -135,14 +136,6 @@ def _items(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return _matrix(flat.field("Z")), flat.field("W").to_numpy(zero_copy_only=False), _matrix(flat.field("LABELS"))
 
 
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    total = np.zeros((len(a), len(b)))
-    for j in range(a.shape[1]):  # by differences, as products lose the digits of near points
-        diff = a[:, j, None] - b[None, :, j]
-        total += diff * diff
-    return np.sqrt(total)
-
-
 def _marks(labels: np.ndarray, weight: np.ndarray, ks: np.ndarray) -> np.ndarray:
     """row x slot: the row's weight in the slot of its label, for each k; the slots of a k lie together."""
     starts = np.r_[0, np.cumsum(ks)[:-1]].astype(np.int64)
@@ -155,7 +148,7 @@ def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for row in _rows(batches):
         z, _, _ = _items(row.column("ITEMS"))
         pivots = _matrix(row.column("PIVOTS").flatten())
-        own = np.concatenate([_distances(z[i:i + 512], pivots).argmin(axis=1) for i in range(0, len(z), 512)])
+        own = np.concatenate([distances(z[i:i + 512], pivots).argmin(axis=1) for i in range(0, len(z), 512)])
         yield pa.RecordBatch.from_arrays(
             [row.column("SEGMENT_KEY").take(pa.array(np.zeros(len(z), dtype=np.int64))), pa.array(own), pa.array(np.arange(len(z))),
              row.column("ITEMS").flatten()], ["SEGMENT_KEY", "PIVOT", "PART", "ITEM"])
@@ -195,7 +188,7 @@ def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, mine, _, _, ks, _, low, high, pairs = own
         marks = _marks(labels, w, ks)
         for i in range(0, len(mine), 512):
-            sums = _distances(mine[i:i + 512], z) @ marks
+            sums = distances(mine[i:i + 512], z) @ marks
             low[i:i + 512] += sums
             high[i:i + 512] += sums
         pairs[0] += len(mine) * len(z)
