@@ -290,3 +290,13 @@ def test_unrolled_distances_agree_with_the_general_form(spark):
     got = df.selectExpr(f"{nearest('z', 'c', 2, 4)} as a", f"{nearest('z', 'c', 2)} as b")
     assert got.where("not (a.d2 <=> b.d2 and a.label <=> b.label)").count() == 0
     assert "transform" not in got.select("a").distinct()._jdf.queryExecution().executedPlan().toString()
+
+
+def test_settled_centres_make_no_larger_step():
+    for seed in range(40):
+        r = np.random.default_rng(seed)
+        points = kc.Points(r.normal(size=(400, 2)), np.ones(400), np.arange(400))
+        limit = kc.tolerance(points, 5e-3)
+        centres, rounds, _ = kc.lloyd(points, points.z[:6], 300, limit)
+        step = kc.means(*kc.sums(points, kc.nearest(points.z, centres)[0], 6), centres)
+        assert rounds < 300 and ((step - centres) ** 2).sum() <= limit
