@@ -300,3 +300,34 @@ def test_settled_centres_make_no_larger_step():
         centres, rounds, _ = kc.lloyd(points, points.z[:6], 300, limit)
         step = kc.means(*kc.sums(points, kc.nearest(points.z, centres)[0], 6), centres)
         assert rounds < 300 and ((step - centres) ** 2).sum() <= limit
+
+
+def test_draws_of_heavy_points_follow_their_weights():
+    """e**-rate is tiny from a rate of 42 on: such points were never drawn."""
+    u = (np.arange(4000) + 0.5) / 4000
+    for rate in (41.0, 42.0, 61.0, 300.0, 500.0):
+        times = kc._poisson(np.full(len(u), rate), u)
+        assert times.mean() == pytest.approx(rate, rel=1e-3) and times.var() == pytest.approx(rate, rel=0.02)
+
+
+def test_mini_batches_hold_the_rows_of_small_segments(spark):
+    """600 rows, all of which every batch may hold: each batch draws about as many, of light and of heavy points."""
+    points = stage(spark.range(600).selectExpr("'s' as SEGMENT_KEY", "array(cast(id as double)) as Z", "1L as W", "id as POINT_ID"), "points")
+    drawn = kc.mini_batches(kc.packed(points, 256), 1024, kc.Plan(max_iter=50)).groupBy("BATCH").agg(F.sum("TIMES").alias("N")).collect()
+    assert len(drawn) == 50 and all(480 < r["N"] < 720 for r in drawn)
+
+
+def test_draws_with_an_array_of_salts_are_those_of_each():
+    h = np.array([5, -7, 2 ** 62, 5])
+    assert kc.draws(h, 42, -2, np.array([0, 3, 9, 1000])).tolist() == [
+        kc.draws(h[i:i + 1], 42, -2, n)[0] for i, n in enumerate((0, 3, 9, 1000))]
+
+
+def test_closest_is_the_first_of_the_least_distances():
+    rng = np.random.default_rng(8)
+    z, centres = rng.integers(0, 4, (9000, 3)).astype(float), rng.integers(0, 4, (5, 7, 3)).astype(float)
+    label, d2 = kc.closest(z, centres)
+    for run in range(5):
+        far = kc.squared_distances(z, centres[run])
+        assert (label[run] == far.argmin(axis=1)).all() and (d2[run] == far.min(axis=1)).all()
+        assert (kc.nearest(z, centres[run])[0] == label[run]).all() and (kc.nearest(z[:9], centres[run])[1] == d2[run][:9]).all()
