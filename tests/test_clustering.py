@@ -331,3 +331,24 @@ def test_closest_is_the_first_of_the_least_distances():
         far = kc.squared_distances(z, centres[run])
         assert (label[run] == far.argmin(axis=1)).all() and (d2[run] == far.min(axis=1)).all()
         assert (kc.nearest(z, centres[run])[0] == label[run]).all() and (kc.nearest(z[:9], centres[run])[1] == d2[run][:9]).all()
+
+
+def test_mini_batches_take_models_split_over_arrow_batches(spark):
+    points = stage(spark.range(300).selectExpr(
+        "if(id < 200, 's', 't') as SEGMENT_KEY", "array(cast(id % 17 as double), cast(id as double)) as Z", "1L as W", "id as POINT_ID"), "points")
+    seeds = stage(spark.range(1, 9).selectExpr(
+        "explode(array('s', 't')) as SEGMENT_KEY", "cast(2 + id % 2 as int) as K", "cast(id as int) as RESTART",
+        "slice(array(array(0D, 1D * id), array(9D, 90D), array(3D, 250D)), 1, cast(2 + id % 2 as int)) as CENTERS"), "seeds")
+
+    def fitted():
+        found = kc.fit_mini_batch(kc.packed(points, 256), seeds, 40, kc.Plan(max_iter=20))
+        return sorted((r["SEGMENT_KEY"], r["K"], r["RESTART"], r["CENTERS"]) for r in found.collect())
+
+    whole = fitted()
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "3")
+    try:
+        assert fitted() == whole and len(whole) == 16
+    finally:
+        spark.conf.set(setting, before)
